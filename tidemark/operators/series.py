@@ -142,21 +142,19 @@ def steps_long(windows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def scale_windows(windows: DataFrame, scales: dict[str, tuple[Column, Column]], target: str = "traffic_volume") -> DataFrame:
     """Standardise the named fields of every step, and the target by its own field's scale."""
     names = windows.schema["steps"].dataType.elementType.names
+    # Scalar subqueries may not stand inside a lambda, so the moments become columns first.
+    out = windows.withColumns(
+        {f"_{n}_{part}": c for n, pair in scales.items() for part, c in zip(("mean", "std"), pair)}
+    )
+
+    def standard(value: Column, n: str) -> Column:
+        return F.try_divide(value - F.col(f"_{n}_mean"), F.col(f"_{n}_std"))
 
     def scaled(step: Column) -> Column:
-        cells = []
-        for n in names:
-            cell = step[n]
-            if n in scales:
-                mean, std = scales[n]
-                cell = F.try_divide(cell - mean, std)
-            cells.append(cell.alias(n))
-        return F.struct(*cells)
-
-    mean, std = scales[target]
-    return windows.withColumn("steps", F.transform("steps", scaled)).withColumn(
-        "target", F.try_divide(F.col("target") - mean, std)
-    )
+        return F.struct(*[(standard(step[n], n) if n in scales else step[n]).alias(n) for n in names])
+
+    out = out.withColumns({"steps": F.transform("steps", scaled), "target": standard(F.col("target"), target)})
+    return out.select(*windows.columns)
 
 
 def unscale(c: str | Column, mean: Column, std: Column) -> Column:

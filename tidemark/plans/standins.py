@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import hour_start, monday_zero, weekend_flag
-from tidemark.operators.clean import clean
+from tidemark.operators.clean import clean, parse_time, standardise_text
 from tidemark.operators.features import build_features
 from tidemark.session import materialize
 
@@ -38,8 +38,14 @@ def _weather() -> Column:
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as one raw reading: padded and mixed-case text, bad times and values."""
-    ev = table(spark, sf_dir, "events")
+    return readings_of(table(spark, sf_dir, "events"))
+
+
+def readings_of(ev: DataFrame) -> DataFrame:
+    """Every event as one raw reading: padded and mixed-case text, bad times and values.
+
+    ``ev`` may be a batch or a stream.
+    """
     weather = _weather()
     day = F.to_date("ts").cast("string")
     user = F.col("user_id")
@@ -60,9 +66,15 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:00:00"))
         .alias("date_time"),
         F.floor(F.col("value") * 10.0).cast("int").alias("traffic_volume"),
+        *([F.col("received_at")] if "received_at" in ev.columns else []),
     )
 
 
+def tidy_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw readings with text and time put right, duplicates still there."""
+    return raw_readings(spark, sf_dir).transform(standardise_text).transform(parse_time)
+
+
 def _weather_sql() -> str:
     cases = " ".join(
         f"WHEN event_type = '{kind}' AND user_id % 3 = {i} THEN '{name}'"
