@@ -26,11 +26,11 @@ def tree_nodes(df: DataFrame, model: RandomForestRegressionModel) -> pd.DataFram
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("node"),
         F.col("nodeData.prediction").alias("value"),
-        F.col("nodeData.impurityStats")[0].alias("cover"),
+        F.get("nodeData.impurityStats", F.lit(0)).alias("cover"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         F.col("nodeData.split.numCategories").alias("n_categories"),
     ).toPandas()
 

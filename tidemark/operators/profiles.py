@@ -213,7 +213,8 @@ def scenario_profiles(volumes: DataFrame, frequency: DataFrame) -> DataFrame:
     frequency). Weights are used as they are, not brought to a sum of one.
     """
     mix = (
-        volumes.join(frequency.select("weather_main", "frequency"), "weather_main")
+        volumes.select("day_type", "weather_main", "hour", "volume")
+        .join(frequency.select("weather_main", "frequency"), "weather_main")
         .groupBy("day_type", "hour")
         .agg(F.sum(F.col("volume") * F.col("frequency")).alias("volume"))
         .withColumn("weather_condition", F.lit(vocab.TYPICAL_MIX))
