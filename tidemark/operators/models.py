@@ -205,7 +205,9 @@ def score_requests(
 
 
 # --- next-hour forecaster ----------------------------------------------------
-def sequence_vectors(windows: DataFrame, fields: Sequence[str] = tuple(vocab.SEQUENCE_FEATURES)) -> DataFrame:
+def sequence_vectors(windows: DataFrame) -> DataFrame:
+    """Add the model input: every field of every step, oldest hour first."""
+    fields = windows.schema["steps"].dataType.elementType.names
     return windows.withColumn("features", array_to_vector(flat_steps("steps", fields)))
 
 

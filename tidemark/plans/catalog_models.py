@@ -15,13 +15,13 @@ from tidemark.session import materialize, run_folder
 from tidemark.sources import requests as rq
 
 
-def known_features(spark, sf):
-    """The feature table without the hour that has no timestamp, stored once."""
-    return materialize(feature_table(spark, sf).where("date_time is not null"), "features")
+def stored_features(spark, sf):
+    """The feature table, stored once: fits, splits and moments all read it."""
+    return materialize(feature_table(spark, sf), "features")
 
 
 def _split(spark, sf):
-    feat = known_features(spark, sf)
+    feat = stored_features(spark, sf)
     train, test, _ = split.time_split(feat, "date_time")
     return feat, train, test
 
@@ -70,12 +70,13 @@ def batch_score(spark, sf):
 
 
 def _vectors(feat):
-    return feat.transform(ft.add_severity).transform(cluster.standardise_population).transform(cluster.with_cluster_vector)
+    """Standardised cluster inputs; a reading without a time has no place on the clock."""
+    return feat.where("date_time is not null").transform(ft.add_severity).transform(cluster.standardise_population).transform(cluster.with_cluster_vector)
 
 
 @query()
 def kmeans_fit(spark, sf):
-    rows = materialize(_vectors(known_features(spark, sf)), "vectors")
+    rows = materialize(_vectors(stored_features(spark, sf)), "vectors")
     with models.reused(rows) as kept:
         model = cluster.fit_kmeans(kept)
     labelled = model.transform(rows).withColumnRenamed("prediction", "cluster")
@@ -84,13 +85,13 @@ def kmeans_fit(spark, sf):
 
 @query()
 def k_sweep(spark, sf):
-    rows = materialize(_vectors(known_features(spark, sf)), "vectors")
+    rows = materialize(_vectors(stored_features(spark, sf)), "vectors")
     return cluster.sweep_clusters(rows, "date_time")
 
 
 @query()
 def next_hour_forecast(spark, sf):
-    feat = known_features(spark, sf).transform(ft.add_severity)
+    feat = stored_features(spark, sf).transform(ft.add_severity)
     cutoff = split.time_cutoff(feat, "date_time")
     stats = ft.moments(
         feat.where(F.col("date_time") < F.lit(cutoff)), ["traffic_volume", "weather_severity"], population=True

@@ -15,7 +15,7 @@ from tidemark.operators import features as ft
 from tidemark.operators.clean import parse_time, standardise_text
 from tidemark.plans.catalog_drift import _SPLIT
 from tidemark.plans.catalog_features import scoring_requests
-from tidemark.plans.catalog_models import known_features
+from tidemark.plans.catalog_models import stored_features
 from tidemark.plans.registry import query, tidy
 from tidemark.plans.standins import TIDY_SQL, readings_of, table, tidy_readings
 from tidemark.session import run_folder
@@ -39,7 +39,7 @@ def request_stream(spark, sf):
 @query()
 def stream_score(spark, sf):
     """Score a stream of checked requests into the prediction log."""
-    feat = known_features(spark, sf)
+    feat = stored_features(spark, sf)
     train, _, _ = split.time_split(feat, "date_time")
     model = models.fit_regressors(train)["Linear Regression"]
     stats = ft.moments(feat, ["temp"]).first()["temp"]

@@ -57,7 +57,10 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.
 
 
 def read_prediction_log(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """The prediction log with both time columns typed; no log yet gives no rows."""
+    """The prediction log with both time columns typed; no log yet gives no rows.
+
+    A parquet log also has ``request_day``, by which its files are split.
+    """
     reader = spark.read.schema(schemas.PREDICTION_LOG).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
