@@ -164,14 +164,18 @@ def audit(raw: DataFrame, order: str = ORDER_COLUMN) -> DataFrame:
         F.count("*").alias("rows_kept"),
     )
 
-    kept = tidy.transform(first_per_key, ["date_time"], [order])
     bad = impossible_readings()
-    invalid = kept.agg(*[F.sum(flag(test)).alias(f"{c}_invalid") for c, test in bad.items()])
-    blanked = kept.transform(null_where, bad).withColumn("month", F.month("date_time"))
-    months = blanked.where("month is not null").groupBy("month")
+    kept = tidy.select("date_time", *bad, order).transform(first_per_key, ["date_time"], [order])
+    cells = {c: F.coalesce(test, F.lit(False)) for c, test in bad.items()}
+    months = kept.groupBy(F.month("date_time").alias("month")).agg(
+        *[F.count(F.when(test, 1)).alias(f"{c}_invalid") for c, test in cells.items()],
+        *[F.count(F.when(test | F.col(c).isNull(), 1)).alias(f"{c}_missing") for c, test in cells.items()],
+        *[F.count(F.when(~test & F.col(c).isNotNull(), 1)).alias(f"{c}_valid") for c, test in cells.items()],
+    )
+    invalid = months.agg(*[F.sum(f"{c}_invalid").alias(f"{c}_invalid") for c in bad])
     # A month is filled only if it has a value to take the median of.
-    filled = months.agg(
-        *[F.when(F.count(c) > 0, F.count("*") - F.count(c)).otherwise(0).alias(f"{c}_filled") for c in bad]
+    filled = months.where("month is not null").select(
+        "month", *[F.when(F.col(f"{c}_valid") > 0, F.col(f"{c}_missing")).otherwise(0).alias(f"{c}_filled") for c in bad]
     )
     parts = [
         _long("read", read),

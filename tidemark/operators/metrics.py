@@ -85,21 +85,22 @@ def silhouette_scores(
         return spark.createDataFrame([], f"{key} string, {cluster} int, silhouette double")
     matrix = np.asarray([r["x"] for r in rows], dtype=float)
     labels = np.asarray([r["cluster"] for r in rows])
-    shared = spark.sparkContext.broadcast((matrix, labels))
+    centre = matrix.mean(axis=0)
+    shared = spark.sparkContext.broadcast((matrix - centre, labels, centre))
+    shared_keys = spark.sparkContext.broadcast(np.asarray([r["key"] for r in rows]))
 
     def score(batches):
-        all_points, owner = shared.value
+        all_points, owner, middle = shared.value
         names, member = np.unique(owner, return_inverse=True)
         sizes = np.bincount(member)
+        one_hot = np.eye(len(names))[member]
+        lengths = (all_points * all_points).sum(axis=1)
         for batch in batches:
-            x = np.asarray(batch["x"].tolist(), dtype=float)
-            sums = np.zeros((len(batch), len(names)))
-            chunk = max(1, 4_000_000 // max(1, all_points.size))
-            for i in range(0, len(batch), chunk):
-                gaps = x[i : i + chunk, None, :] - all_points[None, :, :]
-                far = np.sqrt((gaps * gaps).sum(axis=2))
-                for c in range(len(names)):
-                    sums[i : i + chunk, c] = far[:, member == c].sum(axis=1)
+            x = np.asarray(batch["x"].tolist(), dtype=float) - middle
+            squares = (x * x).sum(axis=1)[:, None] + lengths - 2 * (x @ all_points.T)
+            # A point's distance to itself is 0; rounding may leave a little below or above.
+            same = batch["key"].to_numpy()[:, None] == shared_keys.value
+            sums = np.sqrt(np.where(same, 0.0, np.maximum(squares, 0.0))) @ one_hot
             own = np.searchsorted(names, batch["cluster"].to_numpy())
             at = np.arange(len(batch))
             others = sizes[own] - 1

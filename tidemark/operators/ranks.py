@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.bounds import broadcast_if_small
 
 SLICES = 256
-IN_MEMORY_ROWS = 2_000_000
+IN_MEMORY_ROWS = 250_000
 
 
 def slice_edges(df: DataFrame, value: str, slices: int = SLICES) -> list[float]:

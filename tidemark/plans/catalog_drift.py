@@ -8,6 +8,7 @@ from tidemark.operators import clean, drift, split
 from tidemark.operators import features as ft
 from tidemark.plans.registry import query, rounded, tidy
 from tidemark.plans.standins import KEPT_SQL, tidy_readings
+from tidemark.session import materialize
 
 _SPLIT = f"""WITH {KEPT_SQL},
 known AS (SELECT *, CASE WHEN holiday IS NULL THEN 0 ELSE 1 END AS is_holiday FROM tidy WHERE date_time IS NOT NULL),
@@ -23,13 +24,15 @@ base AS (SELECT avg(abs(traffic_volume - predicted)) AS mae FROM train JOIN mean
 
 def _parts(spark, sf):
     """(train, live log, observed hours, baseline error as a scalar)."""
-    rows = tidy_readings(spark, sf).transform(ft.add_holiday).withColumn("hour", F.hour("date_time"))
+    # The readings and the log are stored tables in practice; here they are stored first.
+    rows = materialize(tidy_readings(spark, sf), "readings")
+    observed = clean.first_per_key(rows.select("date_time", "traffic_volume", "_ord"), ["date_time"]).drop("_ord")
+    rows = rows.transform(ft.add_holiday).withColumn("hour", F.hour("date_time"))
     train, later, _ = split.time_split(rows, "date_time")
     means = train.groupBy("hour").agg(F.avg("traffic_volume").alias("predicted_traffic_volume"))
     # At most 24 rows, one per hour of the day.
     means = F.broadcast(means)
     live = later.join(means, "hour").withColumnRenamed("date_time", "input_date_time")
-    observed = clean.first_per_key(tidy_readings(spark, sf), ["date_time"]).select("date_time", "traffic_volume")
     observed = observed.where(F.col("date_time") < F.lit("2024-01-29").cast("timestamp_ntz"))
     gap = F.abs(F.col("traffic_volume") - F.col("predicted_traffic_volume"))
     baseline = train.join(means, "hour").agg(F.avg(gap).alias("mae")).scalar()
