@@ -119,6 +119,11 @@ def test_attributions_sum_to_the_prediction(parts, regressors):
     model = regressors["Random Forest"]
     test = parts[2]
     rows = explain.attributions(test, model.stages[-1], ["date_time", "hour"]).collect()
+    nodes = explain.tree_nodes(test, model.stages[-1])
+    assert len(explain.tree_groups(nodes, 60)) > 1
+    grouped = explain.attributions(test, model.stages[-1], ["date_time"], max_nodes=60).collect()
+    by_time = {r["date_time"]: r for r in grouped}
+    assert all(by_time[r["date_time"]]["attribution"] == pytest.approx(r["attribution"]) for r in rows)
     predicted = {r["date_time"]: r["prediction"] for r in model.transform(test).select("date_time", "prediction").collect()}
     assert len(rows) == len(predicted)
     for r in rows:

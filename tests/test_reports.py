@@ -123,7 +123,7 @@ def test_nearest_single(spark):
 def test_nearest_against_plain_python(spark, observed, asked):
     rows = [(i, START + timedelta(minutes=m)) for i, m in enumerate(asked)]
     requests = spark.createDataFrame(rows, "id int, requested_date_time timestamp_ntz")
-    out = asof.nearest_readings(requests, _observed(spark, observed), fields=["traffic_volume"], block_hours=24)
+    out = asof.nearest_readings(requests, _observed(spark, observed), fields=["traffic_volume"], slices=5)
     got = {r["id"]: (r["traffic_volume"], r["exact_match"]) for r in out.collect()}
     for i, m in enumerate(asked):
         near = min(set(observed), key=lambda o: (abs(o - m), o))

@@ -128,3 +128,11 @@ def test_silhouette(spark):
     lone = df.where("id < 3")
     assert metrics.silhouette_scores(lone, "id", "x", "c").where("id = 2").first()["silhouette"] == 0.0
     assert metrics.silhouette_scores(df, "id", "x", "c", sample_size=3).count() == 3
+
+
+def test_hashed_sample_is_the_same_with_and_without_the_bound(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 1.0).alias("v"))
+    few = [r["id"] for r in metrics.hashed_sample(df, "id", 20).collect()]
+    want = [r["id"] for r in df.orderBy(F.md5(F.col("id").cast("string")), "id").limit(20).collect()]
+    assert few == want
+    assert metrics.hashed_sample(df, "id", 5000).count() == 5000

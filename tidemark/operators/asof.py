@@ -9,26 +9,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import micros_of
-from tidemark.operators.series import BLOCK_HOURS, block_of
+from tidemark.operators.ranks import slice_edges, slices_for, with_slice
 
 FIELDS = ("traffic_volume", "weather_main", "weather_description", "temp")
 
 
 def nearest_times(
-    requests: DataFrame, observed: DataFrame, requested: str, ts: str, block_hours: int = BLOCK_HOURS
+    requests: DataFrame, observed: DataFrame, requested: str, ts: str, slices: int | None = None
 ) -> DataFrame:
     """(requested, nearest) for each distinct requested time; the earlier time wins a tie.
 
-    Requested and observed times are merged inside blocks of time, so each task orders
-    one block. Times beyond a block's border come from a table of block ends. Requests
-    are made distinct first: a time asked for by a third of all requests is one point.
+    Requested and observed times are merged inside slices of time that hold about equally
+    many readings, so each task orders one slice, also where a burst holds a third of them.
+    Times beyond a slice's border come from a table of slice ends. Requests are made
+    distinct first: a time asked for by a third of all requests is one point.
     """
     observed_at = observed.where(F.col(ts).isNotNull()).select(F.col(ts).alias("t")).distinct()
     asked = requests.where(F.col(requested).isNotNull()).select(F.col(requested).alias("t")).distinct()
     points = observed_at.withColumn("seen", F.col("t")).unionByName(
         asked.withColumn("seen", F.lit(None).cast("timestamp_ntz"))
     )
-    points = points.withColumn("_block", block_of("t", block_hours))
+    # Microseconds of any year up to 2255 are whole numbers a double holds exactly.
+    points = points.withColumn("at", micros_of("t").cast("double"))
+    points = with_slice(points, "at", slice_edges(points, "at", slices or slices_for(points.count())), "_block")
 
     ends = points.groupBy("_block").agg(F.min("seen").alias("low"), F.max("seen").alias("high"))
     up = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
-from tidemark.session import run_folder
+from tidemark.session import materialize, run_folder
 
 _CELLS = 2_000_000
+_MAX_BROADCAST_NODES = 2_000_000
 
 
 def tree_nodes(df: DataFrame, model: RandomForestRegressionModel) -> pd.DataFrame:
@@ -100,30 +101,52 @@ def attributions(
     model: RandomForestRegressionModel,
     keep: Sequence[str],
     columns: Sequence[str] = tuple(vocab.FEATURES),
+    max_nodes: int = _MAX_BROADCAST_NODES,
 ) -> DataFrame:
     """(keep, base, attribution array) per row; base + attributions = prediction.
 
     Rows stay where they are: the leaves are broadcast and each Arrow batch is a few
-    matrix operations.
+    matrix operations. A forest beyond ``max_nodes`` is taken in groups of trees, one
+    pass over the rows per group, so no broadcast outgrows that bound.
     """
     nodes = tree_nodes(df, model)
-    leaves = leaf_conditions(nodes)
     n_trees = nodes["tree"].nunique()
-    base = sum(float((v * share.prod(axis=1)).sum()) for v, _, _, _, share in leaves.values()) / n_trees
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
     keep, columns = list(keep), list(columns)
+    out = df.select(
+        *keep,
+        F.lit(0.0).alias("base"),
+        F.array(*[F.lit(0.0)] * len(columns)).alias("attribution"),
+        F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"),
+    )
+    groups = tree_groups(nodes, max_nodes)
+    for group in groups:
+        leaves = leaf_conditions(group)
+        base = sum(float((v * share.prod(axis=1)).sum()) for v, _, _, _, share in leaves.values()) / n_trees
+        out = out.mapInPandas(_adder(df.sparkSession.sparkContext.broadcast(leaves), base, n_trees), out.schema)
+        if len(groups) > 1:
+            out = materialize(out, "attributions")
+    return out.drop("_x")
+
+
+def tree_groups(nodes: pd.DataFrame, max_nodes: int) -> list[pd.DataFrame]:
+    """Whole trees packed into groups of at most ``max_nodes`` nodes (or one tree)."""
+    sizes = nodes.groupby("tree").size()
+    number = ((sizes.cumsum() - sizes) // max_nodes).to_dict()
+    return [g for _, g in nodes.groupby(nodes["tree"].map(number))]
+
+
+def _adder(shared, base: float, n_trees: int):
+    """Adds the share of one group of trees to base and attributions of each batch."""
 
     def explain(batches):
         for batch in batches:
-            x = np.stack(batch["_x"].to_numpy()) if len(batch) else np.zeros((0, len(columns)))
-            part = batch[keep].copy()
-            part["base"] = base
-            part["attribution"] = list(box_attributions(x, shared.value, n_trees))
-            yield part
-
-    source = df.select(*keep, F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "_x")
-    return source.mapInPandas(explain, f"{kept}, base double, attribution array<double>")
+            if len(batch):
+                found = box_attributions(np.stack(batch["_x"].to_numpy()), shared.value, n_trees)
+                batch["base"] = batch["base"] + base
+                batch["attribution"] = list(np.stack(batch["attribution"].to_numpy()) + found)
+            yield batch
+
+    return explain
 
 
 def attribution_rank(attributed: DataFrame, columns: Sequence[str] = tuple(vocab.FEATURES), top_n: int | None = None) -> DataFrame:

@@ -169,6 +169,15 @@ def unmapped_values(df: DataFrame, c: str, known: Sequence[str]) -> DataFrame:
     return found.join(F.broadcast(table), c, "left_anti")
 
 
+def unknown_keys(df: DataFrame, c: str, known: DataFrame, known_c: str) -> DataFrame:
+    """Distinct values of a column that are no key of another table, with their row counts.
+
+    Rows are counted per value first, so the anti join sees each value once.
+    """
+    found = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n_rows"))
+    return found.join(known.select(F.col(known_c).alias(c)), c, "left_anti")
+
+
 def add_rule_attributes(df: DataFrame, level: str = "risk_congestion_category") -> DataFrame:
     """The four categorical columns association rules are mined from."""
     return df.withColumns(

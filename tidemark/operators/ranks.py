@@ -17,14 +17,21 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.bounds import broadcast_if_small
 
-SLICES = 256
+MIN_SLICES, MAX_SLICES = 256, 20_000
+ROWS_PER_SLICE = 2_000_000
 IN_MEMORY_ROWS = 250_000
 
 
-def slice_edges(df: DataFrame, value: str, slices: int = SLICES) -> list[float]:
-    """Ascending distinct cut points that split ``value`` about evenly."""
+def slices_for(n_rows: int) -> int:
+    """Enough slices that one of them is a comfortable task."""
+    return min(MAX_SLICES, max(MIN_SLICES, n_rows // ROWS_PER_SLICE))
+
+
+def slice_edges(df: DataFrame, value: str, slices: int) -> list[float]:
+    """Ascending distinct cut points that split ``value`` about evenly, at most ``slices``."""
     steps = [i / slices for i in range(1, slices)]
-    found = df.agg(F.approx_percentile(F.col(value).cast("double"), steps).alias("edges")).first()["edges"]
+    sketch = F.approx_percentile(F.col(value).cast("double"), steps, max(10_000, 4 * slices))
+    found = df.agg(sketch.alias("edges")).first()["edges"]
     return sorted(set(found or []))
 
 
@@ -37,7 +44,7 @@ def with_slice(df: DataFrame, value: str, edges: Sequence[float], out: str = "sl
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: dict[str, Column], keys: Sequence[str] = (), slices: int = SLICES
+    df: DataFrame, order: str, sums: dict[str, Column], keys: Sequence[str] = (), slices: int | None = None
 ) -> DataFrame:
     """One row per distinct ``order`` value (and key) with its totals and the totals before it.
 
@@ -46,6 +53,7 @@ def running_totals(
     all rows is reduced before the shuffle.
     """
     keys = list(keys)
+    slices = slices or slices_for(df.count())
     points = df.groupBy(*keys, order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     sliced = with_slice(points.withColumn("_at", F.col(order).cast("double")), "_at", slice_edges(df, order, slices))
     per_slice = sliced.groupBy(*keys, "slice").agg(*[F.sum(n).alias(f"{n}_slice") for n in sums])
@@ -78,7 +86,7 @@ def exact_quantiles(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     in_memory_rows: int = IN_MEMORY_ROWS,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles: one row per key, one array per value column.
 
@@ -94,10 +102,11 @@ def exact_quantiles(
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
     rows = rows.select(*keys, *cells)
-    if rows.count() <= in_memory_rows:
+    n_rows = rows.count()
+    if n_rows <= in_memory_rows:
         return rows.groupBy(*keys).agg(*[F.percentile(v, [float(p) for p in probs]).alias(v) for v in values])
     parts = [
-        _sliced_quantiles(rows.select(*keys, F.col(v).alias("_v")).where("_v is not null"), probs, keys, slices)
+        _sliced_quantiles(rows.select(*keys, F.col(v).alias("_v")).where("_v is not null"), probs, keys, slices or slices_for(n_rows))
         .withColumnRenamed("quantiles", v)
         for v in values
     ]

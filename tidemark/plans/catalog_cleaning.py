@@ -141,5 +141,5 @@ def impute_counts(spark, sf):
 SELECT holiday, round(temp, 6) AS temp, round(rain_1h, 6) AS rain_1h, round(snow_1h, 6) AS snow_1h,
   CAST(clouds_all AS BIGINT) AS clouds_all, weather_main, weather_description, date_time,
   CAST(traffic_volume AS BIGINT) AS traffic_volume FROM clean""")
-def clean_pipeline(spark, sf):
+def cleaned_hours(spark, sf):
     return tidy(clean_readings(spark, sf)).select(*vocab.RAW_COLUMNS)

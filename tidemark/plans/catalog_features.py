@@ -133,15 +133,12 @@ def unmapped_values(spark, sf):
     return ft.unmapped_values(raw_readings(spark, sf), "weather_main", vocab.WEATHER)
 
 
-@query("""SELECT column_name FROM (DESCRIBE events) WHERE column_name NOT IN
-  (SELECT column_name FROM (DESCRIBE orders)) AND EXISTS (SELECT 1 FROM events)""")
-def unknown_columns(spark, sf):
-    """Names the first table has and the second lacks, as a set difference."""
-    def names(df):
-        rows = df.agg(F.count("*").alias("n")).where("n > 0")
-        return rows.select(F.explode(F.array(*[F.lit(c) for c in df.columns])).alias("column_name"))
-
-    return names(table(spark, sf, "events")).exceptAll(names(table(spark, sf, "orders")))
+@query("""SELECT user_id, count(*) AS n_rows FROM events
+WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY 1""")
+def unknown_keys(spark, sf):
+    """Keys of one table that another does not hold."""
+    urgent = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'")
+    return ft.unknown_keys(table(spark, sf, "events"), "user_id", urgent, "o_custkey")
 
 
 _DAY_PART = """CASE WHEN hour(date_time) <= 5 THEN 'Night' WHEN hour(date_time) <= 9 THEN 'Morning Rush'
