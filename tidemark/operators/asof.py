@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import micros_of
-from tidemark.operators.ranks import slice_edges, slices_for, with_slice
+from tidemark.operators.ranks import IN_MEMORY_ROWS, slice_edges, slices_for, with_slice
+from tidemark.session import materialize
 
 FIELDS = ("traffic_volume", "weather_main", "weather_description", "temp")
 
@@ -30,8 +31,10 @@ def nearest_times(
         asked.withColumn("seen", F.lit(None).cast("timestamp_ntz"))
     )
     # Microseconds of any year up to 2255 are whole numbers a double holds exactly.
-    points = points.withColumn("at", micros_of("t").cast("double"))
-    points = with_slice(points, "at", slice_edges(points, "at", slices or slices_for(points.count())), "_block")
+    points = materialize(points.withColumn("at", micros_of("t").cast("double")), "points")
+    n = points.count()
+    edges = slice_edges(points, "at", slices or slices_for(n)) if slices or n > IN_MEMORY_ROWS else []
+    points = with_slice(points, "at", edges, "_block")
 
     ends = points.groupBy("_block").agg(F.min("seen").alias("low"), F.max("seen").alias("high"))
     up = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

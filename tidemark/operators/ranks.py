@@ -90,10 +90,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles: one row per key, one array per value column.
 
-    Missing values (NaN included) and rows with a missing key are left out. A table
-    counted to be small uses the built-in aggregate. A larger one is never ordered as
-    a whole: slice counts locate the slices that hold the wanted ranks, and only their
-    rows (about ``len(probs) / slices`` of the table) are grouped by value and ranked.
+    Missing values (NaN included) and rows with a missing key are left out. If the largest
+    group is counted to be small, the built-in aggregate does the work. Larger groups are
+    never ordered as a whole: slice counts locate the slices that hold the wanted ranks,
+    and only their rows (about ``len(probs) / slices`` of the table) are grouped by value
+    and ranked. Several columns go through the same passes, as one more key.
     """
     keys, values = list(keys), [values] if isinstance(values, str) else list(values)
     number = [F.col(v).cast("double") for v in values]
@@ -102,18 +103,20 @@ def exact_quantiles(
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
     rows = rows.select(*keys, *cells)
-    n_rows = rows.count()
-    if n_rows <= in_memory_rows:
+    groups = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    size = groups.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    if (size["largest"] or 0) <= in_memory_rows:
         return rows.groupBy(*keys).agg(*[F.percentile(v, [float(p) for p in probs]).alias(v) for v in values])
-    parts = [
-        _sliced_quantiles(rows.select(*keys, F.col(v).alias("_v")).where("_v is not null"), probs, keys, slices or slices_for(n_rows))
-        .withColumnRenamed("quantiles", v)
-        for v in values
-    ]
-    out = parts[0]
-    for v, part in zip(values[1:], parts[1:]):
-        out = out.join(part, keys, "full") if keys else out.withColumn(v, part.select(v).scalar())
-    return out
+    pairs = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).alias("value")) for v in values])
+    long = rows.select(*keys, F.explode(pairs).alias("c")).select(
+        *keys, F.col("c.column").alias("_column"), F.col("c.value").alias("_v")
+    )
+    found = _sliced_quantiles(
+        long.where("_v is not null"), probs, [*keys, "_column"], slices or slices_for(size["total"] * len(values))
+    )
+    return found.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_column") == v, F.col("quantiles"))).alias(v) for v in values]
+    )
 
 
 def _sliced_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str], slices: int) -> DataFrame:
