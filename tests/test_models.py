@@ -63,7 +63,15 @@ def test_missing_input_is_an_error(parts, regressors):
 
 def test_versions(parts, tmp_path):
     versions = {"big": {"numTrees": 12, "maxDepth": 8, "minInstancesPerNode": 1}, "small": {"numTrees": 2, "maxDepth": 2, "minInstancesPerNode": 10}}
-    rows = {r["version"]: r for r in models.compare_versions(parts[1], parts[2], str(tmp_path), versions=versions).collect()}
+    table = models.compare_versions(parts[1], parts[2], str(tmp_path), versions=versions)
+    rows = {r["version"]: r for r in table.collect()}
+    registry.register_versions(table, str(tmp_path / "runs"), str(tmp_path / "aliases"), "volume", "big")
+    model, version = registry.load_by_alias(table.sparkSession, str(tmp_path / "aliases"), "volume")
+    assert version == 1
+    base = table.sparkSession.range(1).select(models.baseline_mae(model, parts[2])).first()[0]
+    assert base == pytest.approx(rows["big"]["mae"])
+    runs = table.sparkSession.read.schema(schemas.RUN_LOG).parquet(str(tmp_path / "runs"))
+    assert {r["run_name"]: r["model_path"] is not None for r in runs.collect()} == {"volume big": True, "volume small": False}
     assert rows["big"]["size_mb"] > rows["small"]["size_mb"] > 0 and rows["big"]["mae"] < rows["small"]["mae"]
 
 
@@ -84,6 +92,13 @@ def test_registry_round_trip(spark, regressors, parts, tmp_path):
     assert [(r["run_name"], r["k"], r["mae"], r["r2"]) for r in rows] == [("first", "5", 3.0, 0.5), ("second", "6", 2.0, None)]
 
 
+def test_evaluations_become_runs(spark, regressors, parts, tmp_path):
+    path = str(tmp_path / "runs")
+    registry.log_evaluation(models.evaluate_regressors(regressors, parts[2]), path, {"trees": 8}, {"task": "volume"})
+    rows = registry.compare_runs(spark.read.schema(schemas.RUN_LOG).parquet(path), ["mae", "r2"], ["trees"]).collect()
+    assert {r["run_name"] for r in rows} == set(regressors) and all(r["mae"] > 0 and r["trees"] == "8" for r in rows)
+
+
 def _requests(parts):
     return parts[0].select(
         "date_time", "weather_main", "temp", "rain_1h", "snow_1h", F.col("clouds_all").cast("double").alias("clouds_all"),

@@ -123,6 +123,11 @@ def evaluate_regressors(models: Mapping[str, PipelineModel], test: DataFrame, la
     )
 
 
+def baseline_mae(model: PipelineModel, test: DataFrame, label: str = "traffic_volume") -> Column:
+    """Held-out error of the model in production, as a scalar for the drift check."""
+    return regression_metrics(model.transform(test), label).select("mae").scalar()
+
+
 def importances(
     spark: SparkSession, model: PipelineModel, columns: Sequence[str] = tuple(vocab.FEATURES), top_n: int | None = 8
 ) -> DataFrame:

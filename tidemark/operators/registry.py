@@ -39,6 +39,49 @@ def append_run(
     return run_id
 
 
+def log_evaluation(
+    evaluation: DataFrame, path: str, params: Mapping[str, object] | None = None, tags: Mapping[str, str] | None = None
+) -> None:
+    """Append one run per row of an evaluation table (``model`` and metric columns)."""
+    def literal_map(items: Mapping[str, object]):
+        cells = [F.lit(x) for k, v in items.items() for x in (k, v if isinstance(v, str) else json.dumps(v))]
+        return (F.create_map(*cells) if cells else F.create_map()).cast("map<string,string>")
+
+    names = [c for c in evaluation.columns if c != "model"]
+    metrics = F.create_map(*[x for c in names for x in (F.lit(c), F.col(c).cast("double"))])
+    rows = evaluation.select(
+        F.uuid().alias("run_id"),
+        F.col("model").alias("run_name"),
+        F.localtimestamp().alias("start_time"),
+        literal_map(params or {}).alias("params"),
+        metrics.alias("metrics"),
+        literal_map(tags or {}).alias("tags"),
+        F.lit(None).cast("string").alias("model_path"),
+    )
+    rows.write.mode("append").parquet(path)
+
+
+def register_versions(
+    versions: DataFrame, runs_path: str, aliases_path: str, model: str, production: str, registered: int = 1
+) -> None:
+    """Log a version comparison (see ``compare_versions``) and point ``production`` at one.
+
+    Only that version keeps its model path; the others are logged by their numbers.
+    """
+    spark = versions.sparkSession
+    for row in versions.collect():
+        kept = row["version"] == production
+        append_run(
+            spark, runs_path, f"{model} {row['version']}",
+            {c: row[c] for c in ("num_trees", "max_depth", "min_leaf")},
+            {c: row[c] for c in ("size_mb", "train_seconds", "mae", "r2")},
+            {"artifact_retained": str(kept).lower()},
+            row["path"] if kept else None,
+        )
+        if kept:
+            set_alias(spark, aliases_path, model, "production", registered, row["path"])
+
+
 def compare_runs(runs: DataFrame, metrics: Sequence[str], params: Sequence[str] = ()) -> DataFrame:
     """One row per run in start order, chosen params and metrics as columns."""
     return runs.select(

@@ -130,10 +130,19 @@ def windowed_drift(
 
 
 def first_per_time(
-    readings: DataFrame, key: str = "date_time", event_time: str = "event_time", delay: str = "1 hour"
+    readings: DataFrame, key: str = "date_time", event_time: str = "event_time", delay: str = "1 hour", salts: int = 8
 ) -> DataFrame:
-    """The first reading of each key to arrive; state is kept for ``delay`` of event time."""
-    return readings.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    """The first reading of each key to arrive; state is kept for ``delay`` of event time.
+
+    A stream has no map-side step before this operator, so a key is first reduced within
+    ``salts`` parts of its rows and then once more: a key that brings a third of a batch is
+    spread over that many tasks.
+    """
+    rows = readings.withWatermark(event_time, delay)
+    if salts > 1:
+        part = F.pmod(F.xxhash64(*readings.columns), F.lit(salts))
+        rows = rows.withColumn("_part", part).dropDuplicatesWithinWatermark([key, "_part"]).drop("_part")
+    return rows.dropDuplicatesWithinWatermark([key])
 
 
 def join_late_truth(
@@ -142,17 +151,23 @@ def join_late_truth(
     horizon: str = "7 days",
     request_delay: str = "1 hour",
     truth_delay: str = "1 hour",
+    salts: int = 8,
 ) -> DataFrame:
     """Predictions with the volume observed later.
 
     ``log`` is keyed by ``input_date_time`` with event time ``request_timestamp``,
     ``observed`` by ``date_time`` with event time ``observed_at``. A truth must arrive
-    within ``horizon`` of its request, which is what lets both states be dropped.
+    within ``horizon`` of its request, which is what lets both states be dropped. The
+    requests for one hour are spread over ``salts`` parts and the few truths copied to
+    each, so an hour that everyone asks about is not one task.
     """
-    asked = log.withWatermark("request_timestamp", request_delay).alias("l")
-    truth = observed.withWatermark("observed_at", truth_delay).alias("t")
+    part = F.pmod(F.xxhash64("request_timestamp", "input_date_time", "predicted_traffic_volume"), F.lit(salts))
+    asked = log.withWatermark("request_timestamp", request_delay).withColumn("_part", part).alias("l")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
+    truth = observed.withWatermark("observed_at", truth_delay).withColumn("_part", copies).alias("t")
     on = (
         (F.col("l.input_date_time") == F.col("t.date_time"))
+        & (F.col("l._part") == F.col("t._part"))
         & (F.col("t.observed_at") >= F.col("l.request_timestamp"))
         & (F.col("t.observed_at") <= F.col("l.request_timestamp") + F.expr(f"interval {horizon}"))
     )
