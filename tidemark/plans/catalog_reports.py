@@ -55,9 +55,9 @@ def distinct_readings(spark, sf):
     return distinct_view(hourly_by_type(spark, sf), ["date_time", "traffic_volume"], "hourly_traffic")
 
 
-@query(f"WITH {HOURLY_TYPE_SQL} SELECT DISTINCT date_time, round(temp, 6) AS temp, traffic_volume FROM he")
+@query(f"WITH {HOURLY_TYPE_SQL} SELECT DISTINCT date_time, round(temp, 9) AS temp, traffic_volume FROM he")
 def distinct_weather_readings(spark, sf):
-    rows = rounded(hourly_by_type(spark, sf).select("date_time", "temp", "traffic_volume"))
+    rows = rounded(hourly_by_type(spark, sf).select("date_time", "temp", "traffic_volume"), 9)
     return distinct_view(rows, ["date_time", "temp", "traffic_volume"], "hourly_weather")
 
 
@@ -214,9 +214,9 @@ def exact_quantiles_sliced(spark, sf):
 _SERIES_SQL = """obs AS (
   SELECT date_trunc('hour', ts) AS date_time, count(*) AS traffic_volume, avg(value) AS temp
   FROM events WHERE event_type = 'purchase' GROUP BY 1),
-req AS (SELECT event_id, ts AS t FROM events WHERE event_type = 'error'
-        UNION ALL SELECT event_id, date_trunc('hour', ts) FROM events WHERE event_type = 'signup'
-        UNION ALL SELECT event_id, ts - INTERVAL 40 DAY FROM events WHERE event_type = 'click')"""
+req AS (SELECT event_id, CASE event_type WHEN 'error' THEN ts WHEN 'signup' THEN date_trunc('hour', ts)
+  WHEN 'purchase' THEN date_trunc('hour', ts) + INTERVAL 30 MINUTE WHEN 'click' THEN ts - INTERVAL 40 DAY
+  ELSE ts + INTERVAL 40 DAY END AS t FROM events)"""
 
 
 def purchase_hours(spark, sf):
@@ -227,14 +227,18 @@ def purchase_hours(spark, sf):
 
 
 def _requests(spark, sf):
-    """Times off the hour, on the hour and before the first reading."""
-    ev = table(spark, sf, "events")
+    """A request per event: off the hour, on it, half way between two, before the first
+    reading and after the last."""
+    days = F.make_dt_interval(F.lit(40))
+    half = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(30))
     when = (
         F.when(F.col("event_type") == "error", F.col("ts"))
         .when(F.col("event_type") == "signup", x.hour_start("ts"))
-        .when(F.col("event_type") == "click", F.col("ts") - F.make_dt_interval(F.lit(40)))
+        .when(F.col("event_type") == "purchase", x.hour_start("ts") + half)
+        .when(F.col("event_type") == "click", F.col("ts") - days)
+        .otherwise(F.col("ts") + days)
     )
-    return ev.select("event_id", when.alias("requested_date_time")).where("requested_date_time is not null")
+    return table(spark, sf, "events").select("event_id", when.alias("requested_date_time"))
 
 
 @query(f"""WITH {_SERIES_SQL},

@@ -4,86 +4,75 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import expressions as x
 from tidemark.operators import metrics, series, split
 from tidemark.operators.features import moments
-from tidemark.plans.catalog_reports import purchase_hours
 from tidemark.plans.registry import query, rounded, tidy, wide_ints
-from tidemark.plans.standins import FEATURE_SQL, HOURLY_SQL, feature_table, hourly, table
+from tidemark.plans.standins import FEATURE_SQL, HOURLY_SQL, feature_table, hourly, hourly_by_type, table
 
-_OBS = """obs AS (SELECT date_trunc('hour', ts) AS date_time, count(*) AS traffic_volume, avg(value) AS temp
-  FROM events WHERE event_type = 'purchase' GROUP BY 1)"""
+# One series per event type: hours without an event of the type are its gaps.
+KEYS = ["event_type"]
+_OBS = """obs AS (SELECT event_type, date_trunc('hour', ts) AS date_time, count(*) AS traffic_volume, avg(value) AS temp
+  FROM events GROUP BY 1, 2)"""
 _STEPS = f"""{_OBS},
-steps AS (SELECT date_time, lag(date_time) OVER (ORDER BY date_time) AS previous,
-  date_diff('second', lag(date_time) OVER (ORDER BY date_time), date_time) / 3600 AS step_hours FROM obs)"""
+steps AS (SELECT event_type, date_time, lag(date_time) OVER o AS previous,
+  date_diff('second', lag(date_time) OVER o, date_time) / 3600 AS step_hours
+  FROM obs WINDOW o AS (PARTITION BY event_type ORDER BY date_time))"""
 
 
-@query(f"WITH {_STEPS} SELECT date_time, previous, round(CAST(step_hours AS DOUBLE), 6) AS step_hours FROM steps")
+def _series(spark, sf):
+    return hourly_by_type(spark, sf).select("event_type", "date_time", "traffic_volume", "temp")
+
+
+@query(f"WITH {_STEPS} SELECT event_type, date_time, previous, round(CAST(step_hours AS DOUBLE), 6) AS step_hours FROM steps")
 def gap_steps(spark, sf):
-    return rounded(series.gap_steps(purchase_hours(spark, sf), block_hours=48))
+    return rounded(series.gap_steps(_series(spark, sf), keys=KEYS, block_hours=48))
 
 
 @query(f"""WITH {_STEPS}
-SELECT count(*) AS n_rows, count(CASE WHEN step_hours = 1 THEN 1 END) AS one_hour_steps,
+SELECT event_type, count(*) AS n_rows, count(CASE WHEN step_hours = 1 THEN 1 END) AS one_hour_steps,
   count(CASE WHEN step_hours > 1 THEN 1 END) AS gap_events,
-  CAST(coalesce(sum(CASE WHEN step_hours > 1 THEN step_hours - 1 END), 0) AS BIGINT) AS missing_hours FROM steps""")
+  CAST(coalesce(sum(CASE WHEN step_hours > 1 THEN step_hours - 1 END), 0) AS BIGINT) AS missing_hours FROM steps GROUP BY 1""")
 def gap_stats(spark, sf):
-    return series.gap_stats(purchase_hours(spark, sf), block_hours=48)
-
-
-_TYPE_SERIES = """s AS (SELECT DISTINCT event_type, date_trunc('hour', ts) AS date_time FROM events),
-d AS (SELECT *, date_diff('hour', lag(date_time) OVER (PARTITION BY event_type ORDER BY date_time), date_time) AS g FROM s)"""
-
-
-def _type_hours(spark, sf):
-    return table(spark, sf, "events").select("event_type", x.hour_start("ts").alias("date_time")).distinct()
-
-
-@query(f"""WITH {_TYPE_SERIES}
-SELECT event_type, count(*) AS n_rows, count(CASE WHEN g = 1 THEN 1 END) AS one_hour_steps,
-  count(CASE WHEN g > 1 THEN 1 END) AS gap_events,
-  CAST(coalesce(sum(CASE WHEN g > 1 THEN g - 1 END), 0) AS BIGINT) AS missing_hours FROM d GROUP BY 1""")
-def gap_stats_by_series(spark, sf):
-    return series.gap_stats(_type_hours(spark, sf), keys=["event_type"])
+    return series.gap_stats(_series(spark, sf), keys=KEYS)
 
 
 @query(f"""WITH {_STEPS}
-SELECT date_time, previous, round(CAST(step_hours AS DOUBLE), 6) AS step_hours FROM steps WHERE step_hours > 1
-ORDER BY step_hours DESC, date_time LIMIT 10""")
+SELECT event_type, date_time, previous, round(CAST(step_hours AS DOUBLE), 6) AS step_hours FROM steps WHERE step_hours > 1
+ORDER BY step_hours DESC, date_time, event_type LIMIT 10""")
 def largest_gaps(spark, sf):
-    return rounded(series.largest_gaps(purchase_hours(spark, sf)))
+    return rounded(series.largest_gaps(_series(spark, sf), keys=KEYS))
 
 
 def _count_sql(n: int) -> str:
-    return f"""SELECT CAST({n} AS BIGINT) AS lookback, greatest(count(*) - {n}, 0) AS candidates,
-  count(CASE WHEN date_diff('second', p{n}, date_time) = {n} * 3600 THEN 1 END) AS valid FROM lags"""
+    return f"""SELECT event_type, CAST({n} AS BIGINT) AS lookback, greatest(count(*) - {n}, 0) AS candidates,
+  count(CASE WHEN date_diff('second', p{n}, date_time) = {n} * 3600 THEN 1 END) AS valid FROM lags GROUP BY 1"""
 
 
 @query(f"""WITH {_OBS},
-lags AS (SELECT date_time, lag(date_time, 6) OVER o AS p6, lag(date_time, 12) OVER o AS p12,
-  lag(date_time, 24) OVER o AS p24 FROM obs WINDOW o AS (ORDER BY date_time))
+lags AS (SELECT event_type, date_time, lag(date_time, 6) OVER o AS p6, lag(date_time, 12) OVER o AS p12,
+  lag(date_time, 24) OVER o AS p24 FROM obs WINDOW o AS (PARTITION BY event_type ORDER BY date_time))
 {_count_sql(6)} UNION ALL {_count_sql(12)} UNION ALL {_count_sql(24)}""")
 def valid_windows(spark, sf):
-    return wide_ints(series.window_counts(purchase_hours(spark, sf), block_hours=72))
+    return wide_ints(series.window_counts(_series(spark, sf), keys=KEYS, block_hours=72))
 
 
 _WINDOWS = f"""{_OBS},
-t AS (SELECT date_time AS target_time, traffic_volume AS target FROM (
-  SELECT *, lag(date_time, 24) OVER (ORDER BY date_time) AS p FROM obs)
+t AS (SELECT event_type, date_time AS target_time, traffic_volume AS target FROM (
+  SELECT *, lag(date_time, 24) OVER (PARTITION BY event_type ORDER BY date_time) AS p FROM obs)
   WHERE date_diff('second', p, date_time) = 24 * 3600),
-w AS (SELECT target_time, CAST(target AS DOUBLE) AS target,
+w AS (SELECT t.event_type, target_time, CAST(target AS DOUBLE) AS target,
   24 + date_diff('hour', target_time, date_time) AS step, CAST(traffic_volume AS DOUBLE) AS traffic_volume, temp
-  FROM t JOIN obs ON date_time < target_time AND date_time >= target_time - INTERVAL 24 HOUR)"""
+  FROM t JOIN obs ON obs.event_type = t.event_type AND date_time < target_time AND date_time >= target_time - INTERVAL 24 HOUR)"""
 
 
 def _windows(spark, sf):
-    return series.lookback_windows(purchase_hours(spark, sf), ["traffic_volume", "temp"], block_hours=72)
+    return series.lookback_windows(_series(spark, sf), ["traffic_volume", "temp"], keys=KEYS, block_hours=72)
 
 
 @query(f"""WITH {_WINDOWS}
-SELECT target_time, target, step, traffic_volume, round(temp, 6) AS temp FROM w""")
+SELECT event_type, target_time, target, step, traffic_volume, round(temp, 6) AS temp FROM w""")
 def window_sequences(spark, sf):
-    return tidy(series.steps_long(_windows(spark, sf)))
+    return tidy(series.steps_long(_windows(spark, sf), KEYS))
 
 
 _CUTOFF = "(SELECT date_time FROM (SELECT date_time, row_number() OVER (ORDER BY date_time) - 1 AS r, count(*) OVER () AS n FROM {t}) WHERE r = CAST(floor(n * (1 - 0.2)) AS BIGINT))"
@@ -101,22 +90,23 @@ def training_scales(obs, cutoff):
 
 
 @query(f"""WITH {_SCALED}
-SELECT target_time, CASE WHEN target_time < cutoff THEN 'train' ELSE 'test' END AS split,
+SELECT event_type, target_time, CASE WHEN target_time < cutoff THEN 'train' ELSE 'test' END AS split,
   round((target - vm) / vs, 6) AS target, step, round((traffic_volume - vm) / vs, 6) AS traffic_volume,
   round((temp - tm) / ts, 6) AS temp FROM w, c, m""")
 def scaled_sequences(spark, sf):
-    obs = purchase_hours(spark, sf)
+    obs = _series(spark, sf)
     cutoff = split.time_cutoff(obs, "date_time")
     scaled = series.scale_windows(_windows(spark, sf), training_scales(obs, cutoff))
-    return tidy(split.with_split(series.steps_long(scaled), "target_time", cutoff))
+    return tidy(split.with_split(series.steps_long(scaled, KEYS), "target_time", cutoff))
 
 
 @query(f"""WITH {_SCALED},
-back AS (SELECT DISTINCT target_time, target AS y, (round((target - vm) / vs, 1)) * vs + vm AS p FROM w, c, m WHERE target_time >= cutoff)
+back AS (SELECT DISTINCT event_type, target_time, target AS y, (round((target - vm) / vs, 1)) * vs + vm AS p FROM w, c, m
+  WHERE target_time >= cutoff)
 SELECT count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2 FROM back""")
 def inverse_scale(spark, sf):
     """Errors of a coarse forecast after going back to the original unit."""
-    obs = purchase_hours(spark, sf)
+    obs = _series(spark, sf)
     cutoff = split.time_cutoff(obs, "date_time")
     scales = training_scales(obs, cutoff)
     windows = series.scale_windows(_windows(spark, sf), scales).where(F.col("target_time") >= F.lit(cutoff))

@@ -17,7 +17,7 @@ from tidemark.plans.catalog_drift import _SPLIT
 from tidemark.plans.catalog_features import scoring_requests
 from tidemark.plans.catalog_models import stored_features
 from tidemark.plans.registry import query, tidy
-from tidemark.plans.standins import TIDY_SQL, readings_of, table, tidy_readings
+from tidemark.plans.standins import HOURLY_SQL, TIDY_SQL, hourly, readings_of, table, tidy_readings
 from tidemark.session import run_folder
 from tidemark.sources import requests as rq
 from tidemark.sources.readers import read_prediction_log
@@ -106,25 +106,27 @@ def stream_dedupe(spark, sf):
     return jobs.run_to_table(kept, "dedupe").select("date_time")
 
 
-@query("""WITH log AS (SELECT event_id, ts AS request_timestamp, date_trunc('hour', ts) + INTERVAL 1 HOUR AS t, value * 10 AS p
-  FROM events WHERE event_type = 'error'),
-obs AS (SELECT event_id AS obs_id, ts AS observed_at, date_trunc('hour', ts) AS t, value AS v FROM events WHERE event_type = 'purchase')
-SELECT request_timestamp, log.t AS input_date_time, round(p, 6) AS predicted_traffic_volume, round(v, 6) AS actual_volume,
-  observed_at, round(abs(p - v), 6) AS absolute_error
-FROM log JOIN obs ON obs.t = log.t AND observed_at >= request_timestamp AND observed_at <= request_timestamp + INTERVAL 7 DAY""")
+@query(f"""WITH {HOURLY_SQL},
+log AS (SELECT event_id, ts AS request_timestamp, date_trunc('hour', ts) + INTERVAL 1 HOUR AS t, value * 10 AS p FROM events)
+SELECT event_id, request_timestamp, log.t AS input_date_time, round(p, 6) AS predicted_traffic_volume,
+  CAST(traffic_volume AS DOUBLE) AS actual_volume, h.date_time + INTERVAL 1 HOUR AS observed_at,
+  round(abs(p - traffic_volume), 6) AS absolute_error
+FROM log JOIN h ON h.date_time = log.t AND h.date_time + INTERVAL 1 HOUR >= request_timestamp
+  AND h.date_time + INTERVAL 1 HOUR <= request_timestamp + INTERVAL 7 DAY""")
 def stream_truth(spark, sf):
-    """Predictions for the next hour joined to the readings that arrive in it."""
-    log = event_stream(spark, sf).where("event_type = 'error'").select(
+    """Every event predicts the next hour; the hours arrive as files when they are over."""
+    log = event_stream(spark, sf).select(
+        "event_id",
         F.col("ts").cast("timestamp").alias("request_timestamp"),
         (hour_start("ts") + F.make_dt_interval(F.lit(0), F.lit(1))).alias("input_date_time"),
         (F.col("value") * 10).alias("predicted_traffic_volume"),
     )
-    observed = event_stream(spark, sf).where("event_type = 'purchase'").select(
-        F.col("ts").cast("timestamp").alias("observed_at"),
-        hour_start("ts").alias("date_time"),
-        F.col("value").alias("traffic_volume"),
-    )
-    out = jobs.run_to_table(jobs.join_late_truth(log, observed), "truth")
+    over = F.col("date_time") + F.make_dt_interval(F.lit(0), F.lit(1))
+    hours = hourly(spark, sf).select("date_time", "traffic_volume", over.cast("timestamp").alias("observed_at"))
+    folder = run_folder(spark, "observed")
+    hours.write.parquet(folder)
+    observed = jobs.file_stream(spark, folder, hours.schema)
+    out = jobs.run_to_table(jobs.join_late_truth(log, observed, keep=["event_id"]), "truth")
     return tidy(
         out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("request_timestamp", "observed_at")})
     )

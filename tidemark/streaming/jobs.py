@@ -6,7 +6,7 @@ batch. Event time must be a zoned ``timestamp``: watermarks reject the zone-free
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,6 +152,7 @@ def join_late_truth(
     request_delay: str = "1 hour",
     truth_delay: str = "1 hour",
     salts: int = 8,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Predictions with the volume observed later.
 
@@ -173,6 +174,7 @@ def join_late_truth(
     )
     error = F.abs(F.col("l.predicted_traffic_volume") - F.col("t.traffic_volume"))
     return asked.join(truth, on).select(
+        *[F.col(f"l.{c}").alias(c) for c in keep],
         F.col("l.request_timestamp").alias("request_timestamp"),
         F.col("l.input_date_time").alias("input_date_time"),
         F.col("l.predicted_traffic_volume").alias("predicted_traffic_volume"),
