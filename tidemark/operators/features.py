@@ -77,10 +77,13 @@ def add_quantile_band(
     labels: Sequence[str],
     missing: str,
     fit_on: DataFrame | None = None,
+    cuts: Sequence[Column] | None = None,
     **kw,
 ) -> DataFrame:
-    """Label each value by where it lies between exact quantiles of ``fit_on``."""
-    cuts = quantile_scalars(fit_on if fit_on is not None else df, c, probs, **kw)
+    """Label each value by where it lies between exact quantiles of ``fit_on``
+    (or between cut points computed before)."""
+    if cuts is None:
+        cuts = quantile_scalars(fit_on if fit_on is not None else df, c, probs, **kw)
     return df.withColumn(out, x.banded(c, cuts, labels, missing))
 
 
@@ -116,8 +119,9 @@ def build_features(clean: DataFrame, **kw) -> DataFrame:
     """Cleaned readings to the full feature table, label included."""
     out = clean.transform(add_time).transform(add_weather)
     out = standardise(out, ["temp", "traffic_volume"])
-    out = add_congestion(out, **kw).transform(add_holiday)
-    return add_risk_congestion(out, **kw).withColumn("high_risk", risk_label())
+    q1, q2, q3 = quantile_scalars(clean, "traffic_volume", [0.25, 0.5, 0.75], **kw)
+    out = add_congestion(out, cuts=[q1, q3]).transform(add_holiday)
+    return add_risk_congestion(out, cuts=[q1, q2, q3]).withColumn("high_risk", risk_label())
 
 
 def request_features(requests: DataFrame, temp_mean: Column, temp_std: Column) -> DataFrame:

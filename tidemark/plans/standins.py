@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import hour_start, monday_zero, weekend_flag
+from tidemark.functions.expressions import hour_start, lookup, monday_zero, weekend_flag
 from tidemark.operators.clean import clean, parse_time, standardise_text
 from tidemark.operators.features import build_features
 from tidemark.session import materialize
@@ -29,12 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _weather() -> Column:
-    out = None
-    for kind, names in WEATHER_OF.items():
-        for i, name in enumerate(names):
-            test = (F.col("event_type") == kind) & (F.col("user_id") % 3 == i)
-            out = F.when(test, name) if out is None else out.when(test, name)
-    return out
+    names = {f"{kind}{i}": name for kind, choices in WEATHER_OF.items() for i, name in enumerate(choices)}
+    return lookup(F.concat("event_type", (F.col("user_id") % 3).cast("string")), names)
 
 
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
