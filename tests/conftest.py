@@ -2,6 +2,11 @@ import sys
 from pathlib import Path
 
 import pytest
+from hypothesis import settings
+
+# The same examples on every run.
+settings.register_profile("steady", derandomize=True, deadline=None)
+settings.load_profile("steady")
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 

@@ -9,17 +9,6 @@ from tidemark.operators import clean as cl
 from tidemark.sources import readers
 
 
-@pytest.fixture(scope="module")
-def raw(spark, tmp_path_factory):
-    path = tmp_path_factory.mktemp("csv") / "raw.csv"
-    path.write_text(RAW_CSV)
-    df = readers.read_raw_csv(spark, str(path))
-    # The file carries its own row number; it replaces the place in the file.
-    numbered = spark.read.option("header", True).csv(str(path))
-    assert [r["_ord"] for r in numbered.collect()] == [str(i) for i in range(1, 12)]
-    return df
-
-
 @pytest.fixture(scope="module")
 def raw_csv_path(tmp_path_factory):
     body = "\n".join(line.split(",", 1)[1] for line in RAW_CSV.strip().splitlines())
@@ -37,6 +26,18 @@ def test_csv_scan_types_and_nulls(spark, raw_csv_path):
     assert [r[0] for r in ordered][:3] == [5500, 4500, 4500]
 
 
+def test_order_follows_files_and_lines(spark, tmp_path):
+    head = ",".join(["holiday", "temp", "rain_1h", "snow_1h", "clouds_all", "weather_main", "weather_description", "date_time", "traffic_volume"])
+    for n, name in enumerate(["a.csv", "b.csv", "c.csv"]):
+        # Files of growing size, so that the scan does not take them in name order.
+        lines = [f"None,1,0,0,1,Clear,x,2020-01-01 00:00:00,{n * 100 + i}" for i in range(5 + 20 * n)]
+        (tmp_path / name).write_text("\n".join([head, *lines]) + "\n")
+    df = readers.read_raw_csv(spark, str(tmp_path))
+    got = [r[0] for r in df.orderBy("_ord").select("traffic_volume").collect()]
+    assert got == [n * 100 + i for n in range(3) for i in range(5 + 20 * n)]
+    assert cl.first_per_key(df, ["date_time"]).first()["traffic_volume"] == 0
+
+
 def test_csv_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_raw_csv(spark, str(tmp_path / "absent.csv"))
