@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
-from tidemark.session import materialize, run_folder
+from tidemark.session import materialize, run_folder, ship_code
 
 _CELLS = 2_000_000
 _MAX_BROADCAST_NODES = 2_000_000
@@ -109,6 +109,7 @@ def attributions(
     matrix operations. A forest beyond ``max_nodes`` is taken in groups of trees, one
     pass over the rows per group, so no broadcast outgrows that bound.
     """
+    ship_code(df.sparkSession)
     nodes = tree_nodes(df, model)
     n_trees = nodes["tree"].nunique()
     keep, columns = list(keep), list(columns)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +62,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = run_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed before a job whose tasks call functions of the package, unless it is
+    installed on every node.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / "tidemark"
+    spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    _shipped.add(app)
