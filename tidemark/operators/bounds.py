@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 20_000
@@ -19,3 +22,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def small_table(spark: SparkSession, columns: dict[str, Iterable], schema: str | None = None) -> DataFrame:
+    """A few fixed rows as a local relation, whose size the planner knows."""
+    return spark.createDataFrame(pa.table({name: list(cells) for name, cells in columns.items()}), schema)

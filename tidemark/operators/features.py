@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
 from tidemark.functions import expressions as x
+from tidemark.operators.bounds import small_table
 from tidemark.operators.ranks import quantile_scalars
 
 
@@ -162,13 +163,13 @@ def add_severity(df: DataFrame, c: str = "weather_main") -> DataFrame:
 
 def left_lookup(df: DataFrame, table: dict, key: str, out: str) -> DataFrame:
     """Join a small fixed table on its key, keeping unmatched rows with null."""
-    rows = df.sparkSession.createDataFrame(list(table.items()), [key, out])
+    rows = small_table(df.sparkSession, {key: table.keys(), out: table.values()})
     return df.join(F.broadcast(rows), key, "left")
 
 
 def unmapped_values(df: DataFrame, c: str, known: Sequence[str]) -> DataFrame:
     """Distinct values outside a fixed vocabulary, with their row counts."""
-    table = df.sparkSession.createDataFrame([(v,) for v in known], [c])
+    table = small_table(df.sparkSession, {c: known}, f"{c} string")
     found = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n_rows"))
     return found.join(F.broadcast(table), c, "left_anti")
 

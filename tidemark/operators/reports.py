@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
 from tidemark.functions import vocab
+from tidemark.operators.bounds import small_table
 from tidemark.operators.ranks import exact_quantiles
 from tidemark.sources.readers import distinct_view
 
@@ -105,16 +106,17 @@ def date_summary(
 
     All dates share one scan and one aggregation.
     """
-    dates = df.sparkSession.createDataFrame(list(labels), "label string, day date")
+    names, days = zip(*labels)
+    dates = small_table(df.sparkSession, {"label": names, "day": days}, "label string, day date")
     readings = distinct_view(df.where(on_dates(ts, [d for _, d in labels])), [ts, temp, volume])
-    days = readings.groupBy(F.to_date(ts).alias("day")).agg(
+    per_day = readings.groupBy(F.to_date(ts).alias("day")).agg(
         F.count("*").alias("n"),
         F.min(temp).alias("low"),
         F.max(temp).alias("high"),
         F.avg(temp).alias("mean"),
         F.avg(volume).alias("volume"),
     )
-    return dates.join(days, "day", "left").select(
+    return dates.join(per_day, "day", "left").select(
         "label",
         F.coalesce("n", F.lit(0)).alias("hours_recorded"),
         F.round("low", 2).alias("min_temp_K"),
