@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,22 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules}
+def _count_of(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secret_scan.find(_read(spark, folder, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE]
+    base = F.filter("spans", lambda x: x["kind"].isin(kinds))
+    return rows.select(
+        "doc_id",
+        *[_count_of("spans", k) for k in kinds],
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES: dict[str, Query] = {"op1_quality_rules": op1_quality_rules, "op4_secret_scan": op4_secret_scan}
 
 SQL: dict[str, str] = {}
