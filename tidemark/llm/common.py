@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
-def attach(left: DataFrame, facts: DataFrame, key: str, n: str, total: int) -> DataFrame:
-    """``left`` with the row of ``facts`` of its ``key`` (null is a key like others), inner.
+def attach(left: DataFrame, facts: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """``left`` with the row of ``facts`` of its ``keys`` (null is a key like others), inner.
 
     ``facts`` has one row per key, and in ``n`` how many rows of ``left`` have it. Keys with
     ``HOT_SHARE`` of the ``total`` rows or more, at most ``1 / HOT_SHARE`` by arithmetic, are
@@ -30,13 +31,13 @@ def attach(left: DataFrame, facts: DataFrame, key: str, n: str, total: int) -> D
     no key is hot. Both inputs are read twice: pass stored tables.
     """
     bound = max(1, int(total * HOT_SHARE))
-    facts = facts.withColumnRenamed(key, "_fact_key")
-    same = F.col(key).eqNullSafe(F.col("_fact_key"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_fact_{k}")) for k in keys])
+    facts = facts.withColumnsRenamed({k: f"_fact_{k}" for k in keys})
+    named = [f"_fact_{k}" for k in keys]
     hot, cold = facts.where(F.col(n) >= bound), facts.where(F.col(n) < bound)
-    few = F.broadcast(hot)
-    by_broadcast = left.join(few, same, "inner")
-    rest = left.join(F.broadcast(hot.select("_fact_key")), same, "left_anti")
-    return by_broadcast.unionByName(rest.join(cold, same, "inner")).drop("_fact_key")
+    by_broadcast = left.join(F.broadcast(hot), same, "inner")
+    rest = left.join(F.broadcast(hot.select(*named)), same, "left_anti")
+    return by_broadcast.unionByName(rest.join(cold, same, "inner")).drop(*named)
 
 
 def split_large(rows: DataFrame, key: str, member: str, block: int) -> DataFrame:

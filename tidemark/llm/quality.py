@@ -132,7 +132,7 @@ def judge(
     facts = hosts.select(
         "host", F.col("host_rows"), *[(F.col(f"rate_{r.name}") > host_rate).alias(f"convicted_{r.name}") for r in rules]
     )
-    joined = attach(measured, facts, "host", "host_rows", total)
+    joined = attach(measured, facts, ["host"], "host_rows", total)
     base = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PCT) * F.col("n_words"))
     failed = F.lit(False)
     for r in rules:
