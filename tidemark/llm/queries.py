@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, secret_scan, simhash
+from tidemark.llm import quality, secret_scan, simhash, spherical
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,10 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_spherical_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return spherical.near_vectors(_read(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(_read(spark, folder, "documents"), simhash.EXACT)
     return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
@@ -48,6 +52,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op6_spherical_filters": op6_spherical_filters,
     "op9_simhash": op9_simhash,
 }
 
