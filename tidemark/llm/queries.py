@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, secret_scan, simhash, spherical
+from tidemark.llm import bpe, packing, quality, secret_scan, simhash, spherical
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,20 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = "byte_bpe_50k.json"
+    rows = bpe.decode(bpe.encode(_read(spark, folder, "documents"), tokenizer), tokenizer)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(_read(spark, folder, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def _count_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
@@ -51,6 +65,8 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_bpe": op2_bpe,
+    "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op6_spherical_filters": op6_spherical_filters,
     "op9_simhash": op9_simhash,
