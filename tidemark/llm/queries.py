@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, quality, secret_scan, simhash, spherical
+from tidemark.llm import bpe, packing, quality, secret_scan, simhash, spherical, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,11 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    back = warc.round_trip(_read(spark, folder, "pages"))
+    return back.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_spherical_filters(spark: SparkSession, folder: str) -> DataFrame:
     return spherical.near_vectors(_read(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
+    "op5_warc": op5_warc,
     "op6_spherical_filters": op6_spherical_filters,
     "op9_simhash": op9_simhash,
 }
