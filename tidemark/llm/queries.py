@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, quality, secret_scan, simhash, spherical, warc
+from tidemark.llm import bpe, packing, quality, secret_scan, simhash, spherical, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,15 @@ def op6_spherical_filters(spark: SparkSession, folder: str) -> DataFrame:
     return spherical.near_vectors(_read(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.detect(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.array_join(F.transform("offending", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("offending"),
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(_read(spark, folder, "documents"), simhash.EXACT)
     return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
@@ -75,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_warc": op5_warc,
     "op6_spherical_filters": op6_spherical_filters,
+    "op7_toxicity": op7_toxicity,
     "op9_simhash": op9_simhash,
 }
 
