@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, quality, secret_scan, simhash, spherical, toxicity, warc
+from tidemark.llm import bpe, edit_counts, packing, quality, secret_scan, simhash, spherical, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,12 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    edited = edit_counts.with_cleaning_edits(_read(spark, folder, "documents"))
+    counts = edit_counts.count(edited)
+    return counts.select("doc_id", "n_before", "n_after", "n_edits", "n_recut", F.sha2("edited", 256).alias("edited_sha256"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(_read(spark, folder, "documents"), simhash.EXACT)
     return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op5_warc": op5_warc,
     "op6_spherical_filters": op6_spherical_filters,
     "op7_toxicity": op7_toxicity,
+    "op8_edit_counts": op8_edit_counts,
     "op9_simhash": op9_simhash,
 }
 
