@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, edit_counts, packing, quality, secret_scan, simhash, spherical, toxicity, warc
+from tidemark.llm import bpe, edit_counts, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,15 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.find(_read(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(list(pii.KINDS)))
+    return rows.select(
+        "doc_id", *[_count_of("spans", k) for k in pii.KINDS],
+        F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
@@ -93,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op7_toxicity": op7_toxicity,
     "op8_edit_counts": op8_edit_counts,
     "op9_simhash": op9_simhash,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {}
