@@ -69,10 +69,10 @@ def repeat_words(windows: Column) -> Column:
 
 
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """One row of counts per row of ``docs``: key, host and the counts, no text."""
+    """One row of counts per row of ``docs``: key, host, a hash of the text and the counts, no text."""
     counts = text_counts(F.col(text))
     step = docs.select(
-        F.col(key).alias("doc_id"), F.col(host).cast("string").alias("host"), words_of(F.col(text)).alias("_words"),
+        F.col(key).alias("doc_id"), F.col(host).cast("string").alias("host"), F.xxhash64(text).alias("h"), words_of(F.col(text)).alias("_words"),
         *[c.alias(n) for n, c in counts.items()],
     )
     zipped = F.arrays_zip(
@@ -83,7 +83,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     windows = F.transform("_zipped", lambda x, i: F.struct(F.xxhash64(x).alias("h"), x.alias("w"), i.alias("i")))
     step = step.withColumn("_windows", F.array_sort(F.filter(windows, lambda x: x["w"]["c"].isNotNull())))
     return step.select(
-        "doc_id", "host", F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "doc_id", "host", "h", F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("_windows")).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"), "n_upper", "n_letters",
@@ -120,7 +120,7 @@ def judge(
     docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", rules: tuple[Rule, ...] = RULES,
     host_rate: float = HOST_RATE,
 ) -> DataFrame:
-    """Verdict per row of ``docs``: counts, ``base_failed``, the host's verdict and ``kept``.
+    """Verdict per row of ``docs``: counts, ``base_failed``, ``host_convicted`` and ``kept``; ``h`` is a hash of the text.
 
     A null text has no words and fails; a null host is one host. Rows that repeat are judged
     each. Columns of ``docs`` other than key, text and host are not read. An empty table gives
@@ -143,3 +143,11 @@ def judge(
         .withColumn("kept", ~base & ~failed)
         .drop(*[f"convicted_{r.name}" for r in rules])
     )
+
+
+def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **rules) -> DataFrame:
+    """``docs`` without the rows that ``judge`` rejects; rows equal in key and text share a verdict by content."""
+    good = judge(docs, key, text, host, **rules).where("kept")
+    good = good.select(F.col("doc_id").alias("_k"), F.col("h").alias("_h"), F.col("host").alias("_host"))
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.xxhash64(text).eqNullSafe(F.col("_h"))
+    return docs.join(good, same & F.col(host).cast("string").eqNullSafe(F.col("_host")), "left_semi")

@@ -219,3 +219,20 @@ def assess(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 def detect(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """Fit on the bounded sample, then (doc_id, score, offending) for every row of ``docs``."""
     return assess(docs, fit(*sample(docs, labels, key, text, label)), key, text)
+
+
+def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more. Rows are dropped where they are read."""
+    spark = docs.sparkSession
+    ship_code(spark)
+    shared = spark.sparkContext.broadcast(fit(*sample(docs, labels, key, text, label)).weights.astype(np.float32))
+    place = docs.columns.index(text)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = Model(shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                yield part.filter(pa.array(mine.score(pc.fill_null(part.column(place), ""))[0] < threshold))
+
+    return docs.mapInArrow(task, docs.schema)
