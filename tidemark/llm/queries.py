@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, edit_counts, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
+from tidemark.llm.sql import SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,4 @@ QUERIES: dict[str, Query] = {
     "op8_edit_counts": op8_edit_counts,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
-}
-
-SQL: dict[str, str] = {}
+}
\ No newline at end of file
