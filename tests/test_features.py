@@ -125,23 +125,35 @@ def test_serving_matches_training(spark, small):
             assert r[c] == pytest.approx(left[r["date_time"]][c], abs=1e-9)
 
 
-def test_sliced_quantiles_equal_the_built_in(spark):
-    """Skewed, repeated, missing and keyed values; the large-table path against the aggregate."""
-    df = spark.range(0, 20000, 1, 6).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 5).cast("string"))).alias("k"),
-        F.when(F.col("id") % 4 == 0, 7.0).when(F.col("id") % 101 == 0, None)
+@pytest.mark.parametrize("n", [40, 20_000])
+def test_quantiles_equal_the_built_in(spark, n):
+    """Skewed, repeated, missing, infinite and keyed values, few rows and many."""
+    df = spark.range(0, n, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 1, "empty")
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 5).cast("string"))).alias("k"),
+        F.when((F.col("id") % 7 == 1) & (F.col("id") % 3 != 0), None).when(F.col("id") % 4 == 0, 7.0)
+        .when(F.col("id") % 101 == 0, None).when(F.col("id") % 37 == 2, float("inf")).when(F.col("id") % 41 == 2, float("nan"))
         .otherwise(F.exp((F.hash("id") % 1000) / 100.0)).alias("v"),
     )
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    small = {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", probs, ["k"]).collect()}
-    large = {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", probs, ["k"], in_memory_rows=0, slices=16).collect()}
-    assert small.keys() == large.keys()
-    for k in small:
-        assert large[k] == pytest.approx(small[k], rel=1e-12)
-    two = ranks.exact_quantiles(df.withColumn("w", -F.col("v")), ["v", "w"], [0.5], in_memory_rows=0, slices=8).first()
+    known = df.select("k", F.when(~F.isnan("v"), F.col("v")).alias("v"))
+    want = {r["k"]: r["q"] for r in known.groupBy("k").agg(F.percentile("v", probs).alias("q")).collect()}
+    for slices in (None, 16):
+        got = {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", probs, ["k"], slices=slices).collect()}
+        assert got.keys() == want.keys() and got["empty"] is None
+        for k in set(want) - {"empty"}:
+            assert got[k] == pytest.approx(want[k], rel=1e-12)
+    two = ranks.exact_quantiles(df.withColumn("w", -F.col("v")), ["v", "w"], [0.5], slices=8).first()
     assert two["v"][0] == pytest.approx(-two["w"][0])
 
 
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([("a", None), ("b", None)], "k string, v double")
+    assert {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", [0.5], ["k"]).collect()} == {"a": None, "b": None}
+    assert ranks.exact_quantiles(df.where("false"), "v", [0.5], ["k"]).collect() == []
+    assert ranks.exact_quantiles(df, "v", [0.5]).first()["v"] is None
+
+
 def test_running_totals_equal_a_global_window(spark):
     from pyspark.sql import Window
 

@@ -24,6 +24,9 @@ def test_rule_measures(baskets):
     r = out[("time_Night", "level_High")]
     assert (r["support"], r["lift"], r["leverage"]) == (0.125, 0.5, -0.125)
     assert r["conviction"] == pytest.approx(0.6667, abs=1e-4)
+    plain = lambda r: (tuple(sorted(r["antecedents"])), tuple(r["consequents"]), round(r["lift"], 9))
+    one = rl.rules(rl.itemsets(baskets, ["time", "level"], 0.005), min_lift=0.0, single=True)
+    assert sorted(map(plain, one.collect())) == sorted(plain(r) for r in found.collect() if len(r["consequents"]) == 1)
     kept = rl.rules(rl.itemsets(baskets, ["time", "level"], 0.005))
     level = rl.level_rules(kept, "level", ["Low", "High"]).collect()
     assert [(r["antecedents"], r["consequents"]) for r in level] == [

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark import plans
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT / "tools"))
@@ -27,7 +28,7 @@ SAMPLE = [
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_SQL
+    assert set(plans.queries()) - set(plans.oracles()) == NO_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -94,6 +94,8 @@ def test_auc_with_ties(spark):
     df = spark.createDataFrame([(1, 0.9), (1, 0.5), (0, 0.5), (0, 0.1)], "label int, score double")
     assert metrics.roc_auc(df).first()[0] == 0.875
     assert metrics.roc_auc(df.where("label = 1")).first()[0] is None
+    unscored = df.unionByName(df.limit(2).withColumn("score", F.lit(float("nan")).cast(dict(df.dtypes)["score"])))
+    assert metrics.roc_auc(unscored).first()[0] == 0.875
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -77,7 +77,7 @@ def test_windowed_drift_drops_late_rows(spark, drop, tmp_path):
     add, stream = drop
     day = timedelta(days=1)
     add([log_row(START, 290.0), log_row(START + timedelta(hours=5), 300.0, "Snow")], schemas.PREDICTION_LOG)
-    add([log_row(START + day, 400.0, "Clear", True)], schemas.PREDICTION_LOG)
+    add([log_row(START + day, 400.0, "Clear", True), log_row(START + day, 400.0, "Tornado", True)], schemas.PREDICTION_LOG)
     add([log_row(START + 3 * day, 290.0)], schemas.PREDICTION_LOG)
     # A batch drops what was late when the batch before it ended, so let one more pass.
     add([log_row(START + 3.5 * day, 290.0)], schemas.PREDICTION_LOG)
@@ -87,8 +87,8 @@ def test_windowed_drift_drops_late_rows(spark, drop, tmp_path):
     moments = {"temp": (290.0, 10.0), "rain_1h": (0.0, 0.0), "snow_1h": (0.0, 0.0), "clouds_all": (10.0, 1.0)}
     shares = {"Clear": 0.9, "Snow": 0.1}
     source = stream(schemas.PREDICTION_LOG)
-    run_now(jobs.windowed_drift(source, moments, shares, 0.5), "drift", tmp_path)
-    rows = spark.read.parquet(str(tmp_path / "drift")).collect()
+    run_now(jobs.windowed_statistics(source), "drift", tmp_path)
+    rows = jobs.windowed_drift(spark.read.parquet(str(tmp_path / "drift")), moments, shares, 0.5).collect()
     by = {(r["window_start"], r["check"]): r for r in rows}
     first = by[(START, "feature mean: temp")]
     assert (first["n_live"], first["live_value"], first["status"]) == (2, 295.0, "PASS")
@@ -96,12 +96,16 @@ def test_windowed_drift_drops_late_rows(spark, drop, tmp_path):
     assert by[(START + day, "feature mean: temp")]["status"] == "ALERT"
     assert (START + day, "weather_main share: Snow") not in by
     assert by[(START + day, "is_holiday rate")]["live_value"] == 1.0
+    # A category that training has not seen, and no list names, alerts by itself.
+    unseen = by[(START + day, "weather_main share: Tornado")]
+    assert (unseen["live_value"], unseen["reference_value"], unseen["status"]) == (0.5, 0.0, "ALERT")
     # The same rows as a batch, the late one left out.
     batch = spark.createDataFrame(
-        [log_row(START, 290.0), log_row(START + timedelta(hours=5), 300.0, "Snow"), log_row(START + day, 400.0, "Clear", True)],
+        [log_row(START, 290.0), log_row(START + timedelta(hours=5), 300.0, "Snow"), log_row(START + day, 400.0, "Clear", True),
+         log_row(START + day, 400.0, "Tornado", True)],
         schemas.PREDICTION_LOG,
     )
-    want = jobs.windowed_drift(batch, moments, shares, 0.5).collect()
+    want = jobs.windowed_drift(jobs.windowed_statistics(batch), moments, shares, 0.5).collect()
     got = [r for r in rows if r["window_start"] <= START + day]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, map(tuple, want)))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import micros_of
-from tidemark.operators.ranks import slice_edges, slices_for, with_slice
+from tidemark.operators.ranks import slice_edges, with_slice
 from tidemark.session import materialize
 
 FIELDS = ("traffic_volume", "weather_main", "weather_description", "temp")
@@ -32,7 +32,7 @@ def nearest_times(
     )
     # Microseconds of any year up to 2255 are whole numbers a double holds exactly.
     points = materialize(points.withColumn("at", micros_of("t").cast("double")), "points")
-    points = with_slice(points, "at", slice_edges(points, "at", slices or slices_for(points.count())), "_block")
+    points = with_slice(points, "at", slice_edges(points, "at", slices), "_block")
 
     ends = points.groupBy("_block").agg(F.min("seen").alias("low"), F.max("seen").alias("high"))
     up = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,4 +1,4 @@
-"""Broadcasting only what has been counted."""
+"""Small tables whose size the planner knows."""
 
 from __future__ import annotations
 
@@ -6,22 +6,17 @@ from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 20_000
+from tidemark.session import materialize
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it holds at most ``max_rows`` rows, else ``df``.
+def sized(df: DataFrame, name: str = "sized") -> DataFrame:
+    """``df`` as a stored table, computed once.
 
-    At most ``max_rows + 1`` rows are fetched to find out. Within the bound the
-    fetched rows themselves are broadcast, so the table is computed once; beyond it
-    the join is left to adaptive execution, which splits skewed partitions.
+    The planner reads its size from the files: below ``spark.sql.autoBroadcastJoinThreshold``
+    a join broadcasts it, beyond that it shuffles, and the rows are the same.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return materialize(df, name)
 
 
 def small_table(spark: SparkSession, columns: dict[str, Iterable], schema: str | None = None) -> DataFrame:

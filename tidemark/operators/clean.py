@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
 from tidemark.functions.expressions import changed, flag, parse_timestamp, strip_text
-from tidemark.operators.bounds import broadcast_if_small
+from tidemark.operators.bounds import sized
 from tidemark.operators.ranks import exact_quantiles
 from tidemark.session import materialize
 from tidemark.sources.readers import ORDER_COLUMN, require_columns
@@ -80,11 +80,11 @@ def fill_group_median(df: DataFrame, columns: Sequence[str], group: Column, **kw
     """Fill missing cells with the exact median of their group.
 
     A group without any value stays missing, and so does a row without a group.
-    The medians are broadcast if their number is small, else joined.
+    The medians are stored, so that the join knows their size.
     """
     marked = df.withColumn("_group", group)
     medians = exact_quantiles(marked, list(columns), [0.5], ["_group"], **kw)
-    medians = broadcast_if_small(medians.select("_group", *[F.col(c)[0].alias(f"_{c}") for c in columns]))
+    medians = sized(medians.select("_group", *[F.col(c)[0].alias(f"_{c}") for c in columns]))
     filled = marked.join(medians, "_group", "left")
     return filled.withColumns({c: F.coalesce(c, f"_{c}") for c in columns}).select(*df.columns)
 

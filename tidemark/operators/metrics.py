@@ -39,10 +39,11 @@ def class_metrics(df: DataFrame, label: str = "label", prediction: str = "predic
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", **kw) -> DataFrame:
     """Area under the ROC curve by rank sums, ties counting half. Exact at any size:
-    rows are grouped by score and ranked slice by slice. Null without both classes."""
+    rows are grouped by score and ranked slice by slice. Rows without a score (null or NaN)
+    are left out. Null without both classes."""
     y = F.col(label) == 1
     totals = running_totals(
-        df.where(F.col(score).isNotNull()), score, {"pos": flag(y).cast("long"), "neg": flag(~y).cast("long")}, **kw
+        df.where(F.col(score).isNotNull() & ~F.isnan(score)), score, {"pos": flag(y).cast("long"), "neg": flag(~y).cast("long")}, **kw
     )
     pairs = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
     all_pairs = F.max(F.col("pos_total").cast("double") * F.col("neg_total"))
@@ -66,16 +67,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
 def hashed_sample(df: DataFrame, key: str, size: int) -> DataFrame:
     """The ``size`` rows with the lowest hash of their key: the same ones on every run.
 
-    On a large table only rows below a hash bound, about four times as many as wanted,
-    are ordered; should too few fall below it, all rows are.
+    An order with a limit: each task keeps its own lowest ones, and only those meet.
     """
-    hashed = F.md5(F.col(key).cast("string"))
-    n = df.count()
-    if n > 16 * size:
-        low = df.where(hashed < F.lit(f"{16**12 * 4 * size // n:012x}"))
-        if low.limit(size).count() == size:
-            df = low
-    return df.orderBy(hashed, key).limit(size)
+    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(size)
 
 
 def silhouette_scores(

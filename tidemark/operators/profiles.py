@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
 from tidemark.functions import vocab
+from tidemark.operators.bounds import small_table
 
 
 def fold_profiles(df: DataFrame, keys: Sequence[str], volume: str = "volume", hour: str = "hour") -> DataFrame:
@@ -270,6 +271,23 @@ def recommendations(profiles: DataFrame, **kw) -> DataFrame:
     )
 
 
+def recommendation_table(
+    profiles: DataFrame, categories: Sequence[str] = tuple(vocab.WEATHER), day_types: Sequence[str] = tuple(vocab.DAY_TYPES), **kw
+) -> DataFrame:
+    """The recommendations of every day type with the typical mix and each declared category.
+
+    A combination without a profile keeps its row, without figures and with a text that says
+    so; categories that were not declared are not in the table.
+    """
+    names = [vocab.TYPICAL_MIX, *categories]
+    asked = small_table(
+        profiles.sparkSession, {"day_type": [d for d in day_types for _ in names], "weather_condition": names * len(day_types)}
+    )
+    missing = F.concat(F.lit("No recommendation for a "), "day_type", F.lit(" journey: no conditions are known for "), "weather_condition", F.lit("."))
+    out = asked.join(recommendations(profiles, **kw), ["day_type", "weather_condition"], "left")
+    return out.withColumn("recommendation_text", F.coalesce("recommendation_text", missing))
+
+
 # --- comparing profiles ------------------------------------------------------
 def align_profiles(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("hour",)) -> DataFrame:
     """Two profiles side by side with their difference; an hour of only one side is kept."""

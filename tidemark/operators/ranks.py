@@ -2,9 +2,9 @@
 
 A window without a partition key sends the whole table to one task, and Spark's
 ``percentile`` keeps every distinct value of a group in one buffer. Both are replaced
-here by slices: a sketch gives a few hundred edges, rows are counted per slice, and
-only what lies inside a slice is ordered. The sketch decides how even the slices are,
-never what the result is.
+here by slices: sketches give a few hundred edges, rows are counted per slice, and
+only what lies inside a slice is ordered. The sketches decide how even the slices are,
+never what the result is; small and large tables go the same way.
 """
 
 from __future__ import annotations
@@ -15,32 +15,53 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounds import broadcast_if_small
+from tidemark.operators.bounds import sized
 
-MIN_SLICES, MAX_SLICES = 256, 20_000
+MIN_SLICES = 256
 ROWS_PER_SLICE = 2_000_000
-IN_MEMORY_ROWS = 250_000
+SKETCHES = 64
 
 
 def slices_for(n_rows: int) -> int:
-    """Enough slices that one of them is a comfortable task."""
-    return min(MAX_SLICES, max(MIN_SLICES, n_rows // ROWS_PER_SLICE))
+    """Enough slices that one of them is a comfortable task, however many rows there are."""
+    return max(MIN_SLICES, n_rows // ROWS_PER_SLICE)
 
 
-def slice_edges(df: DataFrame, value: str, slices: int) -> list[float]:
-    """Ascending distinct cut points that split ``value`` about evenly, at most ``slices``."""
-    steps = [i / slices for i in range(1, slices)]
-    sketch = F.approx_percentile(F.col(value).cast("double"), steps, max(10_000, 4 * slices))
-    found = df.agg(sketch.alias("edges")).first()["edges"]
-    return sorted(set(found or []))
+def slice_edges(df: DataFrame, value: str, slices: int | None = None) -> list[float]:
+    """Ascending distinct finite cut points that split ``value`` about evenly.
+
+    In two levels, so that no task merges the sketches of all partitions: a fixed number of
+    groups of partitions each give evenly spaced quantiles, and the cuts are taken from all of
+    these by the rows they stand for. One pass; it also counts the rows for ``slices_for``.
+    """
+    number = F.col(value).cast("double")
+    finite = F.when(F.abs(number) < float("inf"), number)
+    steps = [i / (2 * MIN_SLICES) for i in range(1, 2 * MIN_SLICES)]
+    groups = df.select(finite.alias("v"), F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("g"))
+    groups = groups.groupBy("g").agg(F.count("v").alias("n"), F.approx_percentile("v", steps, 10_000).alias("q"))
+    found = [(r["n"], r["q"]) for r in groups.select("n", "q").collect() if r["n"]]
+    slices = slices or slices_for(sum(n for n, _ in found))
+    points = sorted((q, n / len(qs)) for n, qs in found for q in qs)
+    total, at, cuts = sum(w for _, w in points), 0.0, set()
+    for q, weight in points:
+        # A cut wherever another share of the rows is full; between two points there are no more cuts.
+        if int((at + weight) * slices / total) > int(at * slices / total):
+            cuts.add(q)
+        at += weight
+    return sorted(cuts)
 
 
 def with_slice(df: DataFrame, value: str, edges: Sequence[float], out: str = "slice") -> DataFrame:
-    """Add the slice number of ``value``; slice order is value order."""
+    """Add the slice number of ``value``; slice order is value order. Infinities are in the outer slices.
+
+    Missing values (NaN included) have no slice.
+    """
+    known = F.col(value).isNotNull() & ~F.isnan(value)
     if not edges:
-        return df.withColumn(out, F.lit(0.0))
+        return df.withColumn(out, F.when(known, F.lit(0.0)))
     splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=out, handleInvalid="error").transform(df)
+    cut = Bucketizer(splits=splits, inputCol=value, outputCol=out, handleInvalid="keep").transform(df)
+    return cut.withColumn(out, F.when(known, F.col(out)))
 
 
 def running_totals(
@@ -53,7 +74,6 @@ def running_totals(
     all rows is reduced before the shuffle.
     """
     keys = list(keys)
-    slices = slices or slices_for(df.count())
     points = df.groupBy(*keys, order).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     sliced = with_slice(points.withColumn("_at", F.col(order).cast("double")), "_at", slice_edges(df, order, slices))
     per_slice = sliced.groupBy(*keys, "slice").agg(*[F.sum(n).alias(f"{n}_slice") for n in sums])
@@ -85,43 +105,32 @@ def exact_quantiles(
     values: str | Sequence[str],
     probs: Sequence[float],
     keys: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
     slices: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles: one row per key, one array per value column.
 
-    Missing values (NaN included) and rows with a missing key are left out. If the largest
-    group is counted to be small, the built-in aggregate does the work. Larger groups are
-    never ordered as a whole: slice counts locate the slices that hold the wanted ranks,
-    and only their rows (about ``len(probs) / slices`` of the table) are grouped by value
-    and ranked. Several columns go through the same passes, as one more key.
+    Missing values (NaN included) and rows with a missing key are left out; a key without any
+    value has null arrays. Infinities are values like others. Three passes, at every size: the
+    edges, the rows per slice, and the rows of the slices that hold the wanted ranks (about
+    ``len(probs) / slices`` of the table), which are grouped by value and ranked. Several
+    columns go through the same passes, as one more key.
     """
     keys, values = list(keys), [values] if isinstance(values, str) else list(values)
-    number = [F.col(v).cast("double") for v in values]
-    cells = [F.when(~F.isnan(c), c).alias(v) for v, c in zip(values, number)]
     rows = df
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
-    rows = rows.select(*keys, *cells)
-    groups = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    size = groups.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    if (size["largest"] or 0) <= in_memory_rows:
-        return rows.groupBy(*keys).agg(*[F.percentile(v, [float(p) for p in probs]).alias(v) for v in values])
-    pairs = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).alias("value")) for v in values])
-    long = rows.select(*keys, F.explode(pairs).alias("c")).select(
-        *keys, F.col("c.column").alias("_column"), F.col("c.value").alias("_v")
-    )
-    found = _sliced_quantiles(
-        long.where("_v is not null"), probs, [*keys, "_column"], slices or slices_for(size["total"] * len(values))
-    )
-    return found.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_column") == v, F.col("quantiles"))).alias(v) for v in values]
-    )
-
-
-def _sliced_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str], slices: int) -> DataFrame:
-    sliced = with_slice(rows, "_v", slice_edges(rows, "_v", slices))
-    counts = sliced.groupBy(*keys, "slice").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("value")) for v in values])
+    long = rows.select(*keys, F.inline(pairs)).withColumnsRenamed({"column": "_column", "value": "_v"})
+    sliced = with_slice(long, "_v", slice_edges(long, "_v", slices))
+    counts = sized(sliced.groupBy(*keys, "_column", "slice").agg(F.count(F.lit(1)).alias("n")), "slices")
+    found = _ranked(sliced, counts.where("slice is not null"), probs, [*keys, "_column"])
+    cells = [F.max(F.when(F.col("_column") == v, F.col("quantiles"))).alias(v) for v in values]
+    if not keys:
+        return found.agg(*cells)
+    return counts.select(*keys, "_column").distinct().join(found, [*keys, "_column"], "left").groupBy(*keys).agg(*cells)
+
+
+def _ranked(sliced: DataFrame, counts: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
     before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.select(
         *keys,
@@ -134,7 +143,7 @@ def _sliced_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str],
     wanted = wanted.withColumn("at", (F.col("total") - 1) * F.col("p"))
     wanted = wanted.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
     wanted = wanted.where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
-    wanted = broadcast_if_small(wanted.select(*keys, "slice", "start", "i", "at", "rank"))
+    wanted = sized(wanted.select(*keys, "slice", "start", "i", "at", "rank"), "ranks")
 
     needed = wanted.select(*keys, "slice", "start").distinct()
     values = sliced.join(needed, [*keys, "slice"]).groupBy(*keys, "slice", "start", "_v")
@@ -144,7 +153,9 @@ def _sliced_quantiles(rows: DataFrame, probs: Sequence[float], keys: list[str],
     hits = values.drop("start").join(wanted, [*keys, "slice"])
     hits = hits.where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("c")))
     low, high, share = F.min("_v"), F.max("_v"), F.first("at") - F.floor(F.first("at"))
-    found = hits.groupBy(*keys, "i").agg((low + (high - low) * share).alias("q"))
+    # Equal ends stand for themselves, also where they are infinite.
+    between = F.when(low == high, low).otherwise(low * (1 - share) + high * share)
+    found = hits.groupBy(*keys, "i").agg(between.alias("q"))
     in_order = F.array_sort(F.collect_list(F.struct("i", "q")))
     return found.groupBy(*keys).agg(F.transform(in_order, lambda x: x["q"]).alias("quantiles"))
 

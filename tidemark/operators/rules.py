@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
 from tidemark.functions.expressions import safe_ratio
-from tidemark.operators.bounds import broadcast_if_small
+from tidemark.operators.bounds import sized
 
 
 def _item(attribute: str) -> Column:
@@ -57,24 +57,28 @@ def itemsets_fpgrowth(
     )
 
 
-def rules(frequent: DataFrame, min_lift: float = vocab.MIN_LIFT) -> DataFrame:
+def rules(frequent: DataFrame, min_lift: float = vocab.MIN_LIFT, single: bool = False) -> DataFrame:
     """Every split of a frequent itemset into antecedents and consequents, with measures.
 
-    All subsets of a frequent set are frequent, so the supports come from the table itself.
+    All subsets of a frequent set are frequent, so the supports come from the table itself,
+    which is stored once and joined on the items as one text. ``single`` makes only the splits
+    with one consequent, as many as the set has items; all splits are 2^n - 2.
     Conviction is null where the rule always holds.
     """
-    frequent = broadcast_if_small(frequent)
+    frequent = sized(frequent.select("items", "n_items", "support", _key("items").alias("key")), "itemsets")
     size = F.col("n_items")
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), size).cast("int") - 2)
-    split = frequent.where(size >= 2).select("items", "support", F.explode(masks).alias("mask"))
-
-    def side(bit: int) -> Column:
-        return F.filter("items", lambda _, i: F.getbit(F.col("mask"), i) == bit)
-
-    split = split.select("support", side(1).alias("antecedents"), side(0).alias("consequents"))
-    left = frequent.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
-    right = frequent.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))
-    out = split.join(left, "antecedents").join(right, "consequents")
+    many = frequent.where(size >= 2)
+    if single:
+        split = many.select("items", "support", F.explode("items").alias("c"))
+        split = split.select("support", F.array_remove("items", F.col("c")).alias("antecedents"), F.array("c").alias("consequents"))
+    else:
+        masks = F.sequence(F.lit(1).cast("bigint"), F.pow(F.lit(2), size).cast("bigint") - 2)
+        split = many.select("items", "support", F.explode(masks).alias("mask"))
+        split = split.select("support", _side(1).alias("antecedents"), _side(0).alias("consequents"))
+    split = split.select("*", _key("antecedents").alias("ka"), _key("consequents").alias("kc"))
+    left = frequent.select(F.col("key").alias("ka"), F.col("support").alias("antecedent_support"))
+    right = frequent.select(F.col("key").alias("kc"), F.col("support").alias("consequent_support"))
+    out = split.join(left, "ka").join(right, "kc")
     s, a, c = F.col("support"), F.col("antecedent_support"), F.col("consequent_support")
     return (
         out.withColumn("confidence", s / a)
@@ -89,6 +93,14 @@ def rules(frequent: DataFrame, min_lift: float = vocab.MIN_LIFT) -> DataFrame:
     )
 
 
+def _key(items: str) -> Column:
+    return F.array_join(items, "\x1f")
+
+
+def _side(bit: int) -> Column:
+    return F.filter("items", lambda _, i: F.getbit(F.col("mask"), i) == bit)
+
+
 def level_rules(found: DataFrame, attribute: str = "congestion_level", levels: Sequence[str] = tuple(vocab.FOUR_LEVELS)) -> DataFrame:
     """Rules whose only consequent is a level of one attribute, as text, best lift first."""
     targets = [f"{attribute}_{v}" for v in levels]

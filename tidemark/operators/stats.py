@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
-from tidemark.operators.bounds import broadcast_if_small
+from tidemark.operators.bounds import sized
 from tidemark.operators.ranks import exact_quantiles, quantile_scalars
 
 
@@ -54,7 +54,7 @@ def box_stats(df: DataFrame, category: str, c: str, **kw) -> DataFrame:
         category,
         *[F.col(c)[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
     )
-    quartiles = broadcast_if_small(quartiles)
+    quartiles = sized(quartiles)
     value = F.col(c).cast("double")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = value.between(F.col("q1") - reach, F.col("q3") + reach)

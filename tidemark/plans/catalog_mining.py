@@ -58,8 +58,8 @@ def itemsets_fpgrowth(spark, sf):
     return tidy(found.withColumn("items", F.array_join("items", ", ")))
 
 
-def _all_rules(spark, sf):
-    return rl.rules(rl.itemsets(transactions(spark, sf)))
+def _all_rules(spark, sf, single=False):
+    return rl.rules(rl.itemsets(transactions(spark, sf)), single=single)
 
 
 @query(f"""{_TRANSACTIONS}
@@ -77,7 +77,7 @@ def rules(spark, sf):
 SELECT antecedents, consequents, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift
 FROM kept WHERE n_right = 1 AND consequents LIKE 'congestion_level_%'""")
 def level_rules(spark, sf):
-    out = rl.level_rules(_all_rules(spark, sf))
+    out = rl.level_rules(_all_rules(spark, sf, single=True))
     return rounded(out.select("antecedents", "consequents", "support", "confidence", "lift"))
 
 
@@ -87,7 +87,7 @@ SELECT antecedents, consequents, round(support - sa * sc, 6) AS leverage,
 FROM kept WHERE n_right = 1 AND consequents LIKE 'congestion_level_%'
 ORDER BY round(lift, 9) DESC, antecedents, consequents LIMIT 15""")
 def rule_measures(spark, sf):
-    level = rl.level_rules(_all_rules(spark, sf)).withColumn("lift", F.round("lift", 9))
+    level = rl.level_rules(_all_rules(spark, sf, single=True)).withColumn("lift", F.round("lift", 9))
     return rounded(rl.top_rules(level).select("antecedents", "consequents", "leverage", "conviction"))
 
 

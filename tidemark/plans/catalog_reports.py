@@ -203,13 +203,27 @@ def conditional_prob(spark, sf):
 @query("""SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.1), 6) AS p10,
   round(quantile_cont(l_extendedprice, 0.9), 6) AS p90 FROM lineitem GROUP BY 1, 2""")
 def exact_quantiles_sliced(spark, sf):
-    """The slice-wise path at any size, as a table too large for one buffer takes it."""
     li = table(spark, sf, "lineitem")
-    out = exact_quantiles(li, "l_extendedprice", [0.1, 0.9], ["l_returnflag", "l_linestatus"], in_memory_rows=0)
+    out = exact_quantiles(li, "l_extendedprice", [0.1, 0.9], ["l_returnflag", "l_linestatus"])
     q = F.col("l_extendedprice")
     return rounded(out.select("l_returnflag", "l_linestatus", q[0].alias("p10"), q[1].alias("p90")))
 
 
+_PARTLY = """CASE WHEN l_linenumber = 3 THEN NULL WHEN l_quantity > 49 THEN CAST('Infinity' AS DOUBLE)
+  WHEN l_quantity < 2 THEN CAST('-Infinity' AS DOUBLE) ELSE l_quantity END"""
+
+
+@query(f"""SELECT CAST(l_linenumber AS BIGINT) AS l_linenumber, round(quantile_cont(v, 0), 6) AS lowest, round(quantile_cont(v, 0.3), 6) AS p30,
+  round(quantile_cont(v, 1), 6) AS highest FROM (SELECT l_linenumber, {_PARTLY} AS v FROM lineitem) GROUP BY 1""")
+def quantiles_incomplete(spark, sf):
+    """A key without any value, and values that are infinite."""
+    quantity, infinite = F.col("l_quantity").cast("double"), F.lit(float("inf"))
+    value = F.when(F.col("l_linenumber") == 3, None).when(quantity > 49, infinite).when(quantity < 2, -infinite).otherwise(quantity)
+    out = exact_quantiles(table(spark, sf, "lineitem").withColumn("v", value), "v", [0.0, 0.3, 1.0], ["l_linenumber"])
+    v = F.col("v")
+    return tidy(out.select("l_linenumber", v[0].alias("lowest"), v[1].alias("p30"), v[2].alias("highest")))
+
+
 # --- lookups -----------------------------------------------------------------
 _SERIES_SQL = """obs AS (
   SELECT date_trunc('hour', ts) AS date_time, count(*) AS traffic_volume, avg(value) AS temp

@@ -150,7 +150,7 @@ def _whole(v: str) -> str:
     return f"CAST(CAST(round_even({v}, 0) AS BIGINT) AS VARCHAR)"
 
 
-@query(f"""{_BEST}, {_around_sql(1, 7)},
+_RECOMMENDED = f"""{_BEST}, {_around_sql(1, 7)},
 r AS (SELECT *, (1 - avg_volume / peak_volume) * 100 AS pct FROM placed)
 SELECT day_type, weather_condition, {_clock('start_hour')} AS recommended_start, {_clock('end_hour')} AS recommended_end,
   round(avg_volume, 1) AS predicted_volume, round(peak_volume, 1) AS daily_peak_volume, round(pct, 1) AS pct_below_peak,
@@ -163,11 +163,25 @@ SELECT day_type, weather_condition, {_clock('start_hour')} AS recommended_start,
     {_clock('start_hour')} || ' to ' || {_clock('end_hour')} || ' ' END ||
   '(predicted volume approximately ' || {_whole('avg_volume')} || ', ' || {_whole('pct')} ||
   '% below the daily peak of approximately ' || {_whole('peak_volume')} || ').' AS recommendation_text
-FROM r""")
+FROM r"""
+
+@query(_RECOMMENDED)
 def recommendations(spark, sf):
     return pf.recommendations(scenario_profiles_of(spark, sf))
 
 
+_ASKED = ", ".join(f"('{d}', '{w}')" for d in vocab.DAY_TYPES for w in [vocab.TYPICAL_MIX, *vocab.WEATHER])
+
+
+@query(f"""SELECT day_type, weather_condition, recommended_start, recommended_end, predicted_volume, daily_peak_volume, pct_below_peak,
+  is_genuine_trough, coalesce(recommendation_text, 'No recommendation for a ' || day_type || ' journey: no conditions are known for '
+    || weather_condition || '.') AS recommendation_text
+FROM (VALUES {_ASKED}) a(day_type, weather_condition) LEFT JOIN ({_RECOMMENDED}) b USING (day_type, weather_condition)""")
+def recommendation_table(spark, sf):
+    """All declared categories; the stand-in has readings of five, the others say that nothing is known."""
+    return pf.recommendation_table(scenario_profiles_of(spark, sf))
+
+
 _GRID_COLUMNS = [
     "day_type", "weather_main", "hour", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "is_holiday",
     "wx_Clear", "wx_Snow", "is_severe_weather", "is_low_visibility", "rain_1h", "snow_1h", "clouds_all",

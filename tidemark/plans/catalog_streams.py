@@ -51,13 +51,12 @@ def stream_score(spark, sf):
 
 
 def _literal_reference(spark, sf):
-    """Reference statistics as plain numbers for a stream: 4 moments, 11 shares, one rate."""
+    """Reference statistics as plain numbers for a stream: 4 moments, a share per category, one rate."""
     rows = tidy_readings(spark, sf).transform(ft.add_holiday)
     train, _, _ = split.time_split(rows, "date_time")
     reference = drift.build_reference(train)
     moments = {r["field"]: (r["ref_mean"], r["ref_std"]) for r in reference.continuous.collect()}
-    known = F.col("category").isin(*vocab.WEATHER)
-    shares = {r["category"]: r["ref_share"] for r in reference.shares.where(known).collect()}
+    shares = {r["category"]: r["ref_share"] for r in reference.shares.collect()}
     return moments, shares, reference.holiday.first()["holiday_rate"]
 
 
@@ -70,7 +69,7 @@ FROM win, (SELECT avg({f}) AS m, stddev_samp({f}) AS s FROM train) r"""
     )
     means = ", ".join(f"avg({f}) AS m_{f}" for f in vocab.CONTINUOUS_FIELDS)
     return f"""{_SPLIT},
-log AS (SELECT tidy.*, ts, date_trunc('day', ts) AS ws, CASE WHEN holiday IS NULL THEN 0 ELSE 1 END AS hol
+log AS (SELECT tidy.* REPLACE (CASE WHEN weather_main = 'Squall' AND clouds_all % 4 = 0 THEN 'Tornado' ELSE weather_main END AS weather_main), ts, date_trunc('day', ts) AS ws, CASE WHEN holiday IS NULL THEN 0 ELSE 1 END AS hol
   FROM tidy JOIN events ON event_id = _ord),
 closed AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM log),
 win AS (SELECT ws, count(*) AS n, count(weather_main) AS nw, {means}, avg(hol) AS hr FROM log GROUP BY 1),
@@ -91,10 +90,11 @@ SELECT ws AS window_start, n AS n_live, "check", round(live, 6) AS live_value, r
 
 @query(_windowed_sql())
 def stream_drift(spark, sf):
-    """Findings of the windows the watermark has closed."""
-    moments, shares, rate = _literal_reference(spark, sf)
-    findings = jobs.windowed_drift(request_stream(spark, sf), moments, shares, rate)
-    out = jobs.run_to_table(findings, "drift").drop("window_end")
+    """Findings of the windows the watermark has closed; some requests are of a category training never saw."""
+    unseen = (F.col("weather_main") == "Squall") & (F.col("clouds_all") % 4 == 0)
+    live = request_stream(spark, sf).withColumn("weather_main", F.when(unseen, "Tornado").otherwise(F.col("weather_main")))
+    stats = jobs.run_to_table(jobs.windowed_statistics(live), "drift")
+    out = jobs.windowed_drift(stats, *_literal_reference(spark, sf)).drop("window_end")
     return tidy(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 

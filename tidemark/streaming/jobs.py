@@ -62,21 +62,20 @@ def append_scores(scored: DataFrame, path: str, checkpoint: str, **kw) -> Stream
 
 
 def windowed_statistics(log: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Per tumbling window of request time: rows, field means, category counts, holiday rate.
+    """Per tumbling window of request time and weather category: rows, field sums and holidays.
 
-    One aggregation with a fixed number of columns, so the state of a window is a few
-    hundred bytes whatever its traffic. Rows older than the watermark are dropped.
+    One aggregation of sums, so the state is a few hundred bytes per window and category that
+    occurs, listed or not. Rows older than the watermark are dropped.
     """
-    counts = [F.sum(flag(F.col("weather_main") == c)).alias(f"n_{c}") for c in vocab.WEATHER]
+    fields = vocab.CONTINUOUS_FIELDS
     return (
         log.withWatermark("request_timestamp", delay)
-        .groupBy(F.window("request_timestamp", window).alias("w"))
+        .groupBy(F.window("request_timestamp", window).alias("w"), "weather_main")
         .agg(
-            F.count("*").alias("n_live"),
-            F.count("weather_main").alias("n_weather"),
-            *[F.avg(f).alias(f"mean_{f}") for f in vocab.CONTINUOUS_FIELDS],
-            *counts,
-            F.avg(flag(F.col("is_holiday"))).alias("holiday_rate"),
+            F.count("*").alias("n"),
+            *[F.sum(F.col(f).cast("double")).alias(f"sum_{f}") for f in fields],
+            *[F.count(f).alias(f"n_{f}") for f in fields],
+            F.sum(flag(F.col("is_holiday"))).alias("n_holiday"),
         )
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*")
         .drop("w")
@@ -84,49 +83,49 @@ def windowed_statistics(log: DataFrame, window: str = "1 day", delay: str = "1 h
 
 
 def windowed_drift(
-    log: DataFrame,
-    moments: Mapping[str, tuple[float, float]],
-    shares: Mapping[str, float],
-    holiday_rate: float,
-    window: str = "1 day",
-    delay: str = "1 hour",
+    stats: DataFrame, moments: Mapping[str, tuple[float, float]], shares: Mapping[str, float], holiday_rate: float
 ) -> DataFrame:
-    """Drift findings per window: the batch rules over windowed statistics.
+    """Drift findings per window: the batch rules over the table that ``windowed_statistics`` fills.
 
-    The reference is 4 moments, 11 shares and a rate, passed as literals.
+    The reference is 4 moments, a share per category seen in training and a rate. A category of
+    a window that training has not seen alerts by itself, as in the batch check; one without
+    live rows has no finding.
     """
-    stats = windowed_statistics(log, window, delay)
-    findings: list[Column] = []
+    window = ["window_start", "window_end"]
+    mean = lambda f: F.try_divide(F.sum(f"sum_{f}"), F.sum(f"n_{f}")).alias(f"mean_{f}")
+    totals = stats.groupBy(*window).agg(
+        F.sum("n").alias("n_live"),
+        F.sum(F.when(F.col("weather_main").isNotNull(), F.col("n"))).alias("n_weather"),
+        *[mean(f) for f in moments],
+        (F.sum("n_holiday") / F.sum("n")).alias("holiday_rate"),
+    )
 
-    def finding(name: str, live: Column, ref: float | None, measure: Column, alert: Column) -> Column:
+    def finding(name: Column, live: Column, ref: Column, measure: Column, alert: Column) -> Column:
         return F.struct(
-            F.lit(name).alias("check"),
+            name.alias("check"),
             live.cast("double").alias("live_value"),
-            F.lit(ref).cast("double").alias("reference_value"),
+            ref.cast("double").alias("reference_value"),
             measure.cast("double").alias("measure"),
             F.when(F.coalesce(alert, F.lit(False)), "ALERT").otherwise("PASS").alias("status"),
         )
 
-    for field, (mean, std) in moments.items():
-        live = F.col(f"mean_{field}")
-        z = z_distance(live, F.lit(mean), F.lit(std))
-        findings.append(finding(f"feature mean: {field}", live, mean, z, F.abs(z) > vocab.MAX_ABS_Z))
-    for category in vocab.WEATHER:
-        live = F.try_divide(F.col(f"n_{category}").cast("double"), F.col("n_weather").cast("double"))
-        ref = float(shares.get(category, 0.0))
-        ratio = F.try_divide(live, F.lit(ref))
-        alert = (ratio > vocab.MAX_SHARE_RATIO) if ref > 0 else F.lit(True)
-        # A category without live rows has no finding, as in the batch check.
-        row = finding(f"weather_main share: {category}", live, ref, ratio, alert)
-        findings.append(F.when(F.col(f"n_{category}") > 0, row))
-    live = F.col("holiday_rate")
-    ratio = F.try_divide(live, F.lit(float(holiday_rate)))
-    alert = (ratio > vocab.MAX_SHARE_RATIO) if holiday_rate > 0 else live > 0
-    findings.append(finding("is_holiday rate", live, float(holiday_rate), ratio, alert))
-    rows = stats.select(
-        "window_start", "window_end", "n_live", F.explode(F.array_compact(F.array(*findings))).alias("f")
-    )
-    return rows.select("window_start", "window_end", "n_live", "f.*")
+    findings = []
+    for field, (ref_mean, ref_std) in moments.items():
+        z = z_distance(F.col(f"mean_{field}"), F.lit(ref_mean), F.lit(ref_std))
+        findings.append(finding(F.lit(f"feature mean: {field}"), F.col(f"mean_{field}"), F.lit(ref_mean), z, F.abs(z) > vocab.MAX_ABS_Z))
+    rate, ref = F.col("holiday_rate"), F.lit(float(holiday_rate))
+    ratio = F.try_divide(rate, ref)
+    alert = (ratio > vocab.MAX_SHARE_RATIO) if holiday_rate > 0 else rate > 0
+    findings.append(finding(F.lit("is_holiday rate"), rate, ref, ratio, alert))
+    whole = totals.select(*window, "n_live", F.inline(F.array(*findings)))
+
+    known = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]) if shares else F.lit(None).cast("map<string,double>")
+    share = F.try_divide(F.col("n").cast("double"), F.col("n_weather").cast("double"))
+    ref = F.coalesce(F.try_element_at(known, F.col("weather_main")), F.lit(0.0))
+    ratio = F.try_divide(share, ref)
+    row = finding(F.concat(F.lit("weather_main share: "), "weather_main"), share, ref, ratio, (ref == 0) | (ratio > vocab.MAX_SHARE_RATIO))
+    seen = stats.where(F.col("weather_main").isNotNull()).join(totals.select(*window, "n_live", "n_weather"), window)
+    return whole.unionByName(seen.select(*window, "n_live", F.inline(F.array(row))))
 
 
 def first_per_time(
