@@ -83,15 +83,17 @@ def fit_regressors(
     label: str = "traffic_volume",
     columns: Sequence[str] = tuple(vocab.FEATURES),
     forest: Mapping[str, int] = vocab.FOREST,
+    only: Sequence[str] = ("Linear Regression", "Random Forest"),
 ) -> dict[str, PipelineModel]:
-    """Ordinary least squares and random forest. The one-hot columns are collinear with
-    the intercept: predictions are determined, single coefficients are not."""
+    """Ordinary least squares and random forest, those of them that ``only`` names. The one-hot
+    columns are collinear with the intercept: predictions are determined, single coefficients
+    are not."""
+    kinds = {
+        "Linear Regression": LinearRegression(labelCol=label, featuresCol="features", regParam=0.0),
+        "Random Forest": forest_regressor(label, forest),
+    }
     with reused(train.select(label, *columns)) as rows:
-        linear = LinearRegression(labelCol=label, featuresCol="features", regParam=0.0)
-        return {
-            "Linear Regression": Pipeline(stages=[assembler(columns), linear]).fit(rows),
-            "Random Forest": Pipeline(stages=[assembler(columns), forest_regressor(label, forest)]).fit(rows),
-        }
+        return {name: Pipeline(stages=[assembler(columns), kinds[name]]).fit(rows) for name in only}
 
 
 def _stacked(parts: list[DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.registry import ORACLES, QUERIES, Query
 
-_CATALOGS = ["cleaning", "reports", "features", "series", "mining", "scenarios", "drift", "models", "streams"]
+_CATALOGS = ["cleaning", "reports", "features", "series", "mining", "scenarios", "drift", "models", "streams", "fits", "files"]
 
 
 def _load() -> None:

@@ -1,5 +1,5 @@
-"""Fitted models on the feature table. No SQL twin: checked by rows here, by
-invariants in the tests."""
+"""Fitted models on the feature table. No SQL twin: checked by rows here, by invariants in the
+tests, and in ``catalog_fits`` by fits whose result SQL can state."""
 
 from __future__ import annotations
 
@@ -41,7 +41,7 @@ def fit_regressors(spark, sf):
 @query()
 def top_features(spark, sf):
     _, train, _ = _split(spark, sf)
-    return models.importances(spark, models.fit_regressors(train)["Random Forest"])
+    return models.importances(spark, models.fit_regressors(train, only=["Random Forest"])["Random Forest"])
 
 
 @query()
@@ -54,7 +54,7 @@ def version_comparison(spark, sf):
 def batch_score(spark, sf):
     """Fit, save, register, point the alias, load by alias, score every request."""
     feat, train, test = _split(spark, sf)
-    fitted = models.fit_regressors(train)
+    fitted = models.fit_regressors(train, only=["Random Forest"])
     folder = run_folder(spark, "registry")
     paths = models.save_models(fitted, f"{folder}/models")
     quality = metrics.regression_metrics(fitted["Random Forest"].transform(test), "traffic_volume").first()
@@ -109,7 +109,7 @@ def next_hour_forecast(spark, sf):
 
 def _attributions(spark, sf):
     _, train, test = _split(spark, sf)
-    forest = models.fit_regressors(train)["Random Forest"].stages[-1]
+    forest = models.fit_regressors(train, only=["Random Forest"])["Random Forest"].stages[-1]
     return explain.attributions(test, forest, ["date_time", "hour"])
 
 
@@ -127,7 +127,7 @@ def tree_attribution_rank(spark, sf):
 def model_recommendations(spark, sf):
     """The recommendation table from simulated profiles of the fitted forest."""
     feat, train, _ = _split(spark, sf)
-    forest = models.fit_regressors(train)["Random Forest"]
+    forest = models.fit_regressors(train, only=["Random Forest"])["Random Forest"]
     conditions = reports.weather_profile(feat, ["temp_scaled", "rain_1h", "snow_1h", "clouds_all"])
     simulated = forest.transform(profiles.scenario_grid(conditions)).withColumnRenamed("prediction", "volume")
     return profiles.recommendations(profiles.scenario_profiles(simulated, conditions))
