@@ -129,3 +129,10 @@ def test_one_key_with_a_third_of_the_rows(spark):
     out = cl.first_per_key(df, ["k"])
     assert out.count() == 20001
     assert out.where("k = -1").first()["_ord"] == 0
+
+
+def test_many_sensors_keep_their_own_hours(spark, raw_csv_path):
+    raw = readers.read_raw_csv(spark, raw_csv_path)
+    both = raw.withColumn("sensor", F.lit("a")).unionByName(raw.withColumn("sensor", F.lit("b")))
+    one, two = cl.clean(raw), cl.clean(both, keys=["sensor"])
+    assert two.columns == [*one.columns, "sensor"] and sorted(map(tuple, two.groupBy("sensor").count().collect())) == [(s, one.count()) for s in ("a", "b")]

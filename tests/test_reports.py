@@ -134,3 +134,11 @@ def test_request_without_a_time_keeps_its_row(spark):
     requests = spark.createDataFrame([(1, None), (2, START)], "id int, requested_date_time timestamp_ntz")
     out = asof.nearest_readings(requests, _observed(spark, [0]), fields=["traffic_volume"]).orderBy("id").collect()
     assert [(r["id"], r["exact_match"]) for r in out] == [(1, None), (2, True)]
+
+
+def test_many_requests_for_one_time(spark):
+    """A third of the requests share one time, and most share their nearest reading."""
+    times = [START + timedelta(minutes=0 if i % 3 == 0 else 10_000 + i) for i in range(300)]
+    requests = spark.createDataFrame(list(enumerate(times)), "id int, requested_date_time timestamp_ntz")
+    out = asof.nearest_readings(requests, _observed(spark, [0, 60]), fields=["traffic_volume"]).collect()
+    assert {r["id"]: r["traffic_volume"] for r in out} == {i: 0 if i % 3 == 0 else 60 for i in range(300)}

@@ -94,8 +94,8 @@ def standardise_text(df: DataFrame) -> DataFrame:
     return lower_columns(out, ["weather_description"])
 
 
-def clean(raw: DataFrame, order: str = ORDER_COLUMN, **kw) -> DataFrame:
-    """Raw readings to one checked row per hour.
+def clean(raw: DataFrame, order: str = ORDER_COLUMN, keys: Sequence[str] = (), **kw) -> DataFrame:
+    """Raw readings to one checked row per hour, and per ``keys`` where the table holds many sensors.
 
     Taking the first row per timestamp also removes exact duplicates (they share the
     timestamp), so the raw rows are read once and shuffled once. The hours that remain
@@ -105,7 +105,7 @@ def clean(raw: DataFrame, order: str = ORDER_COLUMN, **kw) -> DataFrame:
         require_columns(raw)
         .transform(standardise_text)
         .transform(parse_time)
-        .transform(first_per_key, ["date_time"], [order])
+        .transform(first_per_key, [*keys, "date_time"], [order])
         .transform(null_where, impossible_readings())
     )
     hours = materialize(out.drop(order), "hours")

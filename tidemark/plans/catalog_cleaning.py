@@ -10,6 +10,7 @@ from tidemark.operators import clean as cl
 from tidemark.plans.registry import query, rounded, tidy, wide_ints
 from tidemark.plans.standins import (
     CLEAN_SQL, HOURLY_TYPE_SQL, KEPT_SQL, RAW_SQL, TIDY_SQL, clean_readings, hourly_by_type, raw_readings, table,
+    tidy_readings,
 )
 
 
@@ -49,15 +50,18 @@ def impute_group_median(spark, sf):
     return rounded(filled.select("event_id", "value"))
 
 
-_CONTENT = "date_time, traffic_volume, weather_main"
+_CONTENT = ", ".join(vocab.RAW_COLUMNS)
 
 
-@query(f"""WITH {TIDY_SQL}
-SELECT {_CONTENT}, min(_ord) AS _ord FROM tidy GROUP BY ALL""")
+@query(f"""WITH {TIDY_SQL},
+twice AS (SELECT * FROM tidy UNION ALL SELECT * REPLACE (_ord + 1000000000 AS _ord) FROM tidy)
+SELECT {_CONTENT.replace('clouds_all', 'CAST(clouds_all AS BIGINT) AS clouds_all').replace('traffic_volume', 'CAST(traffic_volume AS BIGINT) AS traffic_volume')},
+  min(_ord) AS _ord FROM twice GROUP BY ALL""")
 def dedupe_exact(spark, sf):
-    out = raw_readings(spark, sf).transform(cl.standardise_text).transform(cl.parse_time)
-    out = out.select("date_time", "traffic_volume", "weather_main", "_ord")
-    return out.transform(cl.drop_exact_duplicates)
+    """Whole rows, every one of them delivered twice."""
+    rows = tidy_readings(spark, sf)
+    again = rows.withColumn("_ord", F.col("_ord") + 1_000_000_000)
+    return wide_ints(rows.unionByName(again).transform(cl.drop_exact_duplicates))
 
 
 @query(f"""WITH {HOURLY_TYPE_SQL}

@@ -18,7 +18,7 @@ cut AS (SELECT date_time AS cutoff FROM (
 train AS (SELECT * FROM known, cut WHERE date_time < cutoff),
 means AS (SELECT hour(date_time) AS hr, avg(traffic_volume) AS predicted FROM train GROUP BY 1),
 live AS (SELECT known.*, predicted FROM known JOIN means ON hr = hour(date_time), cut WHERE date_time >= cutoff),
-observed AS (SELECT date_time, traffic_volume FROM kept WHERE date_time < TIMESTAMP '2024-01-29'),
+observed AS (SELECT date_time, traffic_volume FROM kept),
 base AS (SELECT avg(abs(traffic_volume - predicted)) AS mae FROM train JOIN means ON hr = hour(date_time))"""
 
 
@@ -33,7 +33,6 @@ def _parts(spark, sf):
     # At most 24 rows, one per hour of the day.
     means = F.broadcast(means)
     live = later.join(means, "hour").withColumnRenamed("date_time", "input_date_time")
-    observed = observed.where(F.col("date_time") < F.lit("2024-01-29").cast("timestamp_ntz"))
     gap = F.abs(F.col("traffic_volume") - F.col("predicted_traffic_volume"))
     baseline = train.join(means, "hour").agg(F.avg(gap).alias("mae")).scalar()
     return train, live, observed, baseline

@@ -9,9 +9,10 @@ from tidemark.functions import vocab
 from tidemark.operators import features as ft
 from tidemark.plans.registry import query, rounded, tidy, wide_ints
 from tidemark.plans.standins import (
-    FEATURE_SQL, HOURLY_SQL, RAW_SQL, TIDY_SQL, WEATHER_OF, feature_table, hourly, raw_readings, table,
+    FEATURE_SQL, HOURLY_SQL, RAW_SQL, TIDY_SQL, WEATHER_OF, feature_table, hourly, raw_readings, sensor_readings, table,
 )
-from tidemark.operators.clean import parse_time, standardise_text
+from tidemark.operators.clean import clean, parse_time, standardise_text
+from tidemark.session import materialize
 from tidemark.sources import requests as rq
 
 
@@ -134,11 +135,10 @@ def unmapped_values(spark, sf):
 
 
 @query("""SELECT user_id, count(*) AS n_rows FROM events
-WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY 1""")
+WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY 1""")
 def unknown_keys(spark, sf):
     """Keys of one table that another does not hold."""
-    urgent = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'")
-    return ft.unknown_keys(table(spark, sf, "events"), "user_id", urgent, "o_custkey")
+    return ft.unknown_keys(table(spark, sf, "events"), "user_id", table(spark, sf, "supplier"), "s_suppkey")
 
 
 _DAY_PART = """CASE WHEN hour(date_time) <= 5 THEN 'Night' WHEN hour(date_time) <= 9 THEN 'Morning Rush'
@@ -185,6 +185,31 @@ def feature_build(spark, sf):
     return tidy(feature_table(spark, sf).select(*_FEATURE_COLUMNS))
 
 
+_SENSOR_SQL = FEATURE_SQL.replace(
+    "SELECT event_id AS _ord,", "SELECT event_id AS _ord, user_id AS sensor,").replace(
+    "SELECT _ord, holiday, temp, rain_1h, snow_1h, clouds_all,", "SELECT _ord, sensor, holiday, temp, rain_1h, snow_1h, clouds_all,").replace(
+    "PARTITION BY date_time ORDER BY _ord", "PARTITION BY sensor, date_time ORDER BY _ord").replace(
+    "SELECT holiday, coalesce(temp, mt)", "SELECT sensor, holiday, coalesce(temp, mt)")
+
+
+def sensor_features_of(spark, sf):
+    """Features of one checked row per sensor and hour; a sensor is a user."""
+    return ft.build_features(materialize(clean(sensor_readings(spark, sf), keys=["sensor"]), "sensors"))
+
+
+@query(f"WITH {_SENSOR_SQL} SELECT sensor, {', '.join(_feature_sql(c) for c in _FEATURE_COLUMNS)} FROM feat")
+def sensor_features(spark, sf):
+    """The feature table of many sensors: its rows grow with the data."""
+    return tidy(sensor_features_of(spark, sf).select("sensor", *_FEATURE_COLUMNS))
+
+
+@query(f"WITH {FEATURE_SQL} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing FROM feat" for c in vocab.FEATURES))
+def feature_matrix_missing(spark, sf):
+    """Missing cells in each of the model inputs."""
+    return ft.missing_profile(feature_table(spark, sf), vocab.FEATURES)
+
+
 # --- scoring requests --------------------------------------------------------
 def scoring_requests(spark, sf):
     """Every event as one request, some with values a model must not see."""

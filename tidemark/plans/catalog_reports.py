@@ -255,7 +255,7 @@ def _requests(spark, sf):
     return table(spark, sf, "events").select("event_id", when.alias("requested_date_time"))
 
 
-@query(f"""WITH {_SERIES_SQL},
+@query(f"""WITH {_SERIES_SQL.replace(" WHERE event_type = 'purchase'", "")},
 pick AS (
   SELECT event_id, t,
     (SELECT max(date_time) FROM obs WHERE date_time <= t) AS lo,
@@ -265,7 +265,7 @@ near AS (
 SELECT event_id, t AS requested_date_time, n AS nearest_available, traffic_volume, round(temp, 6) AS temp_kelvin,
   n = t AS exact_match FROM near JOIN obs ON date_time = n""")
 def nearest_lookup(spark, sf):
-    out = asof.nearest_readings(_requests(spark, sf), purchase_hours(spark, sf), fields=["traffic_volume", "temp"])
+    out = asof.nearest_readings(_requests(spark, sf), hourly(spark, sf), fields=["traffic_volume", "temp"])
     return rounded(out)
 
 

@@ -37,6 +37,12 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_of(table(spark, sf_dir, "events"))
 
 
+def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw readings with the sensor they are from: the user."""
+    ev = table(spark, sf_dir, "events")
+    return readings_of(ev.withColumn("sensor", F.col("user_id")))
+
+
 def readings_of(ev: DataFrame) -> DataFrame:
     """Every event as one raw reading: padded and mixed-case text, bad times and values.
 
@@ -62,7 +68,7 @@ def readings_of(ev: DataFrame) -> DataFrame:
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:00:00"))
         .alias("date_time"),
         F.floor(F.col("value") * 10.0).cast("int").alias("traffic_volume"),
-        *([F.col("received_at")] if "received_at" in ev.columns else []),
+        *[F.col(c) for c in ("received_at", "sensor") if c in ev.columns],
     )
 
 
