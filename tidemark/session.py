@@ -47,9 +47,26 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+_folders: list[str] = []
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, one per call."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _folders.append(path)
+    return path
+
+
+def discard_folders(spark: SparkSession) -> int:
+    """Remove every folder that ``run_folder`` named so far, through the file system it is on.
+
+    For when the results that read them are done; their number is returned.
+    """
+    removed = 0
+    while _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
