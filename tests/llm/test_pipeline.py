@@ -19,7 +19,7 @@ def plain_keep(text):
     lines = [s for s in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", s)]
     parts = {
         "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_words": len(words), "n_dup_lines": len(lines) - len(set(lines)),
-        "n_lines": len(lines), "n_repeat_words": repeated, "n_upper": len(re.findall("[A-Z]", text)), "n_letters": len(re.findall("[A-Za-z]", text)),
+        "n_lines": len(lines), "n_repeat_words": repeated, "n_upper": len(re.findall("[A-Z]", text)), "word_chars": sum(map(len, words)),
     }
     base = len(words) < 50 or 100 * repeated > 50 * len(words)
     return not base and not any(100 * parts[r.part] > r.outer * parts[r.whole] for r in quality.RULES)

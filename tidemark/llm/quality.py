@@ -39,7 +39,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", 25, 10),
     Rule("dup_lines", "n_dup_lines", "n_lines", 60, 30),
     Rule("repeats", "n_repeat_words", "n_words", 50, 30),
-    Rule("shouting", "n_upper", "n_letters", 70, 40),
+    Rule("shouting", "n_upper", "word_chars", 50, 35),
 )
 
 
@@ -52,7 +52,6 @@ def text_counts(text: Column) -> dict[str, Column]:
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
         "_lines": lines,
         "n_upper": F.length(F.regexp_replace(text, "[^A-Z]+", "")).cast("long"),
-        "n_letters": F.length(F.regexp_replace(text, "[^A-Za-z]+", "")).cast("long"),
     }
 
 
@@ -86,7 +85,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         "doc_id", "host", "h", F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("_windows")).alias("n_repeat_words"),
-        F.size("_lines").cast("long").alias("n_lines"), "n_upper", "n_letters",
+        F.size("_lines").cast("long").alias("n_lines"), "n_upper",
     )
 
 

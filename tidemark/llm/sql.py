@@ -34,7 +34,7 @@ counts AS (
   SELECT rid, doc_id, host, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_WHITE}', '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[{symbols}]', '', 'g')))::BIGINT AS n_symbols,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
-    length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_upper, length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AS n_letters
+    length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_upper
   FROM texts JOIN words USING (rid) JOIN lines USING (rid) LEFT JOIN covered USING (rid)),
 hosts AS (SELECT host, count(*) AS n, {failed} FROM counts GROUP BY host),
 prior AS (SELECT {means} FROM hosts),
