@@ -24,7 +24,9 @@ from tidemark.session import ship_code
 WINDOW = 2048
 END = 1
 #: Tokens that are packed together, so the rest that finds no partner is at most one window in so many.
-BLOCK_TOKENS = 8_000_000
+BLOCK_TOKENS = 2_000_000
+#: Bytes of text that are tokenised together.
+BLOCK_CHARS = 8_000_000
 #: Open places of a window that are left; with more, a piece is cut to fill it.
 SLACK = 8
 
@@ -121,40 +123,85 @@ def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
     return out
 
 
-@lru_cache(maxsize=4)
-def _encoder(name: str):
-    """A function from a string array to (ids, offsets), with the library's tokenizer, once per worker.
+class Encoder:
+    """The library's tokenizer over Arrow strings.
 
-    The tokenizer drops white space and never joins across it, so texts are cut at spaces and
-    line feeds, and each distinct stretch is encoded once and remembered (up to a bound).
+    The tokenizer drops white space and never joins across it, so texts are cut at spaces and line
+    feeds, and each distinct stretch is encoded once. It lower-cases and keeps letters apart from
+    marks, so a word of ASCII letters is looked up in lower case, without a full stop or comma
+    behind it. Distinct stretches are encoded many at a time, with a special token between them.
     """
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    known: dict[str, np.ndarray] = {}
 
-    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    MARKS = (".", ",")
+    BETWEEN = "<|startoftext|>"
+    TOGETHER, CALLS = 1000, 16
+
+    def __init__(self, name: str):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.between = self.tokenizer.token_to_id(self.BETWEEN)
+        self.marks = [self._ids([m])[0][0].tolist() for m in self.MARKS]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=np.uint32).reshape(1, -1) for e in found]
+
+    def stretches(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all stretches, one after the other, and their offsets."""
+        own = [i for i, w in enumerate(stems) if self.BETWEEN in w]
+        alone = {i: self._ids([stems[i]])[0][0] for i in own}
+        plain = ["" if i in alone else w for i, w in enumerate(stems)] if own else stems
+        ids, sizes = [], []
+        joined = [self.BETWEEN.join(plain[i:i + self.TOGETHER]) for i in range(0, len(plain), self.TOGETHER)]
+        for i in range(0, len(joined), self.CALLS):
+            for part in self._ids(joined[i:i + self.CALLS]):
+                cuts = np.flatnonzero(part[0] == self.between)
+                sizes.append(np.diff(cuts, prepend=-1, append=part.shape[1]) - 1)
+                ids.append(part[0][part[0] != self.between])
+        size = np.concatenate([*sizes, np.zeros(0, dtype=np.int64)]).astype(np.int64)
+        offsets, flat = np.concatenate([[0], np.cumsum(size)]), np.concatenate([*ids, np.zeros(0, dtype=np.uint32)])
+        if own:
+            lists = [alone[i] if i in alone else flat[offsets[i]:offsets[i + 1]] for i in range(len(stems))]
+            offsets, flat = np.concatenate([[0], np.cumsum([len(x) for x in lists])]), np.concatenate(lists)
+        return flat, offsets
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(start, end, ids, offsets) of blocks of rows, whose texts bound the memory."""
+        for start, end in blocks(texts, BLOCK_CHARS):
+            yield start, end, *self._block(texts.slice(start, end - start))
+
+    def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in known]
-        if len(known) + len(new) > 600_000:
-            known.clear()
-            new = distinct
-        for start in range(0, len(new), 50_000):
-            part = new[start:start + 50_000]
-            for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype=np.uint32)
-        parts = [known[w] for w in distinct]
-        offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))])
-        ids = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
-        at, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        words = coded.dictionary
+        behind = pc.match_substring_regex(words, "^[A-Za-z]+[.,]$")
+        letters = pc.or_(behind, pc.match_substring_regex(words, "^[A-Za-z]+$"))
+        cut = pc.if_else(behind, pc.utf8_slice_codeunits(words, 0, -1), words)
+        stems = pc.if_else(letters, pc.ascii_lower(cut), cut).dictionary_encode()
+        ids, offsets = self.stretches(stems.dictionary.to_pylist())
+        n = len(offsets) - 1
+        ids = np.concatenate([ids, *[np.array(m, dtype=np.uint32) for m in self.marks]])
+        offsets = np.concatenate([offsets, offsets[-1] + np.cumsum([len(m) for m in self.marks])])
+        # A word is one list, or two where a mark stands behind it.
+        tail = behind.to_numpy(zero_copy_only=False)
+        place = np.cumsum(1 + tail) - 1 - tail
+        pieces = np.empty(len(words) + int(tail.sum()), dtype=np.int64)
+        pieces[place] = stems.indices.to_numpy()
+        comma = pc.ends_with(words, ",").to_numpy(zero_copy_only=False)
+        pieces[place[tail] + 1] = n + comma[tail]
+        of_word = np.append(place, len(pieces))
+        ids, offsets = gather(ids, offsets, pieces), _summed(offsets, pieces)[of_word]
+        at, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
         return gather(ids, offsets, at), _summed(offsets, at)[bounds]
 
-    return encode
+
+@lru_cache(maxsize=4)
+def _encoder(name: str) -> Encoder:
+    return Encoder(name)
 
 
 def pack(
@@ -201,11 +248,10 @@ def pack(
         yield len(windows)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number = _encoder(tokenizer), TaskContext.get().partitionId() << 36
+        encoder, number = _encoder(tokenizer), TaskContext.get().partitionId() << 36
         keys, parts, held = [], [], 0
         for last, batch in _marked(batches):
-            for start, end in blocks(batch.column(1)) if batch is not None else ():
-                ids, offsets = encode(batch.column(1).slice(start, end - start))
+            for start, end, ids, offsets in encoder.encode(batch.column(1)) if batch is not None else ():
                 size = np.diff(offsets) + 1
                 with_end = np.insert(ids, offsets[1:], END)
                 keys.append(batch.column(0).slice(start, end - start))
