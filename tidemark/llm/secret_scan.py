@@ -28,11 +28,12 @@ class Rule:
     least: int = 0
 
 
-# The base rules, then the common shapes of issued keys.
+# The base rules, then the common shapes of issued keys. A run of hex digits is
+# matched whole or not at all, so its least length stands in the pattern.
 BASE = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
