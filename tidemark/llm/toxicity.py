@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,11 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import blocks
 from tidemark.session import ship_code
 
 #: The fit takes at most so many labelled rows of each label, those with the smallest hashes of
 #: their key, and passes over single texts above a length; all else is over all rows.
-TRAIN_ROWS = {1: 3000, 0: 6000}
+TRAIN_ROWS = {1: 2000, 0: 4000}
 TRAIN_CHARS = 200_000
 BUCKETS = 1 << 18
 BEGINNINGS = (4, 5, 6)
@@ -34,6 +36,8 @@ LEAST_TEXTS = 3
 THRESHOLD = 0.7
 #: Logit of a sentence before its words are looked at.
 START = -4.0
+#: Words whose weights a task keeps at hand.
+REMEMBERED = 300_000
 SENTENCE_END = "[.!?\n\x01]+"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -96,7 +100,7 @@ class Model:
     def of_words(self, words: list[str]) -> np.ndarray:
         """The summed weights of each word; words are remembered, up to a bound."""
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > 500_000:
+        if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = words
         lists = [features(w) for w in new]
@@ -125,18 +129,14 @@ def fit(texts: list[str], labels: list[int], rounds: int = 200, rate: float = 0.
         return Model(np.zeros(BUCKETS))
     b = bags(pa.array(texts, pa.string()))
     n, docs = len(b.doc_of_sentence), b.doc_of_sentence
-    lists = [features(w) for w in b.words]
-    feature = np.array([f for x in lists for f in x], dtype=np.int64)
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    # Texts that have a feature: distinct (text, word) first, then (text, feature).
-    pairs = np.unique(docs[b.sentence] * len(b.words) + b.word)
-    text_of, word_of = pairs // len(b.words), pairs % len(b.words)
-    size = np.array([len(x) for x in lists])
-    starts = np.concatenate([[0], np.cumsum(size)])[:-1]
-    counts = size[word_of]
-    spread = np.arange(counts.sum()) + np.repeat(starts[word_of] - (np.cumsum(counts) - counts), counts)
-    known = np.bincount(np.unique(np.repeat(text_of, counts) * BUCKETS + feature[spread]) % BUCKETS, minlength=BUCKETS)
-    keep = known[feature] >= LEAST_TEXTS
+    feature, size = array("i"), np.zeros(len(b.words), dtype=np.int64)
+    for i, w in enumerate(b.words):
+        found = features(w)
+        feature.extend(found)
+        size[i] = len(found)
+    feature = np.frombuffer(feature, dtype=np.int32) if len(feature) else np.zeros(0, dtype=np.int32)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    keep = _texts_with(feature, size, docs[b.sentence], b.word)[feature] >= LEAST_TEXTS
     feature, owner = feature[keep], owner[keep]
     used = np.unique(feature)
     at = np.searchsorted(used, feature)
@@ -157,6 +157,18 @@ def fit(texts: list[str], labels: list[int], rounds: int = 200, rate: float = 0.
     return Model(weights)
 
 
+def _texts_with(feature: np.ndarray, size: np.ndarray, text: np.ndarray, word: np.ndarray, step: int = 200) -> np.ndarray:
+    """In how many texts each feature is, some texts at a time."""
+    starts, known = np.cumsum(size) - size, np.zeros(BUCKETS, dtype=np.int64)
+    cuts = np.searchsorted(text, np.arange(0, (int(text[-1]) if len(text) else 0) + step + 1, step))
+    for begin, end in zip(cuts, cuts[1:]):
+        w, t = word[begin:end], text[begin:end]
+        counts = size[w]
+        spread = np.arange(counts.sum()) + np.repeat(starts[w] - (np.cumsum(counts) - counts), counts)
+        known += np.bincount(np.unique(np.repeat(t, counts) * BUCKETS + feature[spread]) % BUCKETS, minlength=BUCKETS)
+    return known
+
+
 def held_out(key: str) -> Column:
     """Rows that are never learnt from: crc32 of the key as text, modulo 3, is 1. Null keys are not."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
@@ -197,8 +209,8 @@ def assess(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Model(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start, end in blocks(batch.column(1)):
+                part = batch.slice(start, end - start)
                 scores, p, b = mine.score(part.column(1))
                 spans: list[list] = [[] for _ in range(part.num_rows)]
                 hits = np.flatnonzero(p >= floor)
@@ -231,8 +243,8 @@ def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Model(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start, end in blocks(pc.fill_null(batch.column(place), "")):
+                part = batch.slice(start, end - start)
                 yield part.filter(pa.array(mine.score(pc.fill_null(part.column(place), ""))[0] < threshold))
 
     return docs.mapInArrow(task, docs.schema)
