@@ -62,9 +62,9 @@ def z_distance(live_mean: Column, ref_mean: Column, ref_std: Column) -> Column:
     return F.when(ref_std > 0, F.try_divide(live_mean - ref_mean, ref_std)).otherwise(0.0)
 
 
-def continuous_drift(live: DataFrame, reference: DataFrame) -> DataFrame:
-    """Mean shift per field; ALERT strictly beyond the threshold."""
-    fields = [r["field"] for r in reference.select("field").collect()]
+def continuous_drift(live: DataFrame, reference: DataFrame, fields: Sequence[str] = tuple(vocab.CONTINUOUS_FIELDS)) -> DataFrame:
+    """Mean shift per field that both sides have; ALERT strictly beyond the threshold."""
+    fields = [f for f in fields if f in live.columns]
     both = reference.join(F.broadcast(field_means(live, fields)), "field")
     z = z_distance(F.col("mean"), F.col("ref_mean"), F.col("ref_std"))
     return both.withColumn("z", z).select(

@@ -20,6 +20,7 @@ from tidemark.operators.features import request_features
 from tidemark.operators.metrics import class_metrics, regression_metrics, roc_auc
 from tidemark.operators.series import flat_steps
 from tidemark.operators.split import time_cutoff
+from tidemark.session import materialize
 
 _ON_DISK_TOO = StorageLevel.MEMORY_AND_DISK
 
@@ -104,12 +105,13 @@ def _stacked(parts: list[DataFrame]) -> DataFrame:
 
 
 def evaluate_classifiers(models: Mapping[str, PipelineModel], test: DataFrame, label: str = "high_risk") -> DataFrame:
-    """Accuracy, precision, recall, F1 and ROC AUC per model."""
+    """Accuracy, precision, recall, F1 and ROC AUC per model; each scores the test set once."""
     parts = []
     for name, model in models.items():
         scored = model.transform(test).select(
             F.col(label).alias("label"), "prediction", vector_to_array("probability")[1].alias("score")
         )
+        scored = materialize(scored, "scored")
         auc = roc_auc(scored).scalar()
         parts.append(class_metrics(scored).select(F.lit(name).alias("model"), "*", auc.alias("roc_auc")))
     return _stacked(parts)

@@ -141,6 +141,15 @@ def unknown_keys(spark, sf):
     return ft.unknown_keys(table(spark, sf, "events"), "user_id", table(spark, sf, "supplier"), "s_suppkey")
 
 
+@query("""SELECT l_linestatus, count(*) FILTER (WHERE l_returnflag = 'A') AS flag_A, count(*) FILTER (WHERE l_returnflag = 'N') AS flag_N,
+  count(*) FILTER (WHERE l_returnflag = 'R') AS flag_R FROM lineitem GROUP BY 1""")
+def one_hot_discovered(spark, sf):
+    """One-hot columns over the categories that the data have."""
+    li = table(spark, sf, "lineitem")
+    cells = li.select("l_linestatus", *x.one_hot("l_returnflag", ft.discover_categories(li, "l_returnflag"), "flag_"))
+    return wide_ints(cells.groupBy("l_linestatus").agg(*[F.sum(c).alias(c) for c in cells.columns[1:]]))
+
+
 _DAY_PART = """CASE WHEN hour(date_time) <= 5 THEN 'Night' WHEN hour(date_time) <= 9 THEN 'Morning Rush'
   WHEN hour(date_time) <= 15 THEN 'Midday' WHEN hour(date_time) <= 19 THEN 'Evening Rush' ELSE 'Evening' END"""
 _WEATHER_GROUP = """CASE WHEN weather_main IN ('Thunderstorm', 'Squall') THEN 'Severe'

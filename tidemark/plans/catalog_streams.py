@@ -100,7 +100,11 @@ def stream_drift(spark, sf):
 
 @query(f"""WITH {TIDY_SQL} SELECT DISTINCT date_time FROM tidy""")
 def stream_dedupe(spark, sf):
-    """One row per hour out of the stream; which reading arrives first is up to the files."""
+    """One row per hour out of the stream; which reading arrives first is up to the files.
+
+    The file holds 30 days in no order of time and arrives at once, so the delay spans it all;
+    a live stream takes the operator's default, whose expiry the tests show.
+    """
     rows = request_stream(spark, sf).withColumnRenamed("request_timestamp", "event_time")
     kept = jobs.first_per_time(rows.select("date_time", "event_time", "traffic_volume"), delay="40 days")
     return jobs.run_to_table(kept, "dedupe").select("date_time")
