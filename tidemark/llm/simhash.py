@@ -27,6 +27,8 @@ SEED = 42
 SEGMENT = 4
 #: Fingerprints of one grid point that are compared in one go.
 BLOCK = 512
+#: A distance above all others.
+FAR = 999
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -143,8 +145,24 @@ def entries(nodes: DataFrame, plan: Plan) -> DataFrame:
     return tables.select(F.explode(steps).alias("step"), "*").select((F.col("code") + F.col("step")).alias("point"), "node", "bits", "side")
 
 
-def _linked(side: int, neighbours: int):
-    """Edges among the nodes of one grid point: a spanning star of what is linked, or nearest ones."""
+def _nearest_tree(apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a forest that joins what can be joined below ``FAR``, by the smallest distances (Prim)."""
+    n = len(apart)
+    best, origin, out = np.full(n, FAR), np.arange(n), np.zeros(n, dtype=bool)
+    pairs = []
+    for _ in range(n):
+        k = int(np.where(out, FAR + 1, best).argmin())
+        if best[k] < FAR:
+            pairs.append((k, int(origin[k])))
+        out[k] = True
+        closer = ~out & (apart[k] < best)
+        best[closer], origin[closer] = apart[k][closer], k
+    a = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+    return a[:, 0], a[:, 1]
+
+
+def _linked(side: int):
+    """Edges among the nodes of one grid point: a spanning star of what is linked, or a nearest-first forest."""
     def edges(run: pa.Table) -> pa.RecordBatch | None:
         node, first = np.unique(run["node"].to_numpy(), return_index=True)
         if len(node) < 2:
@@ -164,27 +182,27 @@ def _linked(side: int, neighbours: int):
         else:
             other = run["side"].to_numpy()[first].view(np.uint64)
             apart = np.bitwise_count(other[:, None] ^ other[None, :]).astype(np.int16)
-            apart[~near | (apart > side)] = 999
-            np.fill_diagonal(apart, 999)
-            k = min(neighbours, len(node) - 1)
-            best = np.argpartition(apart, k - 1, axis=1)[:, :k]
-            i, j = np.repeat(np.arange(len(node)), k), best.ravel()
-            keep = apart[i, j] < 999
-            a, b = np.maximum(node[i], node[j])[keep], np.minimum(node[i], node[j])[keep]
+            far = ~near | (apart > side)
+            np.fill_diagonal(far, True)
+            apart[far] = FAR
+            rows = np.flatnonzero(~far.all(axis=1))
+            i, j = _nearest_tree(apart[np.ix_(rows, rows)])
+            a, b = np.maximum(node[rows[i]], node[rows[j]]), np.minimum(node[rows[i]], node[rows[j]])
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return edges
 
 
-def links(nodes: DataFrame, plan: Plan, neighbours: int = 4) -> DataFrame:
+def links(nodes: DataFrame, plan: Plan) -> DataFrame:
     """(a, b): enough links between nodes for their components; ``nodes`` has node, f0, f1, ...
 
     With one word, every grid point yields a spanning star of its links, so no link is lost and
-    no group is expanded into its pairs. With several words, a node follows up its ``neighbours``
-    nearest ones at each point it is entered at, and the pair is checked on whole fingerprints.
+    no group is expanded into its pairs. With several words, every grid point yields a forest of
+    its nearest pairs, and these are checked on whole fingerprints; a group meets at many points
+    of many tables, each time as another forest.
     """
     spread = split_large(entries(nodes, plan), "point", "node", BLOCK)
-    found = by_run(spread.select("point", "lo", "hi", "node", "bits", "side"), ["point", "lo", "hi"], _linked(plan.side, neighbours), "a long, b long")
+    found = by_run(spread.select("point", "lo", "hi", "node", "bits", "side"), ["point", "lo", "hi"], _linked(plan.side), "a long, b long")
     if plan.words == 1:
         return found
     prints = nodes.select("node", F.array(*[f"f{i}" for i in range(plan.words)]).alias("f"))
