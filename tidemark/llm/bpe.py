@@ -152,6 +152,22 @@ class Vocabulary:
         out, ends = gather(ids, offsets, at), _summed(offsets, at)
         return pa.ListArray.from_arrays(pa.array(ends[bounds].astype(np.int32)), pa.array(out.astype(np.int32)))
 
+    def count_texts(self, texts: pa.Array, known: dict[str, int], most: int = 300_000) -> np.ndarray:
+        """How many ids each text has. ``known`` remembers stretches from call to call, up to ``most``."""
+        chunks, bounds = self._chunks(texts)
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [c for c in distinct if c not in known]
+        if len(known) + len(new) > most:
+            known.clear()
+            new = distinct
+        parts = [self.split(c) for c in new]
+        words = list(dict.fromkeys(w for p in parts for w in p if isinstance(w, str)))
+        size = dict(zip(words, np.diff(self.encode_words([w.encode() for w in words])[1]).tolist()))
+        known.update((c, sum(size.get(w, 1) for w in p)) for c, p in zip(new, parts))
+        counts = np.fromiter((known[c] for c in distinct), dtype=np.int64, count=len(distinct))
+        return np.diff(np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy()])])[bounds])
+
     def _chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Stretches of text that are encoded independently, and where each text's begin.
 

@@ -21,9 +21,13 @@ from tidemark.llm.bpe import Vocabulary, blocks, vocabulary
 from tidemark.session import ship_code
 
 SLOT = 32
+#: Characters of text that are counted together.
+BLOCK_CHARS = 8_000_000
 EDITS = "array<struct<start:int,end:int,replacement:string>>"
 #: What the cleaning edits mask.
-MASKS = (("<mail>", re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}")), ("0", re.compile(r"[0-9]{3,}")))
+MASKS = (
+    ("<mail>", re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}"), "@"), ("0", re.compile(r"[0-9]{3,}"), None),
+)
 
 
 class Counter:
@@ -125,15 +129,19 @@ class Tree:
 
 
 def cleaning_edits(text: str) -> list[dict]:
-    """Mails and long numbers masked, lines equal to an earlier one dropped; from the end to the start."""
-    found, seen, at = [], set(), 0
-    for line in text.split("\n"):
-        if line.strip() and line in seen:
-            found.append((max(0, at - 1), at + len(line), ""))
-        else:
+    """Mails and long numbers masked, lines equal to an earlier one dropped; from the end to the start.
+
+    Of edits that overlap, the later one stays, and of two with one start the longer.
+    """
+    found = [(m.start(), m.end(), by) for by, mask, sign in MASKS if sign is None or sign in text for m in mask.finditer(text)]
+    lines = text.split("\n")
+    if len(set(lines)) < len(lines):
+        seen, at = set(), 0
+        for line in lines:
+            if line.strip() and line in seen:
+                found.append((max(0, at - 1), at + len(line), ""))
             seen.add(line)
-            found += [(at + m.start(), at + m.end(), by) for by, mask in MASKS for m in mask.finditer(line)]
-        at += len(line) + 1
+            at += len(line) + 1
     kept, bound = [], len(text) + 1
     for s, e, by in sorted(found, reverse=True):
         if e <= bound and s < e:
@@ -171,20 +179,22 @@ def count(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", key: str = "doc
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(tokenizer, False)
-        counter = Counter(vocab)
+        counter, known = Counter(vocab), {}
         for batch in batches:
-            for start, end in blocks(batch.column(1)):
+            for start, end in blocks(batch.column(1), BLOCK_CHARS):
                 part = batch.slice(start, end - start)
-                before = np.diff(vocab.encode_texts(part.column(1)).offsets.to_numpy()).tolist()
+                before = vocab.count_texts(part.column(1), known).tolist()
                 edits = [e or [] for e in part.column(2).to_pylist()]
-                trees = {}
-                for i, changes in enumerate(edits):
-                    if changes:
-                        trees[i] = Tree(vocab.pattern.findall(part.column(1)[i].as_py()), counter, vocab.pattern.findall)
-                        for e in changes:
-                            trees[i].edit(e["start"] or 0, e["end"] or 0, e["replacement"] or "")
-                        counter.learn({w for s in trees[i].stale for w in trees[i].slots[s]})
-                        trees[i].settle()
+                words = {i: vocab.pattern.findall(part.column(1)[i].as_py()) for i, e in enumerate(edits) if e}
+                # Unknown pre-tokens of the block are encoded together: before the edits, and after them.
+                counter.learn({w for found in words.values() for w in found})
+                trees = {i: Tree(found, counter, vocab.pattern.findall) for i, found in words.items()}
+                for i, tree in trees.items():
+                    for e in edits[i]:
+                        tree.edit(e["start"] or 0, e["end"] or 0, e["replacement"] or "")
+                counter.learn({w for tree in trees.values() for s in tree.stale for w in tree.slots[s]})
+                for tree in trees.values():
+                    tree.settle()
                 columns = [
                     before, [trees[i].tokens[1] if i in trees else n for i, n in enumerate(before)], [len(e) for e in edits],
                     [trees[i].recut if i in trees else 0 for i in range(len(edits))],
