@@ -40,6 +40,17 @@ def attach(left: DataFrame, facts: DataFrame, keys: list[str], n: str, total: in
     return by_broadcast.unionByName(rest.join(cold, same, "inner")).drop(*named)
 
 
+def smallest(df: DataFrame, h: str, n: int, total: int) -> DataFrame:
+    """The ``n`` rows of ``df`` (``total`` rows) with the smallest hashes ``h``, 64 bits each.
+
+    Rows above twice the hash that ``n`` of ``total`` rows are expected below are dropped where they
+    are read, so what tasks send on is about ``2 n`` rows together, not ``n`` each.
+    """
+    bound = int(-(2**63) + 2**64 * min(1.0, 2 * n / max(total, 1)))
+    low = df if bound >= 2**63 else df.where(F.col(h) < bound)
+    return low.orderBy(h).limit(n)
+
+
 def split_large(rows: DataFrame, key: str, member: str, block: int) -> DataFrame:
     """Rows of keys that have two or more, with ``lo``, ``hi`` and ``own``: the block pairs of a key.
 

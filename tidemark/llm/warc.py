@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach
+from tidemark.llm.common import attach, smallest
 from tidemark.session import materialize, run_folder, ship_code
 
 # Frame numbers of the format; a dictionary is in the skippable frame 0x184D2A5D.
@@ -53,7 +53,7 @@ def base32_sha1(payload: Column) -> Column:
 def train(pages: DataFrame, html: str = "html") -> bytes:
     """A dictionary from a bounded sample; empty where the sample is too small for one."""
     sample = pages.where(F.length(html) > 0).select(F.substring(html, 1, TRAIN_BYTES).alias("p"), F.xxhash64(html).alias("h"))
-    texts = [r["p"].encode() for r in sample.orderBy("h", "p").limit(TRAIN_PAGES).collect()]
+    texts = [r["p"].encode() for r in smallest(sample, "h", TRAIN_PAGES, pages.count()).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes() if len(texts) >= 8 else b""
     except zstandard.ZstdError:
