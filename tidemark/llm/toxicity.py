@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import blocks
-from tidemark.session import ship_code
+from tidemark.llm.common import smallest
+from tidemark.session import materialize, ship_code
 
 #: The fit takes at most so many labelled rows of each label, those with the smallest hashes of
 #: their key, and passes over single texts above a length; all else is over all rows.
@@ -182,8 +183,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     keys = docs.where(~held_out(key) & F.col(key).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(key).alias("_key")).distinct()
-    found = keys.join(known, "_key").withColumn("_h", F.xxhash64("_key"))
-    chosen = [found.where(F.col("_label") == v).orderBy("_h", "_key").limit(n) for v, n in TRAIN_ROWS.items()]
+    found = materialize(keys.join(known, "_key").withColumn("_h", F.xxhash64("_key")), "toxicity-keys")
+    counts = {r["_label"]: r["count"] for r in found.groupBy("_label").count().collect()}
+    chosen = [smallest(found.where(F.col("_label") == v), "_h", n, counts.get(v, 0)) for v, n in TRAIN_ROWS.items()]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]).select("_key", "_label"))
     rows = docs.join(chosen, F.col(key) == F.col("_key")).where(F.length(text) <= TRAIN_CHARS)
     rows = rows.select("_key", F.col("_label").alias("y"), F.col(text).alias("t")).collect()
