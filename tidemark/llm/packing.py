@@ -25,8 +25,8 @@ WINDOW = 2048
 END = 1
 #: Tokens that are packed together, so the rest that finds no partner is at most one window in so many.
 BLOCK_TOKENS = 2_000_000
-#: Bytes of text that are tokenised together.
-BLOCK_CHARS = 8_000_000
+#: Bytes of text whose distinct words are looked up together.
+BLOCK_CHARS = 32_000_000
 #: Open places of a window that are left; with more, a piece is cut to fill it.
 SLACK = 8
 
@@ -134,7 +134,7 @@ class Encoder:
 
     MARKS = (".", ",")
     BETWEEN = "<|startoftext|>"
-    TOGETHER, CALLS = 1000, 16
+    TOGETHER, CALLS = 1000, 32
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -172,9 +172,10 @@ class Encoder:
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(start, end, ids, offsets) of blocks of rows, whose texts bound the memory."""
         for start, end in blocks(texts, BLOCK_CHARS):
-            yield start, end, *self._block(texts.slice(start, end - start))
+            for s, e, ids, offsets in self._block(texts.slice(start, end - start)):
+                yield start + s, start + e, ids, offsets
 
-    def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _block(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary
@@ -196,7 +197,9 @@ class Encoder:
         of_word = np.append(place, len(pieces))
         ids, offsets = gather(ids, offsets, pieces), _summed(offsets, pieces)[of_word]
         at, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-        return gather(ids, offsets, at), _summed(offsets, at)[bounds]
+        for s, e in blocks(texts):
+            take = at[bounds[s]:bounds[e]]
+            yield s, e, gather(ids, offsets, take), _summed(offsets, take)[bounds[s:e + 1] - bounds[s]]
 
 
 @lru_cache(maxsize=4)
