@@ -122,3 +122,30 @@ def test_similar_pairs_are_found_and_others_are_not(spark):
     assert all(2 * g in kept for g in near)
     assert sum(2 * g + 1 not in kept for g in similar) >= 0.9 * len(similar)
     assert all(2 * g + 1 in kept for g, j in near.items() if j < 0.6)
+
+
+def families(draw, sizes, common, own):
+    """Documents that share a run of words and end in words of their own."""
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(8))
+    rows = []
+    for size in sizes:
+        shared = [word() for _ in range(common)]
+        rows += [(len(rows) + i, " ".join(shared + [word() for _ in range(own)])) for i in range(size)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [256, 40])
+def test_a_family_below_the_similarity_stays_whole(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "SETS", block)
+    for own in (70, 90):
+        rows = families(random.Random(own), [300], 400, own)
+        a, b = shingles(rows[0][1]), shingles(rows[1][1])
+        assert 0.65 <= len(a & b) / len(a | b) <= 0.75
+        assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
+def test_repeated_shingles_count_once(spark):
+    draw = random.Random(6)
+    (_, a), = families(draw, [1], 300, 0)
+    docs = spark.createDataFrame([(1, a), (2, a + " again and again" * 200)], "doc_id long, text string")
+    assert [r.doc_id for r in simhash.keep_one(docs).collect()] == [1]

@@ -5,7 +5,8 @@ segments' bit counts. The Manhattan distance of two such vectors is at most the
 of the fingerprints, so fingerprints within ``2`` bits have vectors within distance 2, and these
 share a grid point: each vector is entered at its own point and at all points one step away, and
 two vectors within distance 2 have a point between them. The join is on equal points; what meets
-there is compared bit by bit.
+there is compared bit by bit. For a Jaccard similarity, what meets and agrees in two further words
+forms families, and inside a family every pair is compared by its exact sets of shingles.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ SEED = 42
 SEGMENT = 4
 #: Fingerprints of one grid point that are compared in one go.
 BLOCK = 512
-#: A distance above all others.
-FAR = 999
+#: Texts of one family whose sets of shingles are compared in one go, and shingles counted at a time.
+SETS = 256
+COLUMNS = 4096
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -46,37 +48,40 @@ class Plan:
     """How texts are compared.
 
     shingle: words of a shingle; words: 64-bit words of a fingerprint. tables: bit ranges that are
-    range-joined at 2 bits or fewer. limit: differing bits of whole fingerprints that still link.
-    side: differing bits of the following word above which a pair of a table is not followed up
-    (fingerprints of one word need no such look).
+    range-joined. limit: differing bits that still link, of the table itself or, with a ``jaccard``,
+    of the two following words, which makes a family. jaccard: the least similarity of two sets of
+    shingles inside a family that links; 0 if bits decide.
     """
 
     shingle: int
     words: int
     tables: tuple[Table, ...]
     limit: int
-    side: int = 64
+    jaccard: float = 0.0
 
 
 #: 64 bits of 3-word shingles, linked at 2 bits or fewer: every link is found.
 EXACT = Plan(3, 1, (Table(0, 0, 64),), 2)
-#: 5-word shingles at a Jaccard similarity of 0.8: there sets have a cosine of 0.889, and bits
-#: differ with probability 0.151, 77 of 512 in the mean with a deviation of 8. A pair at 0.8 is
-#: within 2 bits in a table of 24 with probability 0.275, in one of twelve with 0.98.
-SIMILAR = Plan(5, 8, tuple(Table(w, s, 24) for w in range(8) for s in (0, 32))[:12], 88, 18)
+#: 5-word shingles at a Jaccard similarity of 0.8, decided on the sets. There sets have a cosine of
+#: 0.889, and bits differ with probability 0.151: 19 of the 128 bits of two words in the mean with
+#: a deviation of 4, where unrelated texts differ in 64 with a deviation of 5.7.
+SIMILAR = Plan(5, 8, tuple(Table(w, s, 24) for w in range(8) for s in (0, 32))[:12], 33, 0.8)
 
 
-def fingerprint(text: bytes, shingle: int, words: int) -> list[int]:
-    """Signed 64-bit words. A bit is 1 if it is set in over half of the shingles' hashes.
-
-    Word 0 is of XXH64 (seed 42) itself, further ones of hashes mixed from it. A text with fewer
-    words than a shingle is one shingle; one without words is all zeros.
-    """
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle. A text with fewer words than a shingle is one; without words there is none."""
     tokens = text.translate(_LOWER).split()
     if not tokens:
-        return [0] * words
+        return np.empty(0, dtype=np.uint64)
     grams = [b" ".join(g) for g in zip(*(tokens[i:] for i in range(shingle)))] or [b" ".join(tokens)]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=len(grams))
+    return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=len(grams))
+
+
+def fingerprint(hashes: np.ndarray, words: int) -> list[int]:
+    """Signed 64-bit words. A bit is 1 if it is set in over half of the shingles' hashes.
+
+    Word 0 is of the hashes themselves, further ones of hashes mixed from them. No hashes give zeros.
+    """
     out = []
     for word in range(words):
         ones = np.zeros(64, dtype=np.int64)
@@ -97,24 +102,39 @@ def _mixed(h: np.ndarray, word: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, words: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, f0, f1, ...): ``h`` is a hash of the whole text. A null text has no words."""
+def fingerprints(docs: DataFrame, plan: Plan = EXACT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, h, f0, f1, ...): ``h`` is a hash of the whole text. A null text has no words.
+
+    With a ``jaccard``, repeated shingles count once, and ``d`` (the sum of the hashes) tells sets of
+    equal fingerprints apart.
+    """
     ship_code(docs.sparkSession)
+    names = columns(plan)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            prints = np.array([fingerprint(t, shingle, words) for t in texts], dtype=np.int64).reshape(-1, words)
-            columns = [batch.column(0), batch.column(1), *[pa.array(prints[:, i]) for i in range(words)]]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            found = []
+            for t in batch.column(2).cast(pa.binary()).to_pylist():
+                hashes = shingle_hashes(t, plan.shingle)
+                if plan.jaccard:
+                    hashes = np.unique(hashes)
+                    found.append([*fingerprint(hashes, plan.words), int(hashes.sum(dtype=np.uint64).view(np.int64))])
+                else:
+                    found.append(fingerprint(hashes, plan.words))
+            prints = np.array(found, dtype=np.int64).reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(prints[:, i]) for i in range(len(names))]], ["doc_id", "h", *names])
 
-    names = ["doc_id", "h", *[f"f{i}" for i in range(words)]]
     kind = dict(docs.dtypes)[key]
-    schema = ", ".join([f"doc_id {kind}", *[f"{n} long" for n in names[1:]]])
+    schema = ", ".join([f"doc_id {kind}", *[f"{n} long" for n in ["h", *names]]])
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("h"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(task, schema)
 
 
+def columns(plan: Plan) -> list[str]:
+    """The columns by which texts are one node."""
+    return [*[f"f{i}" for i in range(plan.words)], *(["d"] if plan.jaccard else [])]
+
+
 def _popcounts(table: Table) -> Column:
     """The vector of segment popcounts as one integer, four bits per count.
 
@@ -128,67 +148,53 @@ def _popcounts(table: Table) -> Column:
 
 
 def entries(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(point, node, own bits, side word): each node at its grid point of every table and one step away.
+    """(point, node, x, y): each node at its grid point of every table and one step away.
 
-    Points of different tables differ in the bits above the vector's.
+    ``x`` and ``y`` are what is compared there: the table's own bits (and nothing), or the two
+    words after the table's. Points of different tables differ in the bits above the vector's.
     """
     width = plan.tables[0].bits
     parts = []
     for place, t in enumerate(plan.tables):
-        bits = F.shiftrightunsigned(F.col(f"f{t.word}"), t.shift)
-        bits = bits if width == 64 else bits.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         code = _popcounts(t) + F.lit(place << width if place else 0).cast("long")
-        parts.append(F.struct(code.alias("code"), bits.alias("bits"), F.col(f"f{(t.word + 1) % plan.words}").alias("side")))
+        if plan.jaccard:
+            x, y = F.col(f"f{(t.word + 1) % plan.words}"), F.col(f"f{(t.word + 2) % plan.words}")
+        else:
+            x, y = F.shiftrightunsigned(F.col(f"f{t.word}"), t.shift), F.lit(0).cast("long")
+            x = x if width == 64 else x.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        parts.append(F.struct(code.alias("code"), x.alias("x"), y.alias("y")))
     steps = [0] + [sign << (SEGMENT * i) for i in range(width // SEGMENT) for sign in (1, -1)]
     steps = F.array(*[F.lit(x).cast("long") for x in steps])
     tables = nodes.select("node", F.inline(F.array(*parts)))
-    return tables.select(F.explode(steps).alias("step"), "*").select((F.col("code") + F.col("step")).alias("point"), "node", "bits", "side")
-
-
-def _nearest_tree(apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a forest that joins what can be joined below ``FAR``, by the smallest distances (Prim)."""
-    n = len(apart)
-    best, origin, out = np.full(n, FAR), np.arange(n), np.zeros(n, dtype=bool)
-    pairs = []
-    for _ in range(n):
-        k = int(np.where(out, FAR + 1, best).argmin())
-        if best[k] < FAR:
-            pairs.append((k, int(origin[k])))
-        out[k] = True
-        closer = ~out & (apart[k] < best)
-        best[closer], origin[closer] = apart[k][closer], k
-    a = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-    return a[:, 0], a[:, 1]
-
-
-def _linked(side: int):
-    """Edges among the nodes of one grid point: a spanning star of what is linked, or a nearest-first forest."""
+    return tables.select(F.explode(steps).alias("step"), "*").select((F.col("code") + F.col("step")).alias("point"), "node", "x", "y")
+
+
+def _star(node: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+    """A spanning star of each component of the graph ``near``, in which each node is near itself."""
+    label = np.arange(len(node))
+    while True:
+        least = np.where(near, label[None, :], len(node)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    rows = np.flatnonzero(label != np.arange(len(node)))
+    return pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(node[label[rows]])], ["a", "b"])
+
+
+def _linked(limit: int):
+    """Edges among the nodes of one grid point: a spanning star of what is within ``limit`` bits."""
     def edges(run: pa.Table) -> pa.RecordBatch | None:
         node, first = np.unique(run["node"].to_numpy(), return_index=True)
         if len(node) < 2:
             return None
-        bits = run["bits"].to_numpy()[first].view(np.uint64)
-        near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 2
-        if side >= 64:
-            label = np.arange(len(node))
-            while True:
-                least = np.where(near, label[None, :], len(node)).min(axis=1)
-                least = least[least]
-                if (least == label).all():
-                    break
-                label = least
-            rows = np.flatnonzero(label != np.arange(len(node)))
-            a, b = node[rows], node[label[rows]]
-        else:
-            other = run["side"].to_numpy()[first].view(np.uint64)
-            apart = np.bitwise_count(other[:, None] ^ other[None, :]).astype(np.int16)
-            far = ~near | (apart > side)
-            np.fill_diagonal(far, True)
-            apart[far] = FAR
-            rows = np.flatnonzero(~far.all(axis=1))
-            i, j = _nearest_tree(apart[np.ix_(rows, rows)])
-            a, b = np.maximum(node[rows[i]], node[rows[j]]), np.minimum(node[rows[i]], node[rows[j]])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        x, y = (run[c].to_numpy()[first].view(np.uint64) for c in ("x", "y"))
+        apart = np.bitwise_count(x[:, None] ^ x[None, :])
+        if y.any():
+            apart = apart + np.bitwise_count(y[:, None] ^ y[None, :])
+        near = apart <= limit
+        rows = np.flatnonzero(near.sum(axis=1) > 1)
+        return _star(node[rows], near[np.ix_(rows, rows)]) if len(rows) else None
 
     return edges
 
@@ -196,21 +202,69 @@ def _linked(side: int):
 def links(nodes: DataFrame, plan: Plan) -> DataFrame:
     """(a, b): enough links between nodes for their components; ``nodes`` has node, f0, f1, ...
 
-    With one word, every grid point yields a spanning star of its links, so no link is lost and
-    no group is expanded into its pairs. With several words, every grid point yields a forest of
-    its nearest pairs, and these are checked on whole fingerprints; a group meets at many points
-    of many tables, each time as another forest.
+    Every grid point yields a spanning star of the pairs that hold there, so no link is lost and
+    no group is expanded into its pairs.
     """
     spread = split_large(entries(nodes, plan), "point", "node", BLOCK)
-    found = by_run(spread.select("point", "lo", "hi", "node", "bits", "side"), ["point", "lo", "hi"], _linked(plan.side), "a long, b long")
-    if plan.words == 1:
-        return found
-    prints = nodes.select("node", F.array(*[f"f{i}" for i in range(plan.words)]).alias("f"))
-    pairs = found.distinct()
-    pairs = pairs.join(prints.select(F.col("node").alias("a"), F.col("f").alias("fa")), "a")
-    pairs = pairs.join(prints.select(F.col("node").alias("b"), F.col("f").alias("fb")), "b")
-    apart = sum((F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(plan.words)), F.lit(0))
-    return pairs.where(apart <= plan.limit).select("a", "b")
+    return by_run(spread.select("point", "lo", "hi", "node", "x", "y"), ["point", "lo", "hi"], _linked(plan.limit), "a long, b long")
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each pair of sets has in common."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = n[at] > 1
+    owner, at = owner[kept], (np.cumsum(n > 1) - 1)[at[kept]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        low, high = np.searchsorted(at, (start, start + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        has[owner[low:high], at[low:high] - start] = 1
+        out += (has @ has.T).astype(np.int64)
+    return out
+
+
+def _alike(jaccard: float):
+    """Edges among the texts of a run: a spanning star of the pairs whose sets have this similarity."""
+    def edges(run: pa.Table) -> pa.RecordBatch | None:
+        node, first = np.unique(run["node"].to_numpy(), return_index=True)
+        if len(node) < 2:
+            return None
+        hashes = run["hashes"].combine_chunks()
+        sets = [hashes[i].values.to_numpy() for i in first.tolist()]
+        size, both = np.array([len(s) for s in sets]), _shared(sets)
+        near = both >= jaccard * (size[:, None] + size[None, :] - both) - 1e-6
+        np.fill_diagonal(near, True)
+        return _star(node, near)
+
+    return edges
+
+
+def similar(nodes: DataFrame, docs: DataFrame, plan: Plan, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b): enough links for the components of pairs of at least ``plan.jaccard``.
+
+    The tables only say which texts are of one family. All pairs of a family are then compared by
+    their exact sets, in pairs of blocks, and each meeting yields a spanning star of those that
+    hold. ``nodes`` has ``pick``, the key and text hash of one of its rows.
+    """
+    family = components(links(nodes, plan)).select("node", F.col("component").alias("family"))
+    members = nodes.select("node", F.col("pick.doc_id").alias("_k"), F.col("pick.h").alias("_h")).join(family, "node")
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(text) == F.col("_h"))
+    texts = docs.join(members, same).select("family", "node", F.col(text).alias("text"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                sets = [np.unique(shingle_hashes(t, plan.shingle)).view(np.int64) for t in part.column(2).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))], ["family", "node", "hashes"])
+
+    rows = texts.where(F.col("text").isNotNull()).mapInArrow(task, "family long, node long, hashes array<long>")
+    sets = materialize(rows.dropDuplicates(["node"]), "simhash-sets")
+    spread = split_large(sets, "family", "node", SETS)
+    return by_run(spread.select("family", "lo", "hi", "node", "hashes"), ["family", "lo", "hi"], _alike(plan.jaccard), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = EXACT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,13 +275,15 @@ def near_duplicates(docs: DataFrame, plan: Plan = EXACT, key: str = "doc_id", te
     Null texts and texts without words have the fingerprint zero and link like others. A null key
     counts for nothing as component id; a component of null keys only has none (null). Rows that
     repeat are in one component. Other columns are not read. No rows give no rows. Equal
-    fingerprints are one node from the start, however many rows have them.
+    fingerprints (of equal sets, with a ``jaccard``) are one node from the start, however many rows have them.
     """
-    names = [f"f{i}" for i in range(plan.words)]
-    prints = materialize(fingerprints(docs, plan.shingle, plan.words, key, text), "simhash")
-    nodes = prints.groupBy(*names).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    found = components(links(nodes, plan))
+    names = columns(plan)
+    prints = materialize(fingerprints(docs, plan, key, text), "simhash")
+    facts = [F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")]
+    if plan.jaccard:
+        facts.append(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("pick"))
+    nodes = materialize(prints.groupBy(*names).agg(*facts).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    found = components(similar(nodes, docs, plan, key, text) if plan.jaccard else links(nodes, plan))
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialize(rooted.join(least, "root").select(*names, "n", "root", "component_id"), "simhash-classes")
