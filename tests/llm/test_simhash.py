@@ -144,6 +144,25 @@ def test_a_family_below_the_similarity_stays_whole(spark, monkeypatch, block):
         assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
 
 
+def test_the_threshold_is_exact_and_pairs_just_above_it_are_found(spark):
+    draw = random.Random(3)
+    rows = families(draw, [2] * 400, 400, 49)
+    below = [(10_000 + d, t) for d, t in families(draw, [2] * 400, 400, 50)]
+    jaccard = lambda a, b: len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+    assert 0.8 <= jaccard(rows[0][1], rows[1][1]) < 0.802 and 0.797 < jaccard(below[0][1], below[1][1]) < 0.8
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([*rows, *below], "doc_id long, text string")).collect()}
+    assert {d for d, _ in below} <= kept and {2 * g for g in range(400)} <= kept
+    assert sum(2 * g + 1 not in kept for g in range(400)) >= 0.99 * 400
+
+
+def test_pairs_inside_a_family_are_found_behind_others(spark):
+    draw = random.Random(5)
+    rows = families(draw, [300], 400, 90)
+    copies = [(1000 + d, " ".join([*t.split()[:-20], *(f"new{d}x{i}" for i in range(20))])) for d, t in rows[:60]]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([*rows, *copies], "doc_id long, text string")).collect()}
+    assert kept == {d for d, _ in rows}
+
+
 def test_repeated_shingles_count_once(spark):
     draw = random.Random(6)
     (_, a), = families(draw, [1], 300, 0)
