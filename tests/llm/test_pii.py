@@ -105,3 +105,21 @@ def test_cleaned_handles_overlaps_and_general_terms():
     text = "Zoe called 555 from home"
     assert pii.cleaned(text, "generalise:0:3,generalise:11:14,remove:20:24") == "[name] called [number] from "
     assert pii.cleaned("a 1.2.3.4.5 b", "ip:2:9,phone:4:11") == "a [ip] b" and pii.cleaned(text, "") == text
+
+
+def test_rare_entities_are_covered(spark):
+    common = [(1000 + i, f"people write and the office will answer all of them in time again {i % 7}") for i in range(400)]
+    rows = [
+        (1, "people write to Zimbelda and the office will answer: ann@corp.com"),
+        (2, "the office will answer Quorvax at bea@corp.com"), (3, "people write to Quorvax in time at bea@corp.com"), *common,
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scanned, counts = pii.scan(docs), pii.word_counts(docs)
+    told = pii.disclosures(scanned, counts)
+    found = {(r.entity, r.term): r.action for r in told.collect()}
+    assert found[("email:ann@corp.com", "zimbelda")] == "remove" and found[("email:bea@corp.com", "quorvax")] == "remove"
+    assert not {t for _, t in found} & {"people", "write", "office", "answer", "the"}
+    texts = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "Zimbelda" not in texts[1] and "Quorvax" not in texts[2] + texts[3]
+    cover = {(r.kind, r.seen): (r.entities, r.reached) for r in pii.coverage(scanned, told).collect()}
+    assert cover == {("email", 1): (1, 1), ("email", 2): (1, 1)}

@@ -4,13 +4,15 @@ Mail addresses, numbers of networks, cards and phones are found by pattern. Each
 is a protected entity. Over the whole corpus, the words near an entity are counted against all
 words: the pointwise mutual information of a term and an entity, over the information content of
 the entity, is the share of the entity that the term discloses: 1 if the term is seen nowhere
-else, 0 if it is as common elsewhere. Near the entity, terms above a threshold are replaced by a
+else, 0 if it is as common elsewhere. The share is weighted by the evidence that the two belong
+together, so that no entity is too rare to be looked at. Near the entity, terms above a threshold are replaced by a
 more general one, and those above a higher threshold are removed.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections.abc import Iterator
 
@@ -28,8 +30,10 @@ from tidemark.session import materialize, ship_code
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that count as near it.
 WINDOW = 12
-#: Different surroundings in which a term must be near an entity: repeated text is one witness.
+#: Different surroundings from which on a term counts as often seen near an entity (``coverage``).
 LEAST_CONTEXTS = 3
+#: Odds, before anything is seen, that a term near an entity is there by chance.
+ODDS = 9.0
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -152,28 +156,51 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def disclosures(
-    scanned: DataFrame, counts: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, contexts: int = LEAST_CONTEXTS
+    scanned: DataFrame, counts: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, odds: float = ODDS
 ) -> DataFrame:
-    """(entity, term, n, share, action): terms that disclose an entity.
+    """(entity, term, n, contexts, share, action): terms that disclose an entity, however rare it is.
 
     With N words in the corpus, n(t) of them t, c(e) of them near e and n(e, t) both:
     PMI = log(n(e, t) N / (n(t) c(e))), IC = log(N / c(e)), share = PMI / IC.
+
+    The thresholds are held against share / (1 + odds (c(e) / N) ** k): a word is near e by chance
+    with probability c(e) / N, and k different surroundings (repeated text is one) had to agree.
     """
     near = scanned.select(F.explode("mentions").alias("m")).select("m.entity", "m.context", F.explode("m.terms.term").alias("term"))
     # Surroundings first: a pair's rows shrink to one per surroundings before they are counted.
     witnessed = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
     pairs = materialize(witnessed.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("contexts")), "pii-pairs")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    of_entity = pairs.groupBy(F.col("entity").alias("_e")).agg(F.sum("n").alias("c"))
-    kept = pairs.where(F.col("contexts") >= contexts).join(of_entity, F.col("entity") == F.col("_e"))
-    kept = kept.join(counts.select(F.col("term").alias("_t"), F.col("n").alias("_all")), F.col("term") == F.col("_t"), "left")
-    of_term = F.greatest(F.coalesce("_all", F.lit(0)), "n")
-    words = F.lit(float(max(total, 1)))
-    content = F.log(F.greatest(words, F.col("c") + 1.0) / F.col("c"))
-    share = F.log(F.col("n") * words / (of_term * F.col("c"))) / content
-    action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
-    found = kept.select("entity", "term", "n", F.least(share, F.lit(1.0)).alias("share")).where(F.col("share") >= generalise)
-    return found.withColumn("action", action)
+    words = float(max(counts.agg(F.sum("n")).first()[0] or 0, 1))
+    of_entity = pairs.groupBy("entity").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("_rows"))
+    of_term = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+    of_term = of_term.join(counts.select(F.col("term").alias("_t"), F.col("n").alias("_all")), F.col("term") == F.col("_t"), "left")
+    # Common terms are near many entities, and some entities have many terms: neither may be one task's.
+    total = pairs.count()
+    known = materialize(attach(pairs, materialize(of_entity, "pii-entities"), ["entity"], "_rows", total).drop("_rows"), "pii-known")
+    known = attach(known, materialize(of_term.select("term", "_rows", "_all"), "pii-near"), ["term"], "_rows", total)
+    everywhere = F.greatest(F.coalesce("_all", F.lit(0)), "n")
+    content = F.log(F.greatest(F.lit(words), F.col("c") + 1.0) / F.col("c"))
+    share = F.least(F.log(F.col("n") * words / (everywhere * F.col("c"))) / content, F.lit(1.0))
+    told = known.select("entity", "term", "n", "contexts", share.alias("share"), content.alias("_content"))
+    held = F.col("share") / (F.exp(math.log(odds) - F.col("contexts") * F.col("_content")) + 1.0)
+    action = F.when(held >= remove, "remove").otherwise("generalise")
+    return told.where(held >= generalise).withColumn("action", action).drop("_content")
+
+
+def coverage(scanned: DataFrame, told: DataFrame) -> DataFrame:
+    """(kind, seen, entities, reached, generalised, removed): what the disclosing terms cover.
+
+    ``seen`` is in how many different surroundings the entities are, ``LEAST_CONTEXTS`` standing for
+    that or more; ``reached`` are those with at least one term, the last two count their terms.
+    """
+    of_entity = scanned.select(F.explode("mentions").alias("m")).select("m.entity", "m.context").distinct().groupBy("entity").count()
+    terms = told.groupBy(F.col("entity").alias("_e")).agg(*[F.count_if(F.col("action") == a).alias(a) for a in ("generalise", "remove")])
+    rows = of_entity.join(terms, F.col("entity") == F.col("_e"), "left")
+    kind, seen = F.substring_index("entity", ":", 1), F.least("count", F.lit(LEAST_CONTEXTS))
+    return rows.groupBy(kind.alias("kind"), seen.alias("seen")).agg(
+        F.count(F.lit(1)).alias("entities"), F.count("_e").alias("reached"),
+        F.coalesce(F.sum("generalise"), F.lit(0)).alias("generalised"), F.coalesce(F.sum("remove"), F.lit(0)).alias("removed"),
+    )
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", **thresholds) -> DataFrame:
