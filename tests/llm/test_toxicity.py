@@ -75,3 +75,13 @@ def test_the_sample_never_has_held_out_rows(spark, tables, labelled):
     learn = {(t, v) for d, t, v in labelled if zlib.crc32(str(d).encode()) % 3 != 1}
     assert set(zip(texts, y)) == learn
     assert list(accumulate(y)) and len(texts) <= sum(toxicity.TRAIN_ROWS.values())
+
+
+def test_a_key_with_many_rows_is_learnt_from_once(spark):
+    rows = [(i, f"text number {i}") for i in range(30)] + [(0, f"another text {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    learnt = {r.doc_id for r in docs.where(~toxicity.held_out("doc_id")).collect()}
+    assert 0 in learnt
+    texts, y = toxicity.sample(docs, labels)
+    assert len(texts) == len(y) == len(learnt) and set(texts) <= {t for _, t in rows}

@@ -179,7 +179,8 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """Texts and labels to learn from, at most ``TRAIN_ROWS``; a key with both labels is toxic.
 
     The keys are chosen first, from narrow columns; only their texts are then fetched, by a
-    broadcast of at most that many keys.
+    broadcast of at most that many keys. Of a key with several texts, tasks keep the one with the
+    smallest hash, so one row per key reaches the driver, however many rows a key has.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     keys = docs.where(~held_out(key) & F.col(key).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(key).alias("_key")).distinct()
@@ -188,8 +189,8 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     chosen = [smallest(found.where(F.col("_label") == v), "_h", n, counts.get(v, 0)) for v, n in TRAIN_ROWS.items()]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]).select("_key", "_label"))
     rows = docs.join(chosen, F.col(key) == F.col("_key")).where(F.length(text) <= TRAIN_CHARS)
-    rows = rows.select("_key", F.col("_label").alias("y"), F.col(text).alias("t")).collect()
-    rows = sorted({(r["_key"], r["t"], r["y"]) for r in rows})
+    rows = rows.groupBy("_key").agg(F.max("_label").alias("y"), F.min_by(F.col(text), F.xxhash64(text)).alias("t"))
+    rows = sorted((r["_key"], r["t"], r["y"]) for r in rows.collect())
     return [r[1] for r in rows], [int(r[2]) for r in rows]
 
 
