@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,26 +50,45 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
-_folders: list[str] = []
+#: Folders named in this context and not yet removed; ``scratch`` gives a part of a job a list of its own.
+_folders: ContextVar[list[str]] = ContextVar("folders", default=[])  # noqa: B039
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, one per call."""
     path = f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    _folders.append(path)
+    _folders.get().append(path)
     return path
 
 
+def discard(spark: SparkSession, path: str) -> bool:
+    """Remove one folder that ``run_folder`` named, through the file system it is on."""
+    if path in _folders.get():
+        _folders.get().remove(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def discard_folders(spark: SparkSession) -> int:
-    """Remove every folder that ``run_folder`` named so far, through the file system it is on.
+    """Remove every folder that ``run_folder`` named in this context so far; their number is returned.
+
+    For when the results that read them are done.
+    """
+    return sum(discard(spark, path) for path in list(_folders.get()))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders named inside are removed at the end; those of other running jobs are left alone.
 
-    For when the results that read them are done; their number is returned.
+    A result that outlives the block is written to a folder named before it.
     """
-    removed = 0
-    while _folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
-        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return removed
+    mark = _folders.set([])
+    try:
+        yield
+    finally:
+        discard_folders(spark)
+        _folders.reset(mark)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
