@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, edit_counts, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
+from tidemark.llm import bpe, divergence, edit_counts, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
 from tidemark.llm.sql import SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe": op2_bpe,
@@ -104,4 +108,5 @@ QUERIES: dict[str, Query] = {
     "op8_edit_counts": op8_edit_counts,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
-}
\ No newline at end of file
+    "op13_divergence": op13_divergence,
+}

@@ -103,4 +103,32 @@ FROM rows JOIN least USING (rid) LEFT JOIN counts USING (rid)
 """
 
 
-SQL: dict[str, str] = {f.__name__: f() for f in (op1_quality_rules, op4_secret_scan, op5_warc, op6_spherical_filters)}
+def op13_divergence(least_docs: int = 3, top: int = 200) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
+words AS MATERIALIZED (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS n_all FROM words GROUP BY lang, term HAVING count(DISTINCT rid) >= {least_docs}),
+langs AS (SELECT lang, count(*) AS v, sum(n_all) AS total FROM kept GROUP BY lang),
+counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+groups AS MATERIALIZED (SELECT g.lang, g.source, coalesce(s.total, 0) AS total FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN sizes s USING (lang, source)),
+shares AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+  1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p,
+  1 + 1000000000::HUGEINT * (k.n_all + 1) // (l.total + l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+more AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM more))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top}
+"""
+
+
+SQL: dict[str, str] = {f.__name__: f() for f in (op1_quality_rules, op4_secret_scan, op5_warc, op6_spherical_filters, op13_divergence)}
