@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, divergence, edit_counts, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
+from tidemark.llm import bpe, divergence, edit_counts, kmeans, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
 from tidemark.llm.sql import SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,13 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    rows = kmeans.cluster(_read(spark, folder, "embeddings"))
+    return rows.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256")
+    )
+
+
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(_read(spark, folder, "documents"))
 
@@ -108,5 +115,6 @@ QUERIES: dict[str, Query] = {
     "op8_edit_counts": op8_edit_counts,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
+    "op11_centroids": op11_centroids,
     "op13_divergence": op13_divergence,
 }

@@ -103,6 +103,30 @@ FROM rows JOIN least USING (rid) LEFT JOIN counts USING (rid)
 """
 
 
+def op11_centroids(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    parts = [f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+  list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (SELECT rid, generate_subscripts(v, 1) AS d, unnest(v) AS x FROM kept),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, v) - 1)::INT AS j, v
+  FROM kept QUALIFY j < {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""e{r} AS (SELECT j, generate_subscripts(v, 1) AS d, unnest(v) AS y FROM c{r}),
+s{r} AS (SELECT rid, j, sum((x - y) * (x - y))::BIGINT AS far FROM cells JOIN e{r} USING (d) GROUP BY rid, j),
+a{r} AS MATERIALIZED (SELECT rid, arg_min(j, (far, j)) AS j, min(far) AS far FROM s{r} GROUP BY rid)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS (SELECT j, d, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{r} JOIN cells USING (rid) GROUP BY j, d),
+f{r} AS (SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY d) AS v FROM m{r} GROUP BY j),
+c{r + 1} AS MATERIALIZED (SELECT j, coalesce(f{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN f{r} USING (j))""")
+    end = rounds
+    return ",\n".join(parts) + f""",
+i AS (SELECT j, sum(far)::BIGINT AS cluster_inertia FROM a{end} GROUP BY j)
+SELECT vec_id, a{end}.j AS "cluster", far AS distance, cluster_inertia, (SELECT sum(far)::BIGINT FROM a{end}) AS inertia,
+  sha256(array_to_string(c{end}.v, ',')) AS centroid_sha256
+FROM kept JOIN a{end} USING (rid) JOIN i ON i.j = a{end}.j JOIN c{end} ON c{end}.j = a{end}.j
+"""
+
+
 def op13_divergence(least_docs: int = 3, top: int = 200) -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return rf"""
@@ -131,4 +155,4 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 """
 
 
-SQL: dict[str, str] = {f.__name__: f() for f in (op1_quality_rules, op4_secret_scan, op5_warc, op6_spherical_filters, op13_divergence)}
+SQL: dict[str, str] = {f.__name__: f() for f in (op1_quality_rules, op4_secret_scan, op5_warc, op6_spherical_filters, op11_centroids, op13_divergence)}
