@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, divergence, edit_counts, kmeans, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
+from tidemark.llm import blockmax, bpe, divergence, edit_counts, kmeans, packing, pii, quality, secret_scan, simhash, spherical, toxicity, warc
 from tidemark.llm.sql import SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,10 @@ def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_block_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return blockmax.top_k(_read(spark, folder, "embeddings"))
+
+
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(_read(spark, folder, "documents"))
 
@@ -116,5 +120,6 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
     "op11_centroids": op11_centroids,
+    "op12_block_topk": op12_block_topk,
     "op13_divergence": op13_divergence,
 }

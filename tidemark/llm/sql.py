@@ -127,6 +127,19 @@ FROM kept JOIN a{end} USING (rid) JOIN i ON i.j = a{end}.j JOIN c{end} ON c{end}
 """
 
 
+def op12_block_topk(every: int = 100, k: int = 10) -> str:
+    return f"""
+WITH rows AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+widest AS (SELECT max(len(v)) AS dims FROM rows),
+full_rows AS MATERIALIZED (SELECT rid, vec_id, list_concat(v, list_transform(range(dims - len(v)), lambda x: 0::DOUBLE)) AS v FROM rows, widest),
+scored AS (SELECT q.rid AS q, q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.v) = 0 THEN 0 ELSE list_inner_product(q.v, c.v) END::BIGINT AS score
+  FROM full_rows q JOIN full_rows c ON q.rid <> c.rid WHERE q.vec_id % {every} = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id NULLS FIRST))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= {k}
+"""
+
+
 def op13_divergence(least_docs: int = 3, top: int = 200) -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return rf"""
@@ -155,4 +168,4 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 """
 
 
-SQL: dict[str, str] = {f.__name__: f() for f in (op1_quality_rules, op4_secret_scan, op5_warc, op6_spherical_filters, op11_centroids, op13_divergence)}
+SQL: dict[str, str] = {f.__name__: f() for f in (op1_quality_rules, op4_secret_scan, op5_warc, op6_spherical_filters, op11_centroids, op12_block_topk, op13_divergence)}
