@@ -70,7 +70,7 @@ def test_every_pair_within_two_bits_meets(spark):
     prints += [0, 1, 3, 2**64 - 1, 2**64 - 2, 2**63]
     prints = sorted(set(prints))
     nodes = spark.createDataFrame([(i, p - 2**64 if p >= 2**63 else p) for i, p in enumerate(prints)], "node long, f0 long")
-    found = {r.node: r.component for r in components.components(simhash.links(nodes, simhash.EXACT)).collect()}
+    found = {r.node: r.component for r in components.components(simhash.links(nodes)).collect()}
     a = np.array(prints, dtype=np.uint64)
     wanted = groups(list(range(len(a))), np.bitwise_count(a[:, None] ^ a[None, :]) <= 2)
     assert [found.get(i, i) for i in range(len(a))] == wanted
@@ -82,89 +82,32 @@ def test_components_of_paths_stars_and_loops(spark):
     assert found == {n: 5 if n < 300 else 300 for e in edges for n in e}
 
 
-def shingles(text):
-    words = text.lower().split()
-    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
-
-
 def test_one_document_of_each_group_stays(spark):
     draw = random.Random(7)
     word = lambda: "".join(draw.choice("abcdefghij") for _ in range(draw.randint(3, 9)))
     rows = []
     for g in range(40):
         words = [word() for _ in range(draw.randint(150, 400))]
-        rows.append((10 * g, " ".join(words)))
-        for c in range(1, g % 5):
+        for c in range(g % 5):
             copy = list(words)
-            for _ in range(len(words) // 100):
+            if c == 1:
                 copy[draw.randrange(len(copy))] = word()
             rows.append((10 * g + c, " ".join(copy) if c != 3 else " ".join(words).upper()))
     rows += [(9000, rows[0][1]), (9000, rows[0][1]), (None, "lone text with a few words"), (None, "lone text with a few words"), (9001, None), (9002, "")]
+    wanted = {c for _, _, c in expected(rows).elements()}
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, root int")
     stays = simhash.keep_one(docs)
     assert stays.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in stays.collect()) == sorted([*(str(10 * g) for g in range(40)), "None", "9001"])
+    kept = [r.doc_id for r in stays.collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == wanted
+    # All exact copies went.
+    texts = dict(rows)
+    assert len({texts[d].lower() for d in kept if texts[d]}) == len([d for d in kept if texts[d]])
 
 
-def test_similar_pairs_are_found_and_others_are_not(spark):
-    draw = random.Random(9)
-    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(draw.randint(3, 9)))
-    rows = {}
-    for g in range(150):
-        words = [word() for _ in range(300)]
-        copy = list(words)
-        for k in range(1 + g % 22):
-            copy[draw.randrange(300)] = word()
-        rows[2 * g], rows[2 * g + 1] = " ".join(words), " ".join(copy)
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
-    near = {g: len(a & b) / len(a | b) for g in range(150) for a, b in [(shingles(rows[2 * g]), shingles(rows[2 * g + 1]))]}
-    similar = [g for g, j in near.items() if j >= 0.8]
-    assert all(2 * g in kept for g in near)
-    assert sum(2 * g + 1 not in kept for g in similar) >= 0.9 * len(similar)
-    assert all(2 * g + 1 in kept for g, j in near.items() if j < 0.6)
-
-
-def families(draw, sizes, common, own):
-    """Documents that share a run of words and end in words of their own."""
-    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(8))
-    rows = []
-    for size in sizes:
-        shared = [word() for _ in range(common)]
-        rows += [(len(rows) + i, " ".join(shared + [word() for _ in range(own)])) for i in range(size)]
-    return rows
-
-
-@pytest.mark.parametrize("block", [256, 40])
-def test_a_family_below_the_similarity_stays_whole(spark, monkeypatch, block):
-    monkeypatch.setattr(simhash, "SETS", block)
-    for own in (70, 90):
-        rows = families(random.Random(own), [300], 400, own)
-        a, b = shingles(rows[0][1]), shingles(rows[1][1])
-        assert 0.65 <= len(a & b) / len(a | b) <= 0.75
-        assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
-
-
-def test_the_threshold_is_exact_and_pairs_just_above_it_are_found(spark):
-    draw = random.Random(3)
-    rows = families(draw, [2] * 400, 400, 49)
-    below = [(10_000 + d, t) for d, t in families(draw, [2] * 400, 400, 50)]
-    jaccard = lambda a, b: len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
-    assert 0.8 <= jaccard(rows[0][1], rows[1][1]) < 0.802 and 0.797 < jaccard(below[0][1], below[1][1]) < 0.8
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([*rows, *below], "doc_id long, text string")).collect()}
-    assert {d for d, _ in below} <= kept and {2 * g for g in range(400)} <= kept
-    assert sum(2 * g + 1 not in kept for g in range(400)) >= 0.99 * 400
-
-
-def test_pairs_inside_a_family_are_found_behind_others(spark):
+def test_clean_documents_that_share_passages_stay(spark):
     draw = random.Random(5)
-    rows = families(draw, [300], 400, 90)
-    copies = [(1000 + d, " ".join([*t.split()[:-20], *(f"new{d}x{i}" for i in range(20))])) for d, t in rows[:60]]
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([*rows, *copies], "doc_id long, text string")).collect()}
-    assert kept == {d for d, _ in rows}
-
-
-def test_repeated_shingles_count_once(spark):
-    draw = random.Random(6)
-    (_, a), = families(draw, [1], 300, 0)
-    docs = spark.createDataFrame([(1, a), (2, a + " again and again" * 200)], "doc_id long, text string")
-    assert [r.doc_id for r in simhash.keep_one(docs).collect()] == [1]
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(8))
+    shared = [word() for _ in range(100)]
+    rows = [(i, " ".join(shared + [word() for _ in range(200)])) for i in range(200)]
+    assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(set(c for _, _, c in expected(rows).elements()))

@@ -43,7 +43,13 @@ ODD_VECTORS = [
         (13, [1.0, 0.0], 1),
     ]
 ]
+WIDE_VECTORS = [
+    (r[0], None if r[1] is None else [x if i % 7 or x is None else x + i / 64 for i in range(21) for x in r[1]] + [0.25], *r[2:]) for r in ODD_VECTORS if r[0] not in (11, None)
+]
+AUDITED = "doc_id long, text string, source string, lang string, n int, term string, place int"
 TABLES = {
+    "op11_centroids": ("embeddings", WIDE_VECTORS, VECTORS), "op12_block_topk": ("embeddings", [*ODD_VECTORS, (100, [1.0, -2.0, 3.0], 1, 1, "f"), (100, [0.5], 1, 1, "f")], VECTORS),
+    "op13_divergence": ("documents", [(*r[:3], None if r[0] == 2 else "en", 1, "x", 2) for r in ODD_DOCS], AUDITED),
     "op1_quality_rules": ("documents", ODD_DOCS, DOCS), "op4_secret_scan": ("documents", ODD_DOCS, DOCS),
     "op5_warc": ("pages", ODD_PAGES, PAGES), "op6_spherical_filters": ("embeddings", ODD_VECTORS, VECTORS),
 }
@@ -66,7 +72,7 @@ def test_small_tables(spark, small, name):
 def test_odd_rows(spark, tables, name):
     table, rows, schema = TABLES[name]
     _, n, verdict = compare(spark, tables(**{table: (rows, schema)}), name)
-    assert verdict == "ok" and n == len(rows)
+    assert verdict == "ok" and (n == len(rows) or name in ("op11_centroids", "op12_block_topk", "op13_divergence")) and n > 0
 
 
 EMPTY = {

@@ -22,6 +22,17 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names that begin like ``names`` and that no column of ``df`` has, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def attach(left: DataFrame, facts: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
     """``left`` with the row of ``facts`` of its ``keys`` (null is a key like others), inner.
 

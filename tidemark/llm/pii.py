@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach
+from tidemark.llm.common import attach, unused
 from tidemark.session import materialize, ship_code
 
 KINDS = ("email", "ip", "card", "phone")
@@ -256,14 +256,18 @@ def cleaned(text: str, spans: str) -> str:
 
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **thresholds) -> DataFrame:
-    """``docs`` with sanitised texts; a null text stays null. All other columns are kept as they are."""
+    """``docs`` with sanitised texts; a null text stays null. All other columns are kept as they are, whatever their names.
+
+    Rows that repeat stay as often as they are there; an empty table stays empty.
+    """
+    k, h, there = unused(docs, "_k", "_h", "_spans")
     spans = find(docs, key, text, **thresholds).where(F.size("spans") > 0)
-    spans = spans.select(F.col("doc_id").alias("_k"), F.col("h").alias("_h"), written(F.col("spans")).alias("_spans"))
-    spans = spans.groupBy("_k", "_h").agg(F.first("_spans").alias("_spans"))
+    spans = spans.select(F.col("doc_id").alias(k), F.col("h").alias(h), written(F.col("spans")).alias(there))
+    spans = spans.groupBy(k, h).agg(F.first(there).alias(there))
 
     @F.pandas_udf("string")
     def replaced(texts: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([t if f is None else cleaned(t, f) for t, f in zip(texts, found)], dtype=object)
 
-    same = F.col(key).eqNullSafe(F.col("_k")) & F.xxhash64(text).eqNullSafe(F.col("_h"))
-    return docs.join(spans, same, "left").withColumn(text, replaced(text, "_spans")).drop("_k", "_h", "_spans")
+    same = F.col(key).eqNullSafe(F.col(k)) & F.xxhash64(text).eqNullSafe(F.col(h))
+    return docs.join(spans, same, "left").withColumn(text, replaced(text, there)).drop(k, h, there)

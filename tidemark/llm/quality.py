@@ -3,7 +3,7 @@
 Everything is DataFrame expressions. Per text: word, symbol, line and repetition counts. Rules
 that fail by themselves reject a document. Other rules have two bounds: a text beyond the outer
 one fails anywhere; one between the two is left to its host, whose failure rate of that rule is
-estimated as a beta posterior mean, with the prior fitted to the rates of all hosts. So a few
+estimated as a beta posterior mean, with the prior fitted to all hosts. So a few
 unlucky documents do not condemn a small host, and a host known for a fault gets no doubt.
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, attach, words_of
+from tidemark.llm.common import SPACES, attach, unused, words_of
 from tidemark.session import materialize
 
 MIN_WORDS = 50
@@ -22,6 +22,9 @@ MAX_REPEAT_PCT = 50
 SYMBOLS = "#*$%&|<>"
 #: A host whose shrunk rate of a rule is above this has that rule applied at its inner bound.
 HOST_RATE = 0.3
+#: Rows that the prior of a rule weighs, at least and at most.
+LEAST_WEIGHT = 4.0
+MOST_WEIGHT = 1000.0
 
 
 @dataclass(frozen=True)
@@ -93,28 +96,49 @@ def _fails(rule: Rule, bound: int) -> Column:
     return F.lit(100) * F.col(rule.part) > F.lit(bound) * F.col(rule.whole)
 
 
-def host_rates(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def host_rates(measured: DataFrame, rules: tuple[Rule, ...] = RULES, host_rate: float = HOST_RATE) -> DataFrame:
     """Per host: rows, failures of each rule at its inner bound, and the shrunk rates.
 
-    The beta prior of a rule has the mean and variance of the hosts' rates (hosts with one row
-    tell nothing of variance but count for the mean). Hosts that all agree give no variance: the
-    prior then has the weight of 1,000 rows. The prior is a handful of numbers on the driver.
+    The mean of a rule's beta prior is the failure rate of all rows; its weight, in rows, comes
+    from how alike two rows of one host are. With f of n rows failing, f (f - 1) / (n (n - 1)) is
+    an estimate of the squared rate of a host that is free of sampling noise. Averaged by rows over hosts of
+    two rows or more, against the squared mean of these hosts, it gives the correlation r of two rows of a host,
+    and the prior weighs 1 / r - 1 rows. Hosts of one row say nothing of r; no correlation gives
+    ``MOST_WEIGHT``. While the mean is below ``host_rate``, the prior weighs enough that one failing
+    row alone does not lift a host above it, and two that fail of two can.
+    The prior is a handful of numbers on the driver.
     """
+    n = F.col("host_rows")
+    failed = {r.name: F.col(f"failed_{r.name}") for r in rules}
     hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("host_rows"),
         *[F.sum(_fails(r, r.inner).cast("long")).alias(f"failed_{r.name}") for r in rules],
     )
     hosts = materialize(hosts, "quality-hosts")
-    rate = lambda r: F.col(f"failed_{r.name}") / F.col("host_rows")
-    prior = hosts.agg(*[f(rate(r)).alias(f"{n}_{r.name}") for r in rules for n, f in (("m", F.avg), ("v", F.var_pop))]).first()
-    for r in rules:
-        mean, var = prior[f"m_{r.name}"] or 0.0, prior[f"v_{r.name}"] or 0.0
-        weight = 1000.0 if var <= 0 else min(1000.0, max(1.0, mean * (1 - mean) / var - 1))
-        shrunk = (F.col(f"failed_{r.name}") + F.lit(mean * weight)) / (F.col("host_rows") + F.lit(weight))
-        hosts = hosts.withColumn(f"rate_{r.name}", shrunk)
+    several = n > 1
+    prior = hosts.agg(
+        F.sum(n).alias("rows"), F.sum(F.when(several, n)).alias("several"),
+        *[F.sum(f).alias(f"all_{x}") for x, f in failed.items()],
+        *[F.sum(F.when(several, f)).alias(f"some_{x}") for x, f in failed.items()],
+        *[F.sum(F.when(several, f * (f - 1) / (n - 1))).alias(f"both_{x}") for x, f in failed.items()],
+    ).first()
+    for x, f in failed.items():
+        mean = (prior[f"all_{x}"] or 0) / (prior["rows"] or 1)
+        weight = prior_weight(prior["several"] or 0, prior[f"some_{x}"] or 0, prior[f"both_{x}"] or 0.0)
+        if mean < host_rate:
+            weight = min(MOST_WEIGHT, max(weight, 1.000001 * (1 - host_rate) / (host_rate - mean)))
+        hosts = hosts.withColumn(f"rate_{x}", (f + F.lit(mean * weight)) / (n + F.lit(weight)))
     return hosts
 
 
+def prior_weight(rows: int, failures: int, pairs: float) -> float:
+    """Rows that a prior weighs: of hosts with two rows or more, their rows, failures and sum of f (f - 1) / (n - 1)."""
+    rate = failures / rows if rows else 0.0
+    spread = rate * (1 - rate)
+    alike = (pairs / rows - rate * rate) / spread if spread > 0 else 0.0
+    return MOST_WEIGHT if alike <= 0 else min(MOST_WEIGHT, max(LEAST_WEIGHT, 1 / alike - 1))
+
+
 def judge(
     docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", rules: tuple[Rule, ...] = RULES,
     host_rate: float = HOST_RATE,
@@ -123,11 +147,12 @@ def judge(
 
     A null text has no words and fails; a null host is one host. Rows that repeat are judged
     each. Columns of ``docs`` other than key, text and host are not read. An empty table gives
-    no rows. Texts are read whole, once; then only counts move.
+    no rows. Texts are read whole, once, however long; then only counts move. A host whose rate is
+    exactly ``host_rate`` is not convicted.
     """
     measured = materialize(measure(docs, key, text, host), "quality-counts")
     total = measured.count()
-    hosts = host_rates(measured, rules)
+    hosts = host_rates(measured, rules, host_rate)
     facts = hosts.select(
         "host", F.col("host_rows"), *[(F.col(f"rate_{r.name}") > host_rate).alias(f"convicted_{r.name}") for r in rules]
     )
@@ -145,8 +170,13 @@ def judge(
 
 
 def keep(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **rules) -> DataFrame:
-    """``docs`` without the rows that ``judge`` rejects; rows equal in key and text share a verdict by content."""
+    """``docs`` without the rows that ``judge`` rejects; rows equal in key, text and host share a verdict by content.
+
+    A null text has no words and goes; null keys and hosts are values like others; every column of
+    ``docs`` stays, whatever its name; an empty table stays empty.
+    """
+    k, h, place = unused(docs, "_k", "_h", "_host")
     good = judge(docs, key, text, host, **rules).where("kept")
-    good = good.select(F.col("doc_id").alias("_k"), F.col("h").alias("_h"), F.col("host").alias("_host"))
-    same = F.col(key).eqNullSafe(F.col("_k")) & F.xxhash64(text).eqNullSafe(F.col("_h"))
-    return docs.join(good, same & F.col(host).cast("string").eqNullSafe(F.col("_host")), "left_semi")
+    good = good.select(F.col("doc_id").alias(k), F.col("h").alias(h), F.col("host").alias(place))
+    same = F.col(key).eqNullSafe(F.col(k)) & F.xxhash64(text).eqNullSafe(F.col(h))
+    return docs.join(good, same & F.col(host).cast("string").eqNullSafe(F.col(place)), "left_semi")

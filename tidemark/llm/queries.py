@@ -80,7 +80,7 @@ def op8_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    rows = simhash.near_duplicates(_read(spark, folder, "documents"), simhash.EXACT)
+    rows = simhash.near_duplicates(_read(spark, folder, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 

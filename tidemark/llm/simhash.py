@@ -5,14 +5,12 @@ segments' bit counts. The Manhattan distance of two such vectors is at most the
 of the fingerprints, so fingerprints within ``2`` bits have vectors within distance 2, and these
 share a grid point: each vector is entered at its own point and at all points one step away, and
 two vectors within distance 2 have a point between them. The join is on equal points; what meets
-there is compared bit by bit. For a Jaccard similarity, what meets and agrees in two further words
-forms families, and inside a family every pair is compared by its exact sets of shingles.
+there is compared bit by bit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,54 +18,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import attach, by_run, split_large
+from tidemark.llm.common import attach, by_run, split_large, unused
 from tidemark.llm.components import components
 from tidemark.session import materialize, ship_code
 
 SEED = 42
 SEGMENT = 4
+BITS = 64
+#: Words of a shingle, and bits that fingerprints may differ in and still link. The grid of
+#: ``entries`` is exact for this many bits.
+SHINGLE = 3
+DISTANCE = 2
 #: Fingerprints of one grid point that are compared in one go.
 BLOCK = 512
-#: Texts of one family whose sets of shingles are compared in one go, and shingles counted at a time.
-SETS = 256
-COLUMNS = 4096
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-@dataclass(frozen=True)
-class Table:
-    """``bits`` bits of a fingerprint word from ``shift`` up; ``bits`` is a multiple of 4."""
-
-    word: int
-    shift: int
-    bits: int
-
-
-@dataclass(frozen=True)
-class Plan:
-    """How texts are compared.
-
-    shingle: words of a shingle; words: 64-bit words of a fingerprint. tables: bit ranges that are
-    range-joined. limit: differing bits that still link, of the table itself or, with a ``jaccard``,
-    of the two following words, which makes a family. jaccard: the least similarity of two sets of
-    shingles inside a family that links; 0 if bits decide.
-    """
-
-    shingle: int
-    words: int
-    tables: tuple[Table, ...]
-    limit: int
-    jaccard: float = 0.0
-
-
-#: 64 bits of 3-word shingles, linked at 2 bits or fewer: every link is found.
-EXACT = Plan(3, 1, (Table(0, 0, 64),), 2)
-#: 5-word shingles at a Jaccard similarity of 0.8, decided on the sets. There sets have a cosine of
-#: 0.889, and bits differ with probability 0.151: 19 of the 128 bits of two words in the mean with
-#: a deviation of 4, where unrelated texts differ in 64 with a deviation of 5.7.
-SIMILAR = Plan(5, 8, tuple(Table(w, s, 24) for w in range(8) for s in (0, 32))[:12], 33, 0.8)
-
-
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     """XXH64 (seed 42) of each shingle. A text with fewer words than a shingle is one; without words there is none."""
     tokens = text.translate(_LOWER).split()
@@ -77,96 +43,46 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(g, SEED) for g in grams), dtype=np.uint64, count=len(grams))
 
 
-def fingerprint(hashes: np.ndarray, words: int) -> list[int]:
-    """Signed 64-bit words. A bit is 1 if it is set in over half of the shingles' hashes.
+def fingerprint(hashes: np.ndarray) -> int:
+    """As a signed 64-bit word. A bit is 1 if it is set in over half of the hashes; no hashes give zero."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for start in range(0, len(hashes), 65_536):
+        h = hashes[start:start + 65_536]
+        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
 
-    Word 0 is of the hashes themselves, further ones of hashes mixed from them. No hashes give zeros.
-    """
-    out = []
-    for word in range(words):
-        ones = np.zeros(64, dtype=np.int64)
-        for start in range(0, len(hashes), 65_536):
-            h = _mixed(hashes[start:start + 65_536], word)
-            ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * ones > len(hashes)).view(">i8")[0]))
-    return out
-
-
-def _mixed(h: np.ndarray, word: int) -> np.ndarray:
-    if not word:
-        return h
-    # The finaliser of splitmix64.
-    z = h + np.uint64(word * 0x9E3779B97F4A7C15 % 2**64)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def fingerprints(docs: DataFrame, plan: Plan = EXACT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, f0, f1, ...): ``h`` is a hash of the whole text. A null text has no words.
-
-    With a ``jaccard``, repeated shingles count once, and ``d`` (the sum of the hashes) tells sets of
-    equal fingerprints apart.
-    """
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, h, f0): ``f0`` is the fingerprint, ``h`` a hash of the whole text. A null text has no words."""
     ship_code(docs.sparkSession)
-    names = columns(plan)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for t in batch.column(2).cast(pa.binary()).to_pylist():
-                hashes = shingle_hashes(t, plan.shingle)
-                if plan.jaccard:
-                    hashes = np.unique(hashes)
-                    found.append([*fingerprint(hashes, plan.words), int(hashes.sum(dtype=np.uint64).view(np.int64))])
-                else:
-                    found.append(fingerprint(hashes, plan.words))
-            prints = np.array(found, dtype=np.int64).reshape(-1, len(names))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(prints[:, i]) for i in range(len(names))]], ["doc_id", "h", *names])
-
-    kind = dict(docs.dtypes)[key]
-    schema = ", ".join([f"doc_id {kind}", *[f"{n} long" for n in ["h", *names]]])
-    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("h"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(task, schema)
-
+            prints = [fingerprint(shingle_hashes(t.as_py(), shingle)) for t in batch.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.int64())], ["doc_id", "h", "f0"])
 
-def columns(plan: Plan) -> list[str]:
-    """The columns by which texts are one node."""
-    return [*[f"f{i}" for i in range(plan.words)], *(["d"] if plan.jaccard else [])]
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("h"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.mapInArrow(task, f"doc_id {dict(docs.dtypes)[key]}, h long, f0 long")
 
 
-def _popcounts(table: Table) -> Column:
+def _popcounts(word: Column) -> Column:
     """The vector of segment popcounts as one integer, four bits per count.
 
     Counts are raised by 1, so that a step down from 0 stays in its place.
     """
-    word, code = F.col(f"f{table.word}"), F.lit(0).cast("long")
-    for i in range(table.bits // SEGMENT):
-        count = F.bit_count(F.shiftrightunsigned(word, table.shift + SEGMENT * i).bitwiseAND(F.lit(15))) + 1
+    code = F.lit(0).cast("long")
+    for i in range(BITS // SEGMENT):
+        count = F.bit_count(F.shiftrightunsigned(word, SEGMENT * i).bitwiseAND(F.lit(15))) + 1
         code = code + F.shiftleft(count.cast("long"), SEGMENT * i)
     return code
 
 
-def entries(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(point, node, x, y): each node at its grid point of every table and one step away.
-
-    ``x`` and ``y`` are what is compared there: the table's own bits (and nothing), or the two
-    words after the table's. Points of different tables differ in the bits above the vector's.
-    """
-    width = plan.tables[0].bits
-    parts = []
-    for place, t in enumerate(plan.tables):
-        code = _popcounts(t) + F.lit(place << width if place else 0).cast("long")
-        if plan.jaccard:
-            x, y = F.col(f"f{(t.word + 1) % plan.words}"), F.col(f"f{(t.word + 2) % plan.words}")
-        else:
-            x, y = F.shiftrightunsigned(F.col(f"f{t.word}"), t.shift), F.lit(0).cast("long")
-            x = x if width == 64 else x.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-        parts.append(F.struct(code.alias("code"), x.alias("x"), y.alias("y")))
-    steps = [0] + [sign << (SEGMENT * i) for i in range(width // SEGMENT) for sign in (1, -1)]
+def entries(nodes: DataFrame) -> DataFrame:
+    """(point, node, f0): each node at its grid point and at all points one step away."""
+    steps = [0] + [sign << (SEGMENT * i) for i in range(BITS // SEGMENT) for sign in (1, -1)]
     steps = F.array(*[F.lit(x).cast("long") for x in steps])
-    tables = nodes.select("node", F.inline(F.array(*parts)))
-    return tables.select(F.explode(steps).alias("step"), "*").select((F.col("code") + F.col("step")).alias("point"), "node", "x", "y")
+    placed = nodes.select("node", "f0", _popcounts(F.col("f0")).alias("code"))
+    return placed.select(F.explode(steps).alias("step"), "*").select((F.col("code") + F.col("step")).alias("point"), "node", "f0")
 
 
 def _star(node: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
@@ -182,123 +98,59 @@ def _star(node: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(node[label[rows]])], ["a", "b"])
 
 
-def _linked(limit: int):
-    """Edges among the nodes of one grid point: a spanning star of what is within ``limit`` bits."""
-    def edges(run: pa.Table) -> pa.RecordBatch | None:
-        node, first = np.unique(run["node"].to_numpy(), return_index=True)
-        if len(node) < 2:
-            return None
-        x, y = (run[c].to_numpy()[first].view(np.uint64) for c in ("x", "y"))
-        apart = np.bitwise_count(x[:, None] ^ x[None, :])
-        if y.any():
-            apart = apart + np.bitwise_count(y[:, None] ^ y[None, :])
-        near = apart <= limit
-        rows = np.flatnonzero(near.sum(axis=1) > 1)
-        return _star(node[rows], near[np.ix_(rows, rows)]) if len(rows) else None
+def _linked(run: pa.Table) -> pa.RecordBatch | None:
+    """Edges among the nodes of one grid point: a spanning star of what is within ``DISTANCE`` bits."""
+    node, first = np.unique(run["node"].to_numpy(), return_index=True)
+    if len(node) < 2:
+        return None
+    x = run["f0"].to_numpy()[first].view(np.uint64)
+    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= DISTANCE
+    rows = np.flatnonzero(near.sum(axis=1) > 1)
+    return _star(node[rows], near[np.ix_(rows, rows)]) if len(rows) else None
 
-    return edges
 
-
-def links(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(a, b): enough links between nodes for their components; ``nodes`` has node, f0, f1, ...
+def links(nodes: DataFrame) -> DataFrame:
+    """(a, b): enough links between nodes for their components; ``nodes`` has node and f0.
 
     Every grid point yields a spanning star of the pairs that hold there, so no link is lost and
     no group is expanded into its pairs.
     """
-    spread = split_large(entries(nodes, plan), "point", "node", BLOCK)
-    return by_run(spread.select("point", "lo", "hi", "node", "x", "y"), ["point", "lo", "hi"], _linked(plan.limit), "a long, b long")
-
-
-def _shared(sets: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each pair of sets has in common."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    kept = n[at] > 1
-    owner, at = owner[kept], (np.cumsum(n > 1) - 1)[at[kept]]
-    order = np.argsort(at, kind="stable")
-    owner, at = owner[order], at[order]
-    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
-    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
-        low, high = np.searchsorted(at, (start, start + COLUMNS))
-        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)
-        has[owner[low:high], at[low:high] - start] = 1
-        out += (has @ has.T).astype(np.int64)
-    return out
-
-
-def _alike(jaccard: float):
-    """Edges among the texts of a run: a spanning star of the pairs whose sets have this similarity."""
-    def edges(run: pa.Table) -> pa.RecordBatch | None:
-        node, first = np.unique(run["node"].to_numpy(), return_index=True)
-        if len(node) < 2:
-            return None
-        hashes = run["hashes"].combine_chunks()
-        sets = [hashes[i].values.to_numpy() for i in first.tolist()]
-        size, both = np.array([len(s) for s in sets]), _shared(sets)
-        near = both >= jaccard * (size[:, None] + size[None, :] - both) - 1e-6
-        np.fill_diagonal(near, True)
-        return _star(node, near)
-
-    return edges
-
-
-def similar(nodes: DataFrame, docs: DataFrame, plan: Plan, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b): enough links for the components of pairs of at least ``plan.jaccard``.
-
-    The tables only say which texts are of one family. All pairs of a family are then compared by
-    their exact sets, in pairs of blocks, and each meeting yields a spanning star of those that
-    hold. ``nodes`` has ``pick``, the key and text hash of one of its rows.
-    """
-    family = components(links(nodes, plan)).select("node", F.col("component").alias("family"))
-    members = nodes.select("node", F.col("pick.doc_id").alias("_k"), F.col("pick.h").alias("_h")).join(family, "node")
-    same = F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(text) == F.col("_h"))
-    texts = docs.join(members, same).select("family", "node", F.col(text).alias("text"))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                sets = [np.unique(shingle_hashes(t, plan.shingle)).view(np.int64) for t in part.column(2).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))], ["family", "node", "hashes"])
-
-    rows = texts.where(F.col("text").isNotNull()).mapInArrow(task, "family long, node long, hashes array<long>")
-    sets = materialize(rows.dropDuplicates(["node"]), "simhash-sets")
-    spread = split_large(sets, "family", "node", SETS)
-    return by_run(spread.select("family", "lo", "hi", "node", "hashes"), ["family", "lo", "hi"], _alike(plan.jaccard), "a long, b long")
+    spread = split_large(entries(nodes), "point", "node", BLOCK)
+    return by_run(spread.select("point", "lo", "hi", "node", "f0"), ["point", "lo", "hi"], _linked, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, plan: Plan = EXACT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, f0, ..., root, component_id) per row of ``docs``: the smallest key reachable by links.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, h, f0, root, component_id) per row of ``docs``: the smallest key reachable by links.
 
     ``root`` names the component, also where several share a key or have none.
 
     Null texts and texts without words have the fingerprint zero and link like others. A null key
     counts for nothing as component id; a component of null keys only has none (null). Rows that
-    repeat are in one component. Other columns are not read. No rows give no rows. Equal
-    fingerprints (of equal sets, with a ``jaccard``) are one node from the start, however many rows have them.
+    repeat are in one component. Texts are read whole, however long, one at a time. Other columns are not read. No rows give no rows. Equal
+    fingerprints are one node from the start, however many rows have them.
     """
-    names = columns(plan)
-    prints = materialize(fingerprints(docs, plan, key, text), "simhash")
-    facts = [F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")]
-    if plan.jaccard:
-        facts.append(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("pick"))
-    nodes = materialize(prints.groupBy(*names).agg(*facts).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    found = components(similar(nodes, docs, plan, key, text) if plan.jaccard else links(nodes, plan))
+    prints = materialize(fingerprints(docs, key, text, shingle), "simhash")
+    nodes = prints.groupBy("f0").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    found = components(links(nodes))
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = materialize(rooted.join(least, "root").select(*names, "n", "root", "component_id"), "simhash-classes")
-    return attach(prints, classes, names, "n", prints.count()).select("doc_id", "h", *names, "root", "component_id")
+    classes = materialize(rooted.join(least, "root").select("f0", "n", "root", "component_id"), "simhash-classes")
+    return attach(prints, classes, ["f0"], "n", prints.count()).select("doc_id", "h", "f0", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, plan: Plan = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest key.
 
     Among rows of that key, the one with the smallest hash of its text; of rows equal in key and
-    text one stays. In a group of null keys, the smallest hash decides alone.
+    text one stays. In a group of null keys, the smallest hash decides alone. Null texts and texts
+    without words are one group. Every column of ``docs`` stays, whatever its name; an empty
+    table stays empty.
     """
-    rows = near_duplicates(docs, plan, key, text)
+    rows = near_duplicates(docs, key, text, shingle)
+    k, h, own = unused(docs, "_k", "_h", "_hash")
     first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    mine = first.groupBy("root").agg(F.first("doc_id").alias("_k"), F.min("h").alias("_h")).select("_k", "_h")
-    texts = docs.withColumn("_hash", F.xxhash64(text))
-    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h"))
-    return texts.join(mine, same, "left_semi").dropDuplicates([key, "_hash"]).drop("_hash")
+    mine = first.groupBy("root").agg(F.first("doc_id").alias(k), F.min("h").alias(h)).select(k, h)
+    texts = docs.withColumn(own, F.xxhash64(text))
+    same = F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(h))
+    return texts.join(mine, same, "left_semi").dropDuplicates([key, own]).drop(own)

@@ -11,9 +11,20 @@ def op1_quality_rules() -> str:
     rules = quality.RULES
     fails = lambda r, bound: f"100 * {r.part} > {bound} * {r.whole}"
     failed = ", ".join(f"sum(({fails(r, r.inner)})::INT) AS f_{r.name}" for r in rules)
-    means = ", ".join(f"avg(f_{r.name} / n) AS m_{r.name}, var_pop(f_{r.name} / n) AS v_{r.name}" for r in rules)
+    means = ", ".join(
+        f"sum(f_{r.name}) / sum(n) AS m_{r.name}, coalesce(sum(f_{r.name}) FILTER (WHERE n > 1) / sum(n) FILTER (WHERE n > 1), 0) AS p_{r.name}, "
+        f"coalesce(sum(f_{r.name} * (f_{r.name} - 1) / (n - 1)) FILTER (WHERE n > 1) / sum(n) FILTER (WHERE n > 1), 0) AS b_{r.name}"
+        for r in rules
+    )
+    alike = lambda r: f"((b_{r.name} - p_{r.name} * p_{r.name}) / (p_{r.name} * (1 - p_{r.name})))"
+    fitted = lambda r: (
+        f"CASE WHEN p_{r.name} * (1 - p_{r.name}) <= 0 OR {alike(r)} <= 0 THEN {quality.MOST_WEIGHT} "
+        f"ELSE least({quality.MOST_WEIGHT}, greatest({quality.LEAST_WEIGHT}, 1 / {alike(r)} - 1)) END"
+    )
+    rate = quality.HOST_RATE
     weight = lambda r: (
-        f"CASE WHEN v_{r.name} <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, m_{r.name} * (1 - m_{r.name}) / v_{r.name} - 1)) END"
+        f"CASE WHEN m_{r.name} < {rate} THEN least({quality.MOST_WEIGHT}, greatest({fitted(r)}, 1.000001 * (1 - {rate}) / ({rate}::DOUBLE - m_{r.name}))) "
+        f"ELSE {fitted(r)} END"
     )
     convicted = ", ".join(
         f"(f_{r.name} + m_{r.name} * ({weight(r)})) / (n + ({weight(r)})) > {quality.HOST_RATE} AS c_{r.name}" for r in rules

@@ -182,14 +182,16 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     broadcast of at most that many keys. Of a key with several texts, tasks keep the one with the
     smallest hash, so one row per key reaches the driver, however many rows a key has.
     """
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    keys = docs.where(~held_out(key) & F.col(key).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(key).alias("_key")).distinct()
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    known = known.groupBy("_key").agg(F.max("_label").alias("_label"))
+    usable = docs.where(~held_out(key) & F.col(key).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS))
+    usable = usable.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    keys = usable.select("_key").distinct()
     found = materialize(keys.join(known, "_key").withColumn("_h", F.xxhash64("_key")), "toxicity-keys")
     counts = {r["_label"]: r["count"] for r in found.groupBy("_label").count().collect()}
     chosen = [smallest(found.where(F.col("_label") == v), "_h", n, counts.get(v, 0)) for v, n in TRAIN_ROWS.items()]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]).select("_key", "_label"))
-    rows = docs.join(chosen, F.col(key) == F.col("_key")).where(F.length(text) <= TRAIN_CHARS)
-    rows = rows.groupBy("_key").agg(F.max("_label").alias("y"), F.min_by(F.col(text), F.xxhash64(text)).alias("t"))
+    rows = usable.join(chosen, "_key").groupBy("_key").agg(F.max("_label").alias("y"), F.min_by("_text", F.xxhash64("_text")).alias("t"))
     rows = sorted((r["_key"], r["t"], r["y"]) for r in rows.collect())
     return [r[1] for r in rows], [int(r[2]) for r in rows]
 
@@ -237,7 +239,11 @@ def detect(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
 
 def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more. Rows are dropped where they are read."""
+    """``docs`` without the rows that score ``threshold`` or more. Rows are dropped where they are read.
+
+    A null text scores 0 and stays; rows that repeat go or stay together; null keys are kept; every
+    column of ``docs`` stays, whatever its name; an empty table stays empty. Without usable labels nothing goes.
+    """
     spark = docs.sparkSession
     ship_code(spark)
     shared = spark.sparkContext.broadcast(fit(*sample(docs, labels, key, text, label)).weights.astype(np.float32))
