@@ -138,12 +138,13 @@ def test_quantiles_equal_the_built_in(spark, n):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     known = df.select("k", F.when(~F.isnan("v"), F.col("v")).alias("v"))
     want = {r["k"]: r["q"] for r in known.groupBy("k").agg(F.percentile("v", probs).alias("q")).collect()}
-    for slices in (None, 16):
-        got = {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", probs, ["k"], slices=slices).collect()}
+    # With brackets that are cut into slices, and with ones that miss at first.
+    for settings in ({}, {"reach": 0.05, "per_slice": 40}, {"reach": 1e-5}):
+        got = {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", probs, ["k"], **settings).collect()}
         assert got.keys() == want.keys() and got["empty"] is None
         for k in set(want) - {"empty"}:
             assert got[k] == pytest.approx(want[k], rel=1e-12)
-    two = ranks.exact_quantiles(df.withColumn("w", -F.col("v")), ["v", "w"], [0.5], slices=8).first()
+    two = ranks.exact_quantiles(df.withColumn("w", -F.col("v")), ["v", "w"], [0.5], per_slice=8).first()
     assert two["v"][0] == pytest.approx(-two["w"][0])
 
 

@@ -39,16 +39,19 @@ def drop_exact_duplicates(df: DataFrame, order: str = ORDER_COLUMN) -> DataFrame
     return df.groupBy(*content).agg(F.min(order).alias(order)).select(*df.columns)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (ORDER_COLUMN,)) -> DataFrame:
-    """The earliest row of every key; missing keys are one group.
-
-    Written as an aggregate, not a window: each map task already reduces a key to one
-    row, so a key holding a third of the table does not reach one task whole.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: str = ORDER_COLUMN) -> DataFrame:
+    """The row of smallest ``order`` of every key; missing keys are one group.
+
+    ``order`` is a fixed-width column that tells the rows of a key apart. Only it and the keys are
+    aggregated, in hash tables of map tasks, so a key that holds a third of the table is one row per
+    task; its place then picks the whole row. The places are stored: while they are small they are
+    broadcast and no other row moves, beyond that rows meet them by key and place, of which
+    no value is hot. ``df`` is read twice.
     """
-    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    own = {c: f"_first_{c}" for c in (*keys, order)}
+    places = df.groupBy(*keys).agg(F.min(order).alias(order)).withColumnsRenamed(own)
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(n)) for c, n in own.items()])
+    return df.join(sized(places, "places"), same, "left_semi")
 
 
 def conflicts(df: DataFrame, key: str = "date_time", value: str = "traffic_volume") -> DataFrame:
@@ -98,14 +101,15 @@ def clean(raw: DataFrame, order: str = ORDER_COLUMN, keys: Sequence[str] = (), *
     """Raw readings to one checked row per hour, and per ``keys`` where the table holds many sensors.
 
     Taking the first row per timestamp also removes exact duplicates (they share the
-    timestamp), so the raw rows are read once and shuffled once. The hours that remain
-    are written to the shared folder, because the medians and the fill both read them.
+    timestamp), so the raw rows are read twice and nothing but times and places is shuffled
+    (see ``first_per_key``). The hours that remain are written to the shared folder, because the
+    medians and the fill both read them.
     """
     out = (
         require_columns(raw)
         .transform(standardise_text)
         .transform(parse_time)
-        .transform(first_per_key, [*keys, "date_time"], [order])
+        .transform(first_per_key, [*keys, "date_time"], order)
         .transform(null_where, impossible_readings())
     )
     hours = materialize(out.drop(order), "hours")
@@ -128,58 +132,75 @@ def _long(step: str, row: DataFrame, key: str | None = None) -> DataFrame:
 def audit(raw: DataFrame, order: str = ORDER_COLUMN) -> DataFrame:
     """What cleaning does to ``raw``, counted: (step, metric, key, value).
 
-    A text cell that is missing before and after does not count as changed.
+    A text cell that is missing before and after does not count as changed. One scan of ``raw``
+    fills a stored table with a row per time and content (as 128 bits of hash), its copies, first
+    place and sums of what was changed; all counts follow from that table. The sums travel in the rows of
+    an aggregate and not as counters of tasks, which a lost executor would count twice.
     """
     text = ["weather_main", "weather_description"]
     stripped = {c: strip_text(c) for c in text}
     lowered = F.lower(stripped["weather_description"])
     parsed = parse_timestamp("date_time")
+    bad = impossible_readings()
 
-    read = raw.agg(
-        F.count("*").alias("rows_loaded"),
-        F.sum(flag(F.col("holiday").isNull())).alias("holiday_missing"),
-        *[F.sum(flag(changed(c, stripped[c]))).alias(f"{c}_trimmed") for c in text],
-        F.sum(flag(changed(stripped["weather_description"], lowered))).alias("weather_description_lowered"),
-        F.sum(flag(parsed.isNull() & F.col("date_time").isNotNull())).alias("date_time_unparsed"),
-    )
-    distinct = raw.agg(
-        F.countDistinct(stripped["weather_description"]).alias("descriptions_before"),
-        F.countDistinct(lowered).alias("descriptions_after"),
+    read = {
+        "holiday_missing": F.col("holiday").isNull(),
+        **{f"{c}_trimmed": changed(c, stripped[c]) for c in text},
+        "weather_description_lowered": changed(stripped["weather_description"], lowered),
+        "date_time_unparsed": parsed.isNull() & F.col("date_time").isNotNull(),
+    }
+    marks = {m: flag(test).cast("long").alias(f"_{m}") for m, test in read.items()}
+    words = [F.xxhash64(stripped["weather_description"]).alias("_before"), F.xxhash64(lowered).alias("_after")]
+    tidy = raw.select("*", *marks.values(), *words, stripped["weather_description"].isNull().alias("_no_words"))
+    tidy = tidy.transform(standardise_text).transform(parse_time)
+    content = [c for c in raw.columns if c != order]
+    # Seeds of their own make the two hashes differ; missing cells are marked, not skipped.
+    cells = [F.struct(F.col(c).isNull(), F.col(c)) for c in content]
+    hashes = {f"_h{i}": F.xxhash64(F.lit(i), *cells) for i in (1, 2)}
+    whole = ["date_time", "traffic_volume", *bad, *hashes]
+    copies = tidy.withColumns(hashes).groupBy(*whole, "_before", "_after", "_no_words").agg(
+        F.count(F.lit(1)).alias("n"), F.min(order).alias("place"), *[F.sum(f"_{m}").alias(m) for m in read]
     )
+    copies = sized(copies, "audit")
 
-    tidy = raw.transform(standardise_text).transform(parse_time)
-    content = [c for c in tidy.columns if c != order]
-    # n_copies per distinct content; everything about duplicates follows from it.
-    copies = tidy.groupBy(*content).agg(F.count("*").alias("n_copies"))
-    exact = copies.agg(F.sum(F.col("n_copies") - 1).alias("exact_duplicates"))
-    per_value = copies.groupBy("date_time", "traffic_volume").agg(F.count("*").alias("n"))
+    known = ~F.col("_no_words")
+    counts = copies.agg(
+        F.sum("n").alias("rows_loaded"), *[F.sum(m).alias(m) for m in read],
+        F.countDistinct(F.when(known, F.col("_before"))).alias("descriptions_before"),
+        F.countDistinct(F.when(known, F.col("_after"))).alias("descriptions_after"),
+    )
+    contents = copies.groupBy(*whole).agg(F.sum("n").alias("n"), F.min("place").alias("place"))
+    first = [F.min_by(c, "place").alias(c) for c in bad]
+    per_value = contents.groupBy("date_time", "traffic_volume").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("n") - 1).alias("again"), *first, F.min("place").alias("place")
+    )
     per_time = per_value.groupBy("date_time").agg(
-        F.sum("n").alias("n"), F.count("traffic_volume").alias("volumes")
+        F.sum("n").alias("n"), F.sum("again").alias("again"), F.count("traffic_volume").alias("volumes"), *first
     )
     real = F.col("date_time").isNotNull()
-    repeats = per_time.agg(
-        F.sum(flag(real & (F.col("n") > 1))).alias("duplicate_hours"),
-        F.sum(flag(real & (F.col("n") > 1) & (F.col("volumes") > 1))).alias("conflicting_hours"),
+    tests = {c: F.coalesce(test, F.lit(False)) for c, test in bad.items()}
+    # One row per month of the year (or none), with all that is left to know.
+    months = per_time.groupBy(F.month("date_time").alias("month")).agg(
+        F.sum("again").alias("exact_duplicates"),
+        F.count_if(real & (F.col("n") > 1)).alias("duplicate_hours"),
+        F.count_if(real & (F.col("n") > 1) & (F.col("volumes") > 1)).alias("conflicting_hours"),
         F.sum(F.col("n") - 1).alias("repeat_rows_removed"),
-        F.count("*").alias("rows_kept"),
-    )
-
-    bad = impossible_readings()
-    kept = tidy.select("date_time", *bad, order).transform(first_per_key, ["date_time"], [order])
-    cells = {c: F.coalesce(test, F.lit(False)) for c, test in bad.items()}
-    months = kept.groupBy(F.month("date_time").alias("month")).agg(
-        *[F.count(F.when(test, 1)).alias(f"{c}_invalid") for c, test in cells.items()],
-        *[F.count(F.when(test | F.col(c).isNull(), 1)).alias(f"{c}_missing") for c, test in cells.items()],
-        *[F.count(F.when(~test & F.col(c).isNotNull(), 1)).alias(f"{c}_valid") for c, test in cells.items()],
+        F.count(F.lit(1)).alias("rows_kept"),
+        *[F.count_if(test).alias(f"{c}_invalid") for c, test in tests.items()],
+        *[F.count_if(test | F.col(c).isNull()).alias(f"{c}_missing") for c, test in tests.items()],
+        *[F.count_if(~test & F.col(c).isNotNull()).alias(f"{c}_valid") for c, test in tests.items()],
     )
+    months = sized(months, "audit-months")
+    exact = months.agg(F.sum("exact_duplicates").alias("exact_duplicates"))
+    hours = ["duplicate_hours", "conflicting_hours", "repeat_rows_removed", "rows_kept"]
+    repeats = months.agg(*[F.sum(m).alias(m) for m in hours])
     invalid = months.agg(*[F.sum(f"{c}_invalid").alias(f"{c}_invalid") for c in bad])
     # A month is filled only if it has a value to take the median of.
     filled = months.where("month is not null").select(
         "month", *[F.when(F.col(f"{c}_valid") > 0, F.col(f"{c}_missing")).otherwise(0).alias(f"{c}_filled") for c in bad]
     )
     parts = [
-        _long("read", read),
-        _long("read", distinct),
+        _long("read", counts),
         _long("duplicates", exact),
         _long("duplicates", repeats),
         _long("invalid", invalid),

@@ -17,7 +17,7 @@ from tidemark.plans.catalog_drift import _SPLIT
 from tidemark.plans.catalog_features import scoring_requests
 from tidemark.plans.catalog_models import stored_features
 from tidemark.plans.registry import query, tidy
-from tidemark.plans.standins import HOURLY_SQL, TIDY_SQL, hourly, readings_of, table, tidy_readings
+from tidemark.plans.standins import HOURLY_SQL, KEPT_SQL, hourly, readings_of, table, tidy_readings
 from tidemark.session import run_folder
 from tidemark.sources import requests as rq
 from tidemark.sources.readers import read_prediction_log
@@ -93,32 +93,39 @@ def stream_drift(spark, sf):
     """Findings of the windows the watermark has closed; some requests are of a category training never saw."""
     unseen = (F.col("weather_main") == "Squall") & (F.col("clouds_all") % 4 == 0)
     live = request_stream(spark, sf).withColumn("weather_main", F.when(unseen, "Tornado").otherwise(F.col("weather_main")))
-    stats = jobs.run_to_table(jobs.windowed_statistics(live), "drift")
-    out = jobs.windowed_drift(stats, *_literal_reference(spark, sf)).drop("window_end")
+    out = jobs.run_to_table(jobs.drift_findings_stream(live, *_literal_reference(spark, sf)), "drift").drop("window_end")
     return tidy(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 
-@query(f"""WITH {TIDY_SQL} SELECT DISTINCT date_time FROM tidy""")
-def stream_dedupe(spark, sf):
-    """One row per hour out of the stream; which reading arrives first is up to the files.
+_STREAMED = "_ord, holiday, temp, rain_1h, snow_1h, clouds_all, weather_main, weather_description, date_time, traffic_volume"
 
-    The file holds 30 days in no order of time and arrives at once, so the delay spans it all;
-    a live stream takes the operator's default, whose expiry the tests show.
-    """
-    rows = request_stream(spark, sf).withColumnRenamed("request_timestamp", "event_time")
-    kept = jobs.first_per_time(rows.select("date_time", "event_time", "traffic_volume"), delay="40 days")
-    return jobs.run_to_table(kept, "dedupe").select("date_time")
+
+@query(f"""WITH {KEPT_SQL}
+SELECT _ord, holiday, round(temp, 6) AS temp, round(rain_1h, 6) AS rain_1h, round(snow_1h, 6) AS snow_1h,
+  CAST(clouds_all AS BIGINT) AS clouds_all, weather_main, weather_description, date_time, CAST(traffic_volume AS BIGINT) AS traffic_volume
+FROM kept WHERE date_time <= (SELECT max(date_time) FROM tidy) - INTERVAL 1 HOUR""")
+def stream_dedupe(spark, sf):
+    """The first reading, in the order of the file, of every hour that the watermark has passed: whole rows."""
+    rows = request_stream(spark, sf).withColumn("date_time", F.col("date_time").cast("timestamp"))
+    kept = jobs.run_to_table(jobs.first_per_time(rows.select(*_STREAMED.split(", "))), "dedupe")
+    return tidy(kept.withColumn("date_time", F.col("date_time").cast("timestamp_ntz")))
 
 
 @query(f"""WITH {HOURLY_SQL},
-log AS (SELECT event_id, ts AS request_timestamp, date_trunc('hour', ts) + INTERVAL 1 HOUR AS t, value * 10 AS p FROM events)
+log AS (SELECT event_id, ts AS request_timestamp, date_trunc('hour', ts) + INTERVAL 1 HOUR AS t, value * 10 AS p FROM events),
+seen AS (SELECT * FROM h WHERE hour % 6 <> 3),
+mark AS (SELECT least((SELECT max(ts) FROM events), (SELECT max(date_time) + INTERVAL 1 HOUR FROM seen)) - INTERVAL 1 HOUR AS at)
 SELECT event_id, request_timestamp, log.t AS input_date_time, round(p, 6) AS predicted_traffic_volume,
-  CAST(traffic_volume AS DOUBLE) AS actual_volume, h.date_time + INTERVAL 1 HOUR AS observed_at,
+  CAST(traffic_volume AS DOUBLE) AS actual_volume, s.date_time + INTERVAL 1 HOUR AS observed_at,
   round(abs(p - traffic_volume), 6) AS absolute_error
-FROM log JOIN h ON h.date_time = log.t AND h.date_time + INTERVAL 1 HOUR >= request_timestamp
-  AND h.date_time + INTERVAL 1 HOUR <= request_timestamp + INTERVAL 7 DAY""")
+FROM log LEFT JOIN seen s ON s.date_time = log.t AND s.date_time + INTERVAL 1 HOUR >= request_timestamp
+  AND s.date_time + INTERVAL 1 HOUR <= request_timestamp + INTERVAL 7 DAY, mark
+WHERE s.date_time IS NOT NULL OR request_timestamp + INTERVAL 7 DAY < mark.at""")
 def stream_truth(spark, sf):
-    """Every event predicts the next hour; the hours arrive as files when they are over."""
+    """Every event predicts the next hour; the hours arrive as files when they are over.
+
+    The sensor reports nothing at 3, 9, 15 and 21; such requests appear without truth after 7 days.
+    """
     log = event_stream(spark, sf).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("request_timestamp"),
@@ -126,7 +133,8 @@ def stream_truth(spark, sf):
         (F.col("value") * 10).alias("predicted_traffic_volume"),
     )
     over = F.col("date_time") + F.make_dt_interval(F.lit(0), F.lit(1))
-    hours = hourly(spark, sf).select("date_time", "traffic_volume", over.cast("timestamp").alias("observed_at"))
+    hours = hourly(spark, sf).where(F.col("hour") % 6 != 3)
+    hours = hours.select("date_time", "traffic_volume", over.cast("timestamp").alias("observed_at"))
     folder = run_folder(spark, "observed")
     hours.write.parquet(folder)
     observed = jobs.file_stream(spark, folder, hours.schema)
