@@ -97,3 +97,36 @@ def test_profile_shares_sum_to_all(spark):
     )
     rows = cluster.cluster_profile(df).collect()
     assert sum(r["n_rows"] for r in rows) == 90 and sum(r["pct_of_data"] for r in rows) == pytest.approx(100, abs=0.05)
+
+
+def test_all_starts_and_counts_fit_in_the_same_passes(spark):
+    """Against plain rounds from the same starts; a third of the rows are one point, some are none."""
+    import numpy as np
+
+    from tidemark.operators import cluster
+
+    draw = np.random.default_rng(3)
+    points = np.concatenate([draw.normal(c, 0.4, (60, 2)) for c in ((0, 0), (4, 0), (0, 5))] + [np.tile([9.0, 9.0], (90, 1))])
+    rows = [(i, p) for i, p in enumerate(points.tolist())] + [(999, None)]
+    df = spark.createDataFrame(rows, "id long, scaled array<double>").repartition(5)
+    wanted = [(k, seed) for k in (1, 2, 4, 300) for seed in (1, 2)]
+    fits = cluster.fit_many(df, wanted)
+    distinct = np.array([r.scaled for r in df.where("scaled is not null").select("scaled").distinct()
+                         .orderBy(F.xxhash64("scaled"), "scaled").limit(cluster.START_ROWS).collect()])
+    for (k, seed), fit in zip(wanted, fits):
+        centres = cluster._starts(distinct, k, seed)
+        assert len(centres) == min(k, len(distinct))
+        while True:
+            near = ((points[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+            new = np.array([points[near == j].mean(axis=0) if (near == j).any() else centres[j] for j in range(len(centres))])
+            if np.sqrt(((new - centres) ** 2).sum(axis=1)).max() <= cluster.TOLERANCE:
+                break
+            centres = new
+        assert fit.cost == pytest.approx(((points - centres[near]) ** 2).sum(), abs=1e-9)
+        assert np.allclose(fit.centres, centres)
+    best = min(fits[4:6], key=lambda f: f.cost)
+    labels = {r.id: r.prediction for r in best.transform(df).collect()}
+    assert labels[999] is None and len({labels[i] for i in range(180, 270)}) == 1
+    swept = {r.k: r for r in cluster.sweep_clusters(df, "id", (2, 4), restarts=4, sample_size=200).collect()}
+    assert swept[4].inertia < swept[2].inertia and swept[4].silhouette > swept[2].silhouette > 0
+    assert cluster.fit_many(df.where("false"), [(2, 1)]) == []

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,9 +135,9 @@ def test_attributions_sum_to_the_prediction(parts, regressors):
     model = regressors["Random Forest"]
     test = parts[2]
     rows = explain.attributions(test, model.stages[-1], ["date_time", "hour"]).collect()
-    nodes = explain.tree_nodes(test, model.stages[-1])
-    assert len(explain.tree_groups(nodes, 60)) > 1
-    grouped = explain.attributions(test, model.stages[-1], ["date_time"], max_nodes=60).collect()
+    leaves = explain.leaf_boxes(test, model.stages[-1])
+    assert leaves.select("tree").distinct().count() == model.stages[-1].getNumTrees > 1
+    grouped = explain.attributions(test, model.stages[-1], ["date_time"], max_conditions=60).collect()
     by_time = {r["date_time"]: r for r in grouped}
     assert all(by_time[r["date_time"]]["attribution"] == pytest.approx(r["attribution"]) for r in rows)
     predicted = {r["date_time"]: r["prediction"] for r in model.transform(test).select("date_time", "prediction").collect()}
@@ -169,7 +170,8 @@ def test_attributions_against_all_orders():
         return sum(by[c].cover / n.cover * value(x, known, c) for c in (n.left, n.right))
 
     points = np.array([[0.2, 0.1, 0.9], [0.9, 0.9, 0.1], [0.6, 0.3, 0.5], [0.5, 0.31, 0.7]])
-    got = explain.box_attributions(points, explain.leaf_conditions(nodes), 1)
+    leaves = pa.Table.from_pandas(explain.leaf_conditions(nodes), preserve_index=False)
+    got = explain.box_attributions(points, explain.by_depth(leaves), 1)
     for x, phi in zip(points, got):
         for i in range(3):
             others = [j for j in range(3) if j != i]
@@ -180,6 +182,11 @@ def test_attributions_against_all_orders():
             assert phi[i] == pytest.approx(want)
 
 
+def test_groups_of_trees():
+    assert explain.tree_groups([(0, 5), (1, 4), (2, 9), (3, 30), (4, 1)], 10) == [(0, 1), (2, 2), (3, 3), (4, 4)]
+    assert explain.tree_groups([], 10) == []
+
+
 def test_hour_effect_follows_the_clock(spark, parts, regressors):
     attributed = explain.attributions(parts[2], regressors["Random Forest"].stages[-1], ["hour"])
     effect = {r["hour"]: r["time_contribution"] for r in explain.hour_effect(attributed).collect()}

@@ -119,3 +119,12 @@ def test_conditions_attach(spark, conditions):
     asked = spark.createDataFrame([("Snow",), ("Hail",)], "weather_main string")
     good, lacking = pf.attach_conditions(asked, conditions)
     assert good.count() == 1 and lacking.first()["weather_main"] == "Hail"
+
+
+def test_found_categories_are_recommended_too(spark):
+    rows = [("weekday", w, h, float(v)) for w in ("Hail", "Clear") for h, v in enumerate(TWO)]
+    profiles = spark.createDataFrame(rows, "day_type string, weather_condition string, hour int, volume double")
+    out = {(r["day_type"], r["weather_condition"]): r for r in pf.recommendation_table(profiles, ["Clear", "Snow"]).collect()}
+    assert {c for _, c in out} == {vocab.TYPICAL_MIX, "Clear", "Snow", "Hail"} and len(out) == 8
+    assert out["weekday", "Hail"]["recommended_start"] == "10:00 AM"
+    assert out["weekend", "Hail"]["recommended_start"] is None and "Hail" in out["weekend", "Hail"]["recommendation_text"]

@@ -142,3 +142,21 @@ def test_many_requests_for_one_time(spark):
     requests = spark.createDataFrame(list(enumerate(times)), "id int, requested_date_time timestamp_ntz")
     out = asof.nearest_readings(requests, _observed(spark, [0, 60]), fields=["traffic_volume"]).collect()
     assert {r["id"]: r["traffic_volume"] for r in out} == {i: 0 if i % 3 == 0 else 60 for i in range(300)}
+
+
+def test_one_time_with_a_third_of_the_requests(spark):
+    from tidemark.operators import joins
+
+    requests = spark.range(0, 6000, 1, 6).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") + 100).alias("k"),
+    )
+    right = spark.createDataFrame([(7, "hot"), (102, "cold"), (None, "never"), (5, "unasked")], "k long, v string")
+    assert [r.k for r in joins.hot_keys(requests, ["k"]).collect()] == [7]
+    out = joins.hot_left_join(requests, right, ["k"])
+    assert sorted(out.columns) == ["id", "k", "v"] and out.count() == 6000
+    counts = {r.v: r["count"] for r in out.groupBy("v").count().collect()}
+    assert counts == {"hot": 2000, "cold": 1, None: 3999}
+    # The right side is not copied: the rows of the hot key meet one broadcast row of it.
+    plan = out._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "Generate" not in plan
+    assert joins.hot_left_join(requests.where("false"), right, ["k"]).count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import micros_of
 from tidemark.operators.bounds import sized
-from tidemark.operators.joins import spread_left_join
+from tidemark.operators.joins import hot_left_join
 from tidemark.operators.ranks import slice_edges, with_slice
 from tidemark.session import materialize
 
@@ -76,11 +76,11 @@ def nearest_readings(
 ) -> DataFrame:
     """Each request with its nearest reading and whether the time matched exactly.
 
-    ``observed`` holds one row per timestamp. A request without a time keeps its row. Requests
-    for one time are spread over several tasks.
+    ``observed`` holds one row per timestamp. A request without a time keeps its row. Times that
+    many requests share are measured, and their readings go to the requests.
     """
-    readings = nearest_times(requests, observed, requested, ts, fields, **kw)
-    out = spread_left_join(requests, readings, [requested])
+    readings = sized(nearest_times(requests, observed, requested, ts, fields, **kw), "nearest")
+    out = hot_left_join(requests, readings, [requested])
     return out.select(
         *requests.columns,
         F.col("nearest").alias("nearest_available"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import vocab
 from tidemark.functions.expressions import nearest_point
 from tidemark.operators.features import standardise
-from tidemark.operators.metrics import silhouette
-from tidemark.operators.models import reused
+from tidemark.operators.metrics import hashed_sample, silhouette
+from tidemark.session import materialize, ship_code
 
 
 def standardise_population(df: DataFrame, columns: Sequence[str] = tuple(vocab.CLUSTER_FEATURES)) -> DataFrame:
@@ -28,22 +28,109 @@ def with_cluster_vector(df: DataFrame, columns: Sequence[str] = tuple(vocab.CLUS
     return df.withColumn("scaled", F.array(*cells)).withColumn("features", array_to_vector("scaled"))
 
 
-def fit_kmeans(
-    vectors: DataFrame, k: int = vocab.CLUSTER_COUNT, restarts: int = vocab.CLUSTER_RESTARTS, parallelism: int = 4
-) -> KMeansModel:
-    """The fit with the lowest cost of several starts; ``vectors`` should be persisted.
-
-    The starts are independent jobs over the same rows, a few of them at a time.
+#: Distinct vectors (those of smallest hash) from which the first centres are drawn, and rounds at most.
+START_ROWS = 2_000
+ROUNDS = 300
+#: A fit is done when no centre moves further than this.
+TOLERANCE = 1e-4
+
+
+@dataclass(frozen=True)
+class Clustering:
+    """Centres of one fit and its cost, the sum of squared distances of all rows."""
+
+    centres: np.ndarray
+    cost: float
+
+    def transform(self, df: DataFrame, scaled: str = "scaled", out: str = "prediction") -> DataFrame:
+        """Number of the nearest centre, the first of equal ones; null without a vector."""
+        far = [
+            F.aggregate(F.zip_with(scaled, F.array(*[F.lit(float(x)) for x in c]), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+            for c in self.centres
+        ]
+        far = F.array(*far)
+        return df.withColumn(out, (F.array_position(far, F.array_min(far)) - 1).cast("int"))
+
+
+def _starts(points: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++: each next centre is drawn by squared distance to the nearest one so far."""
+    draw = np.random.default_rng(seed)
+    chosen = [points[draw.integers(len(points))]]
+    far = ((points - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(k, len(points)):
+        share = far / far.sum() if far.sum() > 0 else np.full(len(points), 1 / len(points))
+        chosen.append(points[draw.choice(len(points), p=share)])
+        far = np.minimum(far, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _sums(shared):
+    """Per task one row for each fit and cluster: rows, cost and component sums of the rows nearest to it."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fits = shared.value
+        totals = {f: np.zeros((len(c), c.shape[1] + 2)) for f, c in fits.items()}
+        for batch in batches:
+            rows = batch.column(0).drop_null()
+            if not len(rows):
+                continue
+            x = rows.flatten().to_numpy().reshape(len(rows), -1)
+            for f, centres in fits.items():
+                far = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)
+                near = far.argmin(axis=1)
+                cost = ((x - centres[near]) ** 2).sum(axis=1)
+                cells = np.column_stack([np.ones(len(x)), cost, x])
+                for j in np.unique(near):
+                    totals[f][j] += cells[near == j].sum(axis=0)
+        for f, t in totals.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f] * len(t), pa.int32()), pa.array(range(len(t)), pa.int32()), pa.array(t.tolist(), pa.list_(pa.float64()))],
+                ["fit", "cluster", "cells"],
+            )
+
+    return task
+
+
+def fit_many(vectors: DataFrame, wanted: Sequence[tuple[int, int]], scaled: str = "scaled") -> list[Clustering]:
+    """One fit per (k, seed), all in the same passes; ``vectors`` should be stored.
+
+    A round is one pass over the rows for every fit that still moves, whatever their number: tasks send
+    a row of sums per fit and cluster, and these alone reach the driver. First centres are drawn
+    by k-means++ from at most ``START_ROWS`` distinct vectors; rounds and costs cover all rows.
+    A centre that loses all its rows stays. Null vectors are left out; no vectors, no fits.
     """
     spark = vectors.sparkSession
-
-    def fit(seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, featuresCol="features", maxIter=300).fit(vectors)
-
-    seeds = range(vocab.SEED, vocab.SEED + restarts)
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(inheritable_thread_target(spark)(fit), seeds))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    ship_code(spark)
+    rows = vectors.select(scaled).where(F.col(scaled).isNotNull())
+    sample = rows.distinct().orderBy(F.xxhash64(scaled), scaled).limit(START_ROWS).collect()
+    if not sample:
+        return []
+    points = np.array([r[0] for r in sample], dtype=float)
+    centres = {f: _starts(points, k, seed) for f, (k, seed) in enumerate(wanted)}
+    costs, moving = {}, set(centres)
+    for done in range(ROUNDS + 1):
+        if not moving:
+            break
+        shared = spark.sparkContext.broadcast({f: centres[f] for f in moving})
+        parts = rows.mapInArrow(_sums(shared), "fit int, cluster int, cells array<double>").select("fit", "cluster", F.posexplode("cells").alias("i", "x"))
+        found = {(r.fit, r.cluster, r.i): r.s for r in parts.groupBy("fit", "cluster", "i").agg(F.sum("x").alias("s")).collect()}
+        shared.destroy()
+        for f in sorted(moving):
+            old = centres[f]
+            n = np.array([found[f, j, 0] for j in range(len(old))])
+            costs[f] = sum(found[f, j, 1] for j in range(len(old)))
+            sums = np.array([[found[f, j, 2 + d] for d in range(old.shape[1])] for j in range(len(old))])
+            new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], old)
+            # The cost belongs to the centres it was measured with.
+            if done == ROUNDS or np.sqrt(((new - old) ** 2).sum(axis=1)).max() <= TOLERANCE:
+                moving.discard(f)
+            else:
+                centres[f] = new
+    return [Clustering(centres[f], float(costs[f])) for f in range(len(wanted))]
+
+
+def fit_kmeans(vectors: DataFrame, k: int = vocab.CLUSTER_COUNT, restarts: int = vocab.CLUSTER_RESTARTS) -> Clustering:
+    """The fit with the lowest cost of several starts, all fitted in the same passes."""
+    return min(fit_many(vectors, [(k, vocab.SEED + i) for i in range(restarts)]), key=lambda c: c.cost)
 
 
 def sweep_clusters(
@@ -53,18 +140,20 @@ def sweep_clusters(
     restarts: int = vocab.CLUSTER_RESTARTS,
     sample_size: int = vocab.SILHOUETTE_SAMPLE,
 ) -> DataFrame:
-    """(k, inertia, silhouette) over a range of cluster counts.
+    """(k, inertia, silhouette) over a range of cluster counts; ``df`` has ``key`` and ``scaled`` (array).
 
-    ``df`` has ``key``, ``scaled`` (array) and ``features`` (vector).
+    All counts and starts are fitted in the same passes, and the silhouettes share one sample.
     """
-    rows = []
-    with reused(df.select(key, "scaled", "features")) as kept:
-        for k in ks:
-            model = fit_kmeans(kept, k, restarts)
-            labelled = model.transform(kept)
-            score = silhouette(labelled, key, "scaled", "prediction", sample_size=sample_size).first()["silhouette"]
-            rows.append((k, float(model.summary.trainingCost), score))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    rows = df.select(key, "scaled")
+    wanted = [(k, vocab.SEED + i) for k in ks for i in range(restarts)]
+    fits = fit_many(rows, wanted)
+    sample = materialize(hashed_sample(rows.where("scaled IS NOT NULL"), key, sample_size), "silhouette-sample")
+    out = []
+    for k in ks:
+        best = min((f for f, (n, _) in zip(fits, wanted) if n == k), key=lambda c: c.cost)
+        score = silhouette(best.transform(sample), key, "scaled", "prediction", sample_size=sample_size).first()["silhouette"]
+        out.append((k, best.cost, score))
+    return df.sparkSession.createDataFrame(out, "k int, inertia double, silhouette double")
 
 
 def assign_centres(df: DataFrame, columns: Sequence[str], centres: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
 from tidemark.functions.expressions import flag
-from tidemark.operators.joins import spread_left_join
+from tidemark.operators.joins import hot_left_join
 from tidemark.operators.reports import value_shares
 
 FINDING_COLUMNS = ["check", "live_value", "reference_value", "detail", "status"]
@@ -121,7 +121,7 @@ def with_truth(
 ) -> DataFrame:
     """Logged requests with the observed volume, null where there is none yet."""
     truth = observed.select(F.col(ts).alias(asked), F.col(volume).cast("double").alias("actual_volume"))
-    return spread_left_join(live, truth, [asked])
+    return hot_left_join(live, truth, [asked])
 
 
 def error_drift(

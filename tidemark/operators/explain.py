@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,17 +17,23 @@ from tidemark.session import materialize, run_folder, ship_code
 
 _CELLS = 2_000_000
 _ROWS = 128
-_MAX_BROADCAST_NODES = 2_000_000
+#: Conditions (a feature's bounds in a leaf) that are brought to the driver and broadcast at a time.
+_MAX_CONDITIONS = 4_000_000
 
+_LEAVES = "tree long, value double, feature array<int>, low array<double>, high array<double>, share array<double>"
 
-def tree_nodes(df: DataFrame, model: RandomForestRegressionModel) -> pd.DataFrame:
-    """Nodes of the ensemble as saved by Spark ML. Their number is a property of the
-    model (trees times nodes per tree), not of the data it is applied to."""
+
+def leaf_boxes(df: DataFrame, model: RandomForestRegressionModel) -> DataFrame:
+    """One row per leaf of the ensemble, stored: its value, and a box with a share per feature on its path.
+
+    Derived in tasks from the nodes as Spark ML saves them, one tree per group. ``share`` is the
+    part of the training rows that followed the splits of that feature.
+    """
+    ship_code(df.sparkSession)
     path = run_folder(df.sparkSession, "forest")
     model.write().save(path)
-    nodes = df.sparkSession.read.parquet(f"{path}/data")
-    return nodes.select(
-        F.col("treeID").alias("tree"),
+    nodes = df.sparkSession.read.parquet(f"{path}/data").select(
+        F.col("treeID").cast("long").alias("tree"),
         F.col("nodeData.id").alias("node"),
         F.col("nodeData.prediction").alias("value"),
         F.get("nodeData.impurityStats", F.lit(0)).alias("cover"),
@@ -34,37 +42,39 @@ def tree_nodes(df: DataFrame, model: RandomForestRegressionModel) -> pd.DataFram
         F.col("nodeData.split.featureIndex").alias("feature"),
         F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         F.col("nodeData.split.numCategories").alias("n_categories"),
-    ).toPandas()
-
+    )
+    return materialize(nodes.groupBy("tree").applyInPandas(leaf_conditions, _LEAVES), "leaves")
 
-def leaf_conditions(nodes: pd.DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
-    """Leaves by number of distinct features on their path.
 
-    Each leaf is a box (feature, low < x <= high) with, per feature, the share of
-    training rows that followed its splits. Arrays: value, feature, low, high, share.
-    """
+def leaf_conditions(nodes: pd.DataFrame) -> pd.DataFrame:
+    """The leaves of one tree: value, and per distinct feature of the path low < x <= high and the share."""
     if (nodes.loc[nodes["left"] >= 0, "n_categories"] != -1).any():
         raise ValueError("only numeric splits are supported")
-    table = {(r.tree, r.node): r for r in nodes.itertuples()}
-    leaves: dict[int, list] = {}
-    stack = [((t, 0), {}) for t in nodes["tree"].unique()]
+    table = {r.node: r for r in nodes.itertuples()}
+    out, stack = [], [(0, {})]
     while stack:
         at, box = stack.pop()
         node = table[at]
         if node.left < 0:
-            leaves.setdefault(len(box), []).append((node.value, box))
+            low, high, share = zip(*box.values()) if box else ((), (), ())
+            out.append((node.tree, float(node.value), list(box), list(low), list(high), list(share)))
             continue
         for child, goes_left in ((node.left, True), (node.right, False)):
             low, high, share = box.get(node.feature, (-np.inf, np.inf, 1.0))
             bounds = (low, min(high, node.threshold)) if goes_left else (max(low, node.threshold), high)
-            part = table[at[0], child].cover / node.cover
-            stack.append(((at[0], child), {**box, node.feature: (*bounds, share * part)}))
+            stack.append((child, {**box, node.feature: (*bounds, share * float(table[child].cover / node.cover))}))
+    return pd.DataFrame(out, columns=["tree", "value", "feature", "low", "high", "share"])
+
+
+def by_depth(leaves: pa.Table) -> dict[int, tuple[np.ndarray, ...]]:
+    """Leaves by number of distinct features on their path, as arrays: value, feature, low, high, share."""
+    leaves = leaves.combine_chunks()
+    depth = pc.list_value_length(leaves["feature"]).to_numpy()
     out = {}
-    for depth, found in leaves.items():
-        value = np.array([v for v, _ in found], dtype=float)
-        feature = np.array([list(b) for _, b in found], dtype=int).reshape(len(found), depth)
-        cells = np.array([list(b.values()) for _, b in found], dtype=float).reshape(len(found), depth, 3)
-        out[depth] = (value, feature, cells[..., 0], cells[..., 1], cells[..., 2])
+    for d in np.unique(depth).tolist():
+        part = leaves.filter(pa.array(depth == d)).combine_chunks()
+        cells = [pc.list_flatten(part[c]).to_numpy().reshape(part.num_rows, d) for c in ("feature", "low", "high", "share")]
+        out[d] = (part["value"].to_numpy(), *cells)
     return out
 
 
@@ -107,17 +117,17 @@ def attributions(
     model: RandomForestRegressionModel,
     keep: Sequence[str],
     columns: Sequence[str] = tuple(vocab.FEATURES),
-    max_nodes: int = _MAX_BROADCAST_NODES,
+    max_conditions: int = _MAX_CONDITIONS,
 ) -> DataFrame:
     """(keep, base, attribution array) per row; base + attributions = prediction.
 
     Rows stay where they are: the leaves are broadcast and each Arrow batch is a few
-    matrix operations. A forest beyond ``max_nodes`` is taken in groups of trees, one
-    pass over the rows per group, so no broadcast outgrows that bound.
+    matrix operations. The stored leaves are read in groups of whole trees with at most
+    ``max_conditions`` conditions (or one tree), one pass over the rows per group, so neither the driver
+    nor a broadcast holds more, however large the forest is.
     """
-    ship_code(df.sparkSession)
-    nodes = tree_nodes(df, model)
-    n_trees = nodes["tree"].nunique()
+    leaves = leaf_boxes(df, model)
+    sizes = leaves.groupBy("tree").agg(F.sum(F.size("feature") + 1).alias("n")).orderBy("tree").collect()
     keep, columns = list(keep), list(columns)
     out = df.select(
         *keep,
@@ -125,21 +135,27 @@ def attributions(
         F.array(*[F.lit(0.0)] * len(columns)).alias("attribution"),
         F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"),
     )
-    groups = tree_groups(nodes, max_nodes)
-    for group in groups:
-        leaves = leaf_conditions(group)
-        base = sum(float((v * share.prod(axis=1)).sum()) for v, _, _, _, share in leaves.values()) / n_trees
-        out = out.mapInPandas(_adder(df.sparkSession.sparkContext.broadcast(leaves), base, n_trees), out.schema)
+    groups = tree_groups([(r["tree"], r["n"]) for r in sizes], max_conditions)
+    for first, last in groups:
+        group = by_depth(leaves.where(F.col("tree").between(first, last)).drop("tree").toArrow())
+        base = sum(float((v * share.prod(axis=1)).sum()) for v, _, _, _, share in group.values()) / len(sizes)
+        out = out.mapInPandas(_adder(df.sparkSession.sparkContext.broadcast(group), base, len(sizes)), out.schema)
         if len(groups) > 1:
             out = materialize(out, "attributions")
     return out.drop("_x")
 
 
-def tree_groups(nodes: pd.DataFrame, max_nodes: int) -> list[pd.DataFrame]:
-    """Whole trees packed into groups of at most ``max_nodes`` nodes (or one tree)."""
-    sizes = nodes.groupby("tree").size()
-    number = ((sizes.cumsum() - sizes) // max_nodes).to_dict()
-    return [g for _, g in nodes.groupby(nodes["tree"].map(number))]
+def tree_groups(sizes: Sequence[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """(first, last) of runs of trees whose sizes add up to at most ``most``, or one tree."""
+    groups: list[list[int]] = []
+    held = 0
+    for tree, n in sizes:
+        if not groups or held + n > most:
+            groups.append([tree, tree])
+            held = 0
+        groups[-1][1] = tree
+        held += n
+    return [(a, b) for a, b in groups]
 
 
 def _adder(shared, base: float, n_trees: int):

@@ -274,17 +274,16 @@ def recommendations(profiles: DataFrame, **kw) -> DataFrame:
 def recommendation_table(
     profiles: DataFrame, categories: Sequence[str] = tuple(vocab.WEATHER), day_types: Sequence[str] = tuple(vocab.DAY_TYPES), **kw
 ) -> DataFrame:
-    """The recommendations of every day type with the typical mix and each declared category.
+    """The recommendations of every day type with the typical mix and each category, declared or found in the profiles.
 
-    A combination without a profile keeps its row, without figures and with a text that says
-    so; categories that were not declared are not in the table.
+    A combination without a profile keeps its row, without figures and with a text that says so.
     """
-    names = [vocab.TYPICAL_MIX, *categories]
-    asked = small_table(
-        profiles.sparkSession, {"day_type": [d for d in day_types for _ in names], "weather_condition": names * len(day_types)}
-    )
+    found = recommendations(profiles, **kw)
+    declared = small_table(profiles.sparkSession, {"weather_condition": [vocab.TYPICAL_MIX, *categories]})
+    named = declared.union(profiles.select("weather_condition").where(F.col("weather_condition").isNotNull())).distinct()
+    asked = named.select(F.explode(F.array(*[F.lit(d) for d in day_types])).alias("day_type"), "weather_condition")
     missing = F.concat(F.lit("No recommendation for a "), "day_type", F.lit(" journey: no conditions are known for "), "weather_condition", F.lit("."))
-    out = asked.join(recommendations(profiles, **kw), ["day_type", "weather_condition"], "left")
+    out = asked.join(found, ["day_type", "weather_condition"], "left")
     return out.withColumn("recommendation_text", F.coalesce("recommendation_text", missing))
 
 

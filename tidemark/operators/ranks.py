@@ -141,11 +141,12 @@ def exact_quantiles(
     most = sketches.agg(F.max("n")).first()[0] or 0
     while True:
         counts = sized(_bracketed(long, wanted, groups, asked, reach, max(1, -(-int(2 * reach * most) // per_slice))), "brackets")
-        hits = _ranked(counts, wanted, groups, asked)
-        held = hits.where("q IS NOT NULL")
-        found = held if found is None else found.unionByName(held)
-        missed = hits.where("q IS NULL") if reach < 1 else None
-        if missed is None or missed.isEmpty():
+        hits = _ranked(counts, groups)
+        found = hits if found is None else found.unionByName(hits)
+        below, upto = F.sum(F.when(F.col("slice") < 0, F.col("c")).otherwise(0)), F.sum("c")
+        missed = counts.groupBy(*groups, "i", "at").agg(below.alias("below"), upto.alias("upto"))
+        missed = missed.where((F.floor("at") < F.col("below")) | (F.ceil("at") >= F.col("upto")))
+        if reach >= 1 or missed.isEmpty():
             break
         missed = sized(missed.select(*groups, "i"), "missed")
         again = {r["i"] for r in missed.select("i").distinct().collect()}
@@ -188,8 +189,8 @@ def _place(p: float) -> Column:
     return (F.col("n") - 1) * F.lit(float(p))
 
 
-def _ranked(counts: DataFrame, wanted: DataFrame, groups: list[str], asked: Sequence[tuple[int, float]]) -> DataFrame:
-    """(groups, i, q): the quantile of each wanted place, null where its bracket has missed it."""
+def _ranked(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups, i, q): the quantile of each wanted place that its bracket holds."""
     over = Window.partitionBy(*groups, "i").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.groupBy(*groups, "i", "at", "slice").agg(F.sum("c").alias("n"))
     starts = starts.withColumn("start", F.coalesce(F.sum("n").over(over), F.lit(0)))
@@ -206,9 +207,7 @@ def _ranked(counts: DataFrame, wanted: DataFrame, groups: list[str], asked: Sequ
     # Equal ends stand for themselves, also where they are infinite.
     between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") * (1 - share) + F.col("high") * share)
     whole = F.col("ranks") == F.when(share == 0, 1).otherwise(2)
-    found = found.select(*groups, "i", F.when(whole, between).alias("q"))
-    every = wanted.select(*groups, F.explode(F.array(*[F.lit(i) for i, _ in asked])).alias("i"))
-    return every.join(found, [*groups, "i"], "left")
+    return found.where(whole).select(*groups, "i", between.alias("q"))
 
 
 def quantile_scalars(df: DataFrame, value: str, probs: Sequence[float], **kw) -> list[Column]:

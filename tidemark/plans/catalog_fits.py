@@ -171,11 +171,9 @@ def _axis(spark, sf):
 def kmeans_three_points(spark, sf):
     """Three separate values on a line: the best of several starts has them as centres."""
     rows = _axis(spark, sf)
-    with models.reused(rows) as kept:
-        model = cluster.fit_kmeans(kept, 3, 5)
-        centres = F.array(*[F.lit(float(c[0])) for c in model.clusterCenters()])
-        sizes = model.transform(kept).groupBy("prediction").agg(F.count("*").alias("n_rows"))
-        sizes = materialize(sizes, "sizes")
+    model = cluster.fit_kmeans(rows, 3, 5)
+    centres = F.array(*[F.lit(float(c[0])) for c in model.centres])
+    sizes = model.transform(rows).groupBy("prediction").agg(F.count("*").alias("n_rows"))
     return sizes.select(F.round(centres[F.col("prediction")], 6).alias("centre"), "n_rows")
 
 

@@ -16,26 +16,27 @@ from tidemark.plans.standins import HOURLY_SQL, TIDY_SQL, hourly, table, tidy_re
 _TRANSACTIONS = f"""WITH {TIDY_SQL},
 q AS (SELECT quantile_cont(traffic_volume, 0.25) AS q1, quantile_cont(traffic_volume, 0.5) AS q2,
   quantile_cont(traffic_volume, 0.75) AS q3 FROM tidy),
-t AS (
+t AS MATERIALIZED (
   SELECT 'time_of_day_' || {_DAY_PART} AS a, 'weather_bucket_' || {_WEATHER_GROUP} AS b,
     'weekday_type_' || CASE WHEN isodow(date_time) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS c,
     'congestion_level_' || CASE WHEN traffic_volume <= q1 THEN 'Low' WHEN traffic_volume <= q2 THEN 'Medium'
       WHEN traffic_volume <= q3 THEN 'High' ELSE 'Severe' END AS d
   FROM tidy, q),
-n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM t),
-sets AS (
-  SELECT list_sort(list_filter([a, b, c, d], lambda v: v IS NOT NULL)) AS items, count(*) AS n_rows, count(*) / any_value(n) AS support
-  FROM t, n GROUP BY CUBE (a, b, c, d) HAVING count(*) / any_value(n) >= 0.005 AND GROUPING(a, b, c, d) < 15),
-split AS (
+n AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n FROM t),
+cubed AS MATERIALIZED (SELECT a, b, c, d, count(*) AS n_rows FROM t GROUP BY CUBE (a, b, c, d) HAVING GROUPING(a, b, c, d) < 15),
+sets AS MATERIALIZED (
+  SELECT items, array_to_string(items, ', ') AS name, n_rows, n_rows / n AS support
+  FROM (SELECT list_sort(list_filter([a, b, c, d], lambda v: v IS NOT NULL)) AS items, n_rows FROM cubed), n WHERE n_rows / n >= 0.005),
+split AS MATERIALIZED (
   SELECT items, support, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS mask FROM sets WHERE len(items) >= 2),
-sides AS (
-  SELECT support, list_filter(items, lambda v, i: (mask >> (i - 1)) & 1 = 1) AS lhs,
-    list_filter(items, lambda v, i: (mask >> (i - 1)) & 1 = 0) AS rhs FROM split),
-rules AS (
-  SELECT array_to_string(lhs, ', ') AS antecedents, array_to_string(rhs, ', ') AS consequents, len(rhs) AS n_right,
+sides AS MATERIALIZED (
+  SELECT support, array_to_string(list_filter(items, lambda v, i: (mask >> (i - 1)) & 1 = 1), ', ') AS lhs,
+    array_to_string(list_filter(items, lambda v, i: (mask >> (i - 1)) & 1 = 0), ', ') AS rhs, len(items) - bit_count(mask) AS n_right FROM split),
+rules AS MATERIALIZED (
+  SELECT lhs AS antecedents, rhs AS consequents, n_right,
     x.support AS sa, y.support AS sc, sides.support AS support, sides.support / x.support AS confidence,
     sides.support / x.support / y.support AS lift
-  FROM sides JOIN sets x ON x.items = lhs JOIN sets y ON y.items = rhs),
+  FROM sides JOIN sets x ON x.name = lhs JOIN sets y ON y.name = rhs),
 kept AS (SELECT * FROM rules WHERE lift >= 1)"""
 
 

@@ -9,8 +9,8 @@ from tidemark.functions import vocab
 from tidemark.operators import cluster, explain, metrics, models, profiles, registry, reports, series, split
 from tidemark.operators import features as ft
 from tidemark.plans.catalog_features import scoring_requests
-from tidemark.plans.registry import query
-from tidemark.plans.standins import feature_table
+from tidemark.plans.registry import query, wide_ints
+from tidemark.plans.standins import CLEAN_SQL, feature_table
 from tidemark.session import materialize, run_folder
 from tidemark.sources import requests as rq
 
@@ -77,10 +77,7 @@ def _vectors(feat):
 @query()
 def kmeans_fit(spark, sf):
     rows = materialize(_vectors(stored_features(spark, sf)), "vectors")
-    with models.reused(rows) as kept:
-        model = cluster.fit_kmeans(kept)
-    labelled = model.transform(rows).withColumnRenamed("prediction", "cluster")
-    return cluster.cluster_profile(labelled)
+    return cluster.cluster_profile(cluster.fit_kmeans(rows).transform(rows, out="cluster"))
 
 
 @query()
@@ -118,6 +115,23 @@ def tree_attribution(spark, sf):
     return _attributions(spark, sf)
 
 
+@query(f"""WITH {CLEAN_SQL},
+cut AS (SELECT date_time AS cutoff FROM (
+  SELECT date_time, row_number() OVER (ORDER BY date_time) - 1 AS r, count(*) OVER () AS n FROM clean WHERE date_time IS NOT NULL)
+  WHERE r = CAST(floor(n * (1 - 0.2)) AS BIGINT))
+SELECT CAST(hour(date_time) AS BIGINT) AS hour, count(*) AS n_rows, count(*) AS n_exact FROM clean, cut WHERE date_time >= cutoff GROUP BY 1""")
+def attribution_sums(spark, sf):
+    """Per hour the test rows, and those whose base and attributions add up to the forest's prediction."""
+    _, train, test = _split(spark, sf)
+    forest = models.fit_regressors(train, only=["Random Forest"])["Random Forest"]
+    predicted = forest.transform(test).select("date_time", "prediction")
+    explained = explain.attributions(test, forest.stages[-1], ["date_time", "hour"])
+    total = F.col("base") + F.aggregate("attribution", F.lit(0.0), lambda s, x: s + x)
+    gap = F.abs(total - F.col("prediction")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    both = explained.join(predicted, "date_time").groupBy("hour").agg(F.count("*").alias("n_rows"), F.count_if(gap).alias("n_exact"))
+    return wide_ints(both)
+
+
 @query()
 def tree_attribution_rank(spark, sf):
     return explain.attribution_rank(materialize(_attributions(spark, sf), "attributions"))

@@ -176,9 +176,11 @@ _ASKED = ", ".join(f"('{d}', '{w}')" for d in vocab.DAY_TYPES for w in [vocab.TY
 @query(f"""SELECT day_type, weather_condition, recommended_start, recommended_end, predicted_volume, daily_peak_volume, pct_below_peak,
   is_genuine_trough, coalesce(recommendation_text, 'No recommendation for a ' || day_type || ' journey: no conditions are known for '
     || weather_condition || '.') AS recommendation_text
-FROM (VALUES {_ASKED}) a(day_type, weather_condition) LEFT JOIN ({_RECOMMENDED}) b USING (day_type, weather_condition)""")
+FROM (SELECT * FROM (VALUES {_ASKED}) v(day_type, weather_condition)
+  UNION SELECT d.*, weather_condition FROM (VALUES ('weekday'), ('weekend')) d(day_type), (SELECT weather_condition FROM ({_RECOMMENDED}))) a
+LEFT JOIN ({_RECOMMENDED}) b USING (day_type, weather_condition)""")
 def recommendation_table(spark, sf):
-    """All declared categories; the stand-in has readings of five, the others say that nothing is known."""
+    """All categories, declared or found; those without readings say that nothing is known."""
     return pf.recommendation_table(scenario_profiles_of(spark, sf))
 
 
