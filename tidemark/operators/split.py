@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
 from tidemark.functions.expressions import micros_of
+from tidemark.operators.bounds import sized
 
 _DAY, _SECOND = 86_400_000_000, 1_000_000
 _EPOCH = datetime(1970, 1, 1)
@@ -60,6 +63,45 @@ def time_split(
     return df.where(F.col(ts) < F.lit(cutoff)), df.where(F.col(ts) >= F.lit(cutoff)), cutoff
 
 
+def key_cutoffs(df: DataFrame, ts: str, keys: Sequence[str], test_fraction: float = vocab.TEST_FRACTION) -> DataFrame:
+    """(keys, cutoff): for every key the timestamp of its row at 0-based rank ``int(n * (1 - test_fraction))``.
+
+    Rows are never sorted: they are counted per key and day, and per time only in the one day of a
+    key that holds the rank, so a window orders the days of a key or the times of a day. Both
+    counts combine before the shuffle; the days are stored. Rows without a time count nowhere.
+    """
+    keys = list(keys)
+    rows = df.where(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("_t"), F.floor(micros_of(ts) / F.lit(_DAY)).alias("_day"))
+    over = Window.partitionBy(*keys)
+
+    def holding(counts: DataFrame, step: str, rank: Column) -> DataFrame:
+        before = F.coalesce(F.sum("_n").over(over.orderBy(step).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        placed = counts.withColumns({"_start": before, "_rank": rank})
+        return placed.where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_n")))
+
+    days = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    target = F.floor(F.sum("_n").over(over) * F.lit(1 - test_fraction))
+    day = holding(days, "_day", target).select(*keys, "_day", (F.col("_rank") - F.col("_start")).alias("_place"))
+    day = sized(day.withColumnsRenamed({k: f"_key_{k}" for k in keys}), "split-days")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    day = day.withColumnRenamed("_day", "_key_day")
+    times = rows.join(day, same & (F.col("_day") == F.col("_key_day")))
+    times = times.groupBy(*keys, "_t").agg(F.count(F.lit(1)).alias("_n"), F.max("_place").alias("_place"))
+    return holding(times, "_t", F.col("_place")).select(*keys, F.col("_t").alias("cutoff"))
+
+
+def key_split(df: DataFrame, ts: str, keys: Sequence[str], test_fraction: float = vocab.TEST_FRACTION) -> DataFrame:
+    """``df`` with ``split``: train before the cutoff of the row's key, test from it on, null without a time.
+
+    ``df`` is read more than once. The cutoffs are stored, and broadcast while they are small.
+    """
+    cutoffs = key_cutoffs(df, ts, keys, test_fraction).withColumnsRenamed({k: f"_key_{k}" for k in keys} | {"cutoff": "_cutoff"})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    both = df.join(sized(cutoffs, "cutoffs"), same, "left")
+    split = F.when(F.col(ts) < F.col("_cutoff"), "train").when(F.col(ts) >= F.col("_cutoff"), "test")
+    return both.withColumn("split", split).select(*df.columns, "split")
+
+
 def split_summary(split: DataFrame, ts: str, label: str) -> DataFrame:
     """Rows, first and last time and label rate of each part."""
     return (

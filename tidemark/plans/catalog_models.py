@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import vocab
 from tidemark.operators import cluster, explain, metrics, models, profiles, registry, reports, series, split
 from tidemark.operators import features as ft
-from tidemark.plans.catalog_features import scoring_requests
+from tidemark.plans.catalog_features import scoring_requests, sensor_features_of
 from tidemark.plans.registry import query, wide_ints
 from tidemark.plans.standins import CLEAN_SQL, feature_table
 from tidemark.session import materialize, run_folder
@@ -26,9 +26,16 @@ def _split(spark, sf):
     return feat, train, test
 
 
+def _sensor_split(spark, sf):
+    """(features of all sensors, train, test): every sensor is split at a time of its own, so rows grow with the data."""
+    feat = materialize(sensor_features_of(spark, sf).where("date_time IS NOT NULL"), "sensor-features")
+    parts = materialize(split.key_split(feat, "date_time", ["sensor"]), "sensor-split")
+    return feat, parts.where("split = 'train'").drop("split"), parts.where("split = 'test'").drop("split")
+
+
 @query()
 def fit_classifiers(spark, sf):
-    _, train, test = _split(spark, sf)
+    _, train, test = _sensor_split(spark, sf)
     return models.evaluate_classifiers(models.fit_classifiers(train), test)
 
 
@@ -76,14 +83,14 @@ def _vectors(feat):
 
 @query()
 def kmeans_fit(spark, sf):
-    rows = materialize(_vectors(stored_features(spark, sf)), "vectors")
+    rows = materialize(_vectors(sensor_features_of(spark, sf)), "vectors")
     return cluster.cluster_profile(cluster.fit_kmeans(rows).transform(rows, out="cluster"))
 
 
 @query()
 def k_sweep(spark, sf):
-    rows = materialize(_vectors(stored_features(spark, sf)), "vectors")
-    return cluster.sweep_clusters(rows, "date_time")
+    rows = materialize(_vectors(sensor_features_of(spark, sf)).withColumn("reading", F.concat_ws(" ", "sensor", "date_time")), "vectors")
+    return cluster.sweep_clusters(rows, "reading")
 
 
 @query()

@@ -23,6 +23,19 @@ def _series(spark, sf):
     return hourly_by_type(spark, sf).select("event_type", "date_time", "traffic_volume", "temp")
 
 
+@query("""WITH r AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+cut AS (SELECT user_id, ts AS cutoff FROM r WHERE r = CAST(floor(n * (1 - 0.2)) AS BIGINT))
+SELECT user_id, count(*) FILTER (WHERE ts < cutoff) AS n_train, count(*) FILTER (WHERE ts >= cutoff) AS n_test,
+  min(ts) FILTER (WHERE ts >= cutoff) AS first_test FROM events JOIN cut USING (user_id) GROUP BY 1""")
+def key_split(spark, sf):
+    """Every user's events split at a time of their own."""
+    parts = split.key_split(table(spark, sf, "events").select("user_id", "ts"), "ts", ["user_id"])
+    test = F.col("split") == "test"
+    return parts.groupBy("user_id").agg(
+        F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(test).alias("n_test"), F.min(F.when(test, F.col("ts"))).alias("first_test")
+    )
+
+
 @query(f"WITH {_STEPS} SELECT event_type, date_time, previous, round(CAST(step_hours AS DOUBLE), 6) AS step_hours FROM steps")
 def gap_steps(spark, sf):
     return rounded(series.gap_steps(_series(spark, sf), keys=KEYS, block_hours=48))
