@@ -4,15 +4,16 @@ Mail addresses, numbers of networks, cards and phones are found by pattern. Each
 is a protected entity. Over the whole corpus, the words near an entity are counted against all
 words: the pointwise mutual information of a term and an entity, over the information content of
 the entity, is the share of the entity that the term discloses: 1 if the term is seen nowhere
-else, 0 if it is as common elsewhere. The share is weighted by the evidence that the two belong
-together, so that no entity is too rare to be looked at. Near the entity, terms above a threshold are replaced by a
-more general one, and those above a higher threshold are removed.
+else, 0 if it is as common elsewhere. How sure that is follows from how often the term was seen: a lower
+confidence bound of the rate at which it stands near the entity. Near the entity, terms above a
+threshold are replaced by a more general one, and those above higher thresholds are removed. The more
+general term is the smallest class of words with the same ending whose own share, by the same
+counts, is below the threshold.
 """
 
 from __future__ import annotations
 
 import bisect
-import math
 import re
 from collections.abc import Iterator
 
@@ -32,10 +33,16 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW = 12
 #: Different surroundings from which on a term counts as often seen near an entity (``coverage``).
 LEAST_CONTEXTS = 3
-#: Odds, before anything is seen, that a term near an entity is there by chance.
-ODDS = 9.0
+#: Shares from which on a term is generalised or removed, and the lower bounds (one-sided, 95 %) of the
+#: rate at which it stands near the entity that are asked for besides. One sighting, and none
+#: elsewhere, gives a bound of 0.27, two give 0.43 and three 0.53, in a corpus of any size.
 GENERALISE = 0.8
 REMOVE = 0.95
+SURE_ENOUGH = 0.25
+SURE = 0.5
+_Z = 1.645
+#: Letters of an ending, longest class last.
+ENDINGS = (4, 3, 2, 1)
 
 # The base patterns. Possessive and bound to the start of a digit run, they find
 # what the plain forms find, in time that follows the text's length.
@@ -117,6 +124,7 @@ def hash_of(s: str) -> int:
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
+_ALL_SPANS = "array<struct<kind:string,start:int,end:int,general:string>>"
 _MENTIONS = "array<struct<entity:string,context:long,terms:array<struct<term:string,start:int,end:int>>>>"
 
 
@@ -155,16 +163,25 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(task, "term string, n long").where("length(term) > 1").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def disclosures(
-    scanned: DataFrame, counts: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, odds: float = ODDS
-) -> DataFrame:
-    """(entity, term, n, contexts, share, action): terms that disclose an entity, however rare it is.
+def sureness(near: Column, elsewhere: Column) -> Column:
+    """Lower bound (Wilson) of the rate at which a term stands near an entity: ``near`` surroundings against occurrences ``elsewhere``."""
+    n = (near + elsewhere).cast("double")
+    rate, z2 = near / n, _Z * _Z
+    return (rate + z2 / (2 * n) - _Z * F.sqrt(rate * (1 - rate) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def disclosures(scanned: DataFrame, counts: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """(entity, term, n, contexts, share, sure, action, general): terms that disclose an entity, however rare it is.
 
     With N words in the corpus, n(t) of them t, c(e) of them near e and n(e, t) both:
     PMI = log(n(e, t) N / (n(t) c(e))), IC = log(N / c(e)), share = PMI / IC.
+    ``sure`` is the lower bound of the rate k / (k + n(t) - n(e, t)), k being the different
+    surroundings of e with t (repeated text is one).
 
-    The thresholds are held against share / (1 + odds (c(e) / N) ** k): a word is near e by chance
-    with probability c(e) / N, and k different surroundings (repeated text is one) had to agree.
+    A term is generalised with a share of at least ``generalise`` and a bound of ``SURE_ENOUGH``,
+    and removed with ``remove`` and ``SURE``; so a single sighting generalises and never removes.
+    ``general`` is the ending of the class that takes the term's place, null where only all words are
+    general enough.
     """
     near = scanned.select(F.explode("mentions").alias("m")).select("m.entity", "m.context", F.explode("m.terms.term").alias("term"))
     # Surroundings first: a pair's rows shrink to one per surroundings before they are counted.
@@ -179,12 +196,40 @@ def disclosures(
     known = materialize(attach(pairs, materialize(of_entity, "pii-entities"), ["entity"], "_rows", total).drop("_rows"), "pii-known")
     known = attach(known, materialize(of_term.select("term", "_rows", "_all"), "pii-near"), ["term"], "_rows", total)
     everywhere = F.greatest(F.coalesce("_all", F.lit(0)), "n")
-    content = F.log(F.greatest(F.lit(words), F.col("c") + 1.0) / F.col("c"))
-    share = F.least(F.log(F.col("n") * words / (everywhere * F.col("c"))) / content, F.lit(1.0))
-    told = known.select("entity", "term", "n", "contexts", share.alias("share"), content.alias("_content"))
-    held = F.col("share") / (F.exp(math.log(odds) - F.col("contexts") * F.col("_content")) + 1.0)
-    action = F.when(held >= remove, "remove").otherwise("generalise")
-    return told.where(held >= generalise).withColumn("action", action).drop("_content")
+    told = known.select(
+        "entity", "term", "n", "contexts", "c", _share(F.col("n"), everywhere, F.col("c"), words).alias("share"),
+        sureness(F.col("contexts"), everywhere - F.col("n")).alias("sure"),
+    )
+    action = F.when((F.col("share") >= remove) & (F.col("sure") >= SURE), "remove").otherwise("generalise")
+    told = told.where((F.col("share") >= generalise) & (F.col("sure") >= SURE_ENOUGH)).withColumn("action", action)
+    return _generalised(materialize(told, "pii-told"), pairs, counts, words, generalise).drop("c")
+
+
+def _share(n: Column, everywhere: Column, c: Column, words: float) -> Column:
+    content = F.log(F.greatest(F.lit(words), c + 1.0) / c)
+    return F.least(F.log(n * words / (everywhere * c)) / content, F.lit(1.0))
+
+
+def _endings(df: DataFrame, *keep: str) -> DataFrame:
+    """A row per class of the term: its last letters, while they are not the whole term."""
+    parts = [F.when(F.length("term") > k, F.right("term", F.lit(k))) for k in ENDINGS]
+    return df.select(*keep, F.explode(F.array_compact(F.array(*parts))).alias("ending"))
+
+
+def _generalised(told: DataFrame, pairs: DataFrame, counts: DataFrame, words: float, generalise: float) -> DataFrame:
+    """``told`` with ``general``, the longest ending whose class of words discloses the entity less than the threshold."""
+    asked = materialize(_endings(told, "entity", "c", "term"), "pii-endings")
+    needed = asked.groupBy("ending").agg(F.count(F.lit(1)).alias("_rows"))
+    everywhere = _endings(counts, "n").groupBy("ending").agg(F.sum("n").alias("_all"))
+    of_class = materialize(needed.join(everywhere, "ending"), "pii-classes")
+    found = materialize(attach(asked, of_class, ["ending"], "_rows", asked.count()).drop("_rows"), "pii-class-counts")
+    # Only entities with told terms have classes to look at.
+    close = pairs.join(told.select("entity").distinct(), "entity", "left_semi")
+    close = _endings(close, "entity", "n").groupBy("entity", "ending").agg(F.sum("n").alias("_near"))
+    share = _share(F.col("_near"), F.greatest("_all", "_near"), F.col("c"), words)
+    fit = found.join(close, ["entity", "ending"]).where(share < generalise)
+    best = fit.groupBy("entity", "term").agg(F.max_by("ending", F.length("ending")).alias("general"))
+    return told.join(best, ["entity", "term"], "left")
 
 
 def coverage(scanned: DataFrame, told: DataFrame) -> DataFrame:
@@ -206,11 +251,12 @@ def coverage(scanned: DataFrame, told: DataFrame) -> DataFrame:
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", **thresholds) -> DataFrame:
     """(doc_id, h, spans) per row of ``docs``: base spans, then spans of disclosing terms.
 
-    Spans are (kind, start, end): base kinds as listed, then ``generalise`` and ``remove``, each by
-    start; positions are code points, ends exclusive. A null text is an empty one; rows that
+    Spans are (kind, start, end, general): base kinds as listed, then ``generalise`` and ``remove``, each by
+    start; positions are code points, ends exclusive; ``general`` is the ending of a generalised term's class. A null text is an empty one; rows that
     repeat are found each and count each as occurrences; null keys are kept; other columns are
-    not read; no rows give no rows. Texts are read twice and never shuffled: what moves is counts
-    of words, the surroundings of entities and the spans.
+    not read; no rows give no rows. Texts are read whole, however long, twice and never shuffled: what moves is counts
+    of words, the surroundings of entities and the spans. A place that several entities generalise gets
+    the shortest of their endings.
     """
     scanned = materialize(scan(docs, key, text), "pii-scan")
     told = materialize(disclosures(scanned, materialize(word_counts(docs, text), "pii-words"), **thresholds), "pii-terms")
@@ -218,39 +264,44 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", **thresholds)
     near = near.select("doc_id", "h", "m.entity", F.explode("m.terms").alias("t"))
     near = near.select("doc_id", "h", "entity", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
     hits = attach(near, told, ["entity", "term"], "n", near.count())
-    worst = hits.groupBy("doc_id", "h", "start", "end").agg(F.max("action").alias("kind"))
+    ending = F.coalesce("general", F.lit(""))
+    worst = hits.groupBy("doc_id", "h", "start", "end").agg(F.max("action").alias("kind"), F.min_by(ending, F.length(ending)).alias("general"))
+    general = F.when(F.col("kind") == "generalise", F.col("general")).alias("general")
     added = worst.groupBy(F.col("doc_id").alias("_k"), F.col("h").alias("_h")).agg(
-        F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("_more")
+        F.array_sort(F.collect_list(F.struct("kind", "start", "end", general))).alias("_more")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_k")) & F.col("h").eqNullSafe(F.col("_h"))
     rows = scanned.select("doc_id", "h", "spans").join(added, same, "left")
-    return rows.select("doc_id", "h", F.concat("spans", F.coalesce("_more", F.array().cast(_SPANS))).alias("spans"))
+    base = F.transform("spans", lambda x: F.struct(x["kind"], x["start"], x["end"], F.lit(None).cast("string").alias("general")))
+    return rows.select("doc_id", "h", F.concat(base.cast(_ALL_SPANS), F.coalesce("_more", F.array().cast(_ALL_SPANS))).alias("spans"))
 
 
-def written(spans: Column) -> Column:
-    """kind:start:end, comma-joined."""
-    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+def written(spans: Column, general: bool = False) -> Column:
+    """kind:start:end, comma-joined; with ``general``, and :ending."""
+    parts = ["kind", "start", "end"]
+    each = lambda x: F.concat_ws(":", *[x[p] for p in parts], *([F.coalesce(x["general"], F.lit(""))] if general else []))
+    return F.array_join(F.transform(spans, each), ",")
 
 
-def general(term: str) -> str:
-    """The more general term: what kind of word it is."""
-    return "[number]" if term.isdigit() else "[name]" if term[:1].isupper() else "[word]"
+def general_term(term: str, ending: str) -> str:
+    """What takes a term's place: the ending of its class, or the kind of word it is."""
+    return f"[-{ending}]" if ending else "[number]" if term.isdigit() else "[word]"
 
 
 def cleaned(text: str, spans: str) -> str:
     """The text with base spans masked by kind, and disclosing terms generalised or removed.
 
-    Where spans overlap, the one that starts first wins, and of those the longest; the rest of a
-    losing span is masked with it.
+    ``spans`` are as ``written`` with endings. Where they overlap, the one that starts first wins, and of
+    those the longest; the rest of a losing span is masked with it.
     """
     out, at = [], 0
-    parts = [p.rsplit(":", 2) for p in spans.split(",")] if spans else []
-    for start, end, kind in sorted((int(s), int(e), k) for k, s, e in parts):
+    parts = [p.split(":") for p in spans.split(",")] if spans else []
+    for start, end, kind, ending in sorted((int(s), int(e), k, g) for k, s, e, g in parts):
         if end <= at:
             continue
         if start >= at:
             out.append(text[at:start])
-            out.append({"generalise": general(text[start:end]), "remove": ""}.get(kind, f"[{kind}]"))
+            out.append({"generalise": general_term(text[start:end], ending), "remove": ""}.get(kind, f"[{kind}]"))
         at = end
     return "".join(out) + text[at:]
 
@@ -262,7 +313,7 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **thresho
     """
     k, h, there = unused(docs, "_k", "_h", "_spans")
     spans = find(docs, key, text, **thresholds).where(F.size("spans") > 0)
-    spans = spans.select(F.col("doc_id").alias(k), F.col("h").alias(h), written(F.col("spans")).alias(there))
+    spans = spans.select(F.col("doc_id").alias(k), F.col("h").alias(h), written(F.col("spans"), general=True).alias(there))
     spans = spans.groupBy(k, h).agg(F.first(there).alias(there))
 
     @F.pandas_udf("string")
