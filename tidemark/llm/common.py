@@ -102,6 +102,34 @@ def by_run(rows: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.RecordB
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(joined, schema)
 
 
+def by_runs(rows: DataFrame, keys: list[str], fn: Callable[[pa.Table, np.ndarray], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """Like ``by_run`` for small groups: ``fn`` gets many whole runs in one table, and where each begins (and the end)."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            starts = _starts(table, keys)
+            # The last run may go on in the next batch.
+            last, held = int(starts[-2]), table.slice(int(starts[-2]))
+            if last and (out := fn(table.slice(0, last), starts[:-1])) is not None:
+                yield out
+        if held is not None and (out := fn(held, _starts(held, keys))) is not None:
+            yield out
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: gathered(task(batches)), schema)
+
+
+def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    new = np.zeros(table.num_rows, dtype=bool)
+    for k in keys:
+        column = table[k].to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.array([0, *np.flatnonzero(new), table.num_rows])
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Maximal runs of equal keys in a sorted stream."""
     held: list[pa.Table] = []

@@ -19,17 +19,22 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_run, split_large
+from tidemark.llm.common import by_runs, split_large
 from tidemark.llm.components import components
 from tidemark.session import materialize, ship_code
 
 BLOCKS = 2
 CODES = 8
 BLOCK = 512
+#: Pairs that are compared in one product.
+TOGETHER = 1_000_000
+#: Scores (rows by words of a block) that decoding holds at a time.
+CELLS = 2_000_000
 #: Share of pairs at the threshold itself that must have a filter in common; closer pairs have more.
 RECALL = 0.97
-#: Directions per vector of the largest label: about this many chance meetings per 5 vectors.
-DENSITY = 20
+#: Directions per code and vector of the largest label. With so many, lists of filters and chance
+#: meetings stay as long as they are when labels grow (measured for 500 to 62,500 vectors).
+DENSITY = 25
 
 
 @dataclass(frozen=True)
@@ -39,8 +44,16 @@ class Code:
     parts: list[tuple[np.ndarray, list[np.ndarray]]]
     bound: float
 
+    def decode_all(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``decode`` for any number of rows, some at a time: scores of ``CELLS`` at most are held."""
+        step = max(1, CELLS // self.parts[0][1][0].shape[0])
+        found = [(start, *self.decode(unit[start:start + step])) for start in range(0, len(unit), step)]
+        if not found:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        return np.concatenate([start + row for start, row, _ in found]), np.concatenate([code for _, _, code in found])
+
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of every filter that a row of ``unit`` passes."""
+        """(row, filter) of every filter that a row of ``unit`` passes, by row and filter."""
         found = [self._one(unit, place) for place in range(len(self.parts))]
         row, code = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((code, row))
@@ -62,15 +75,16 @@ class Code:
         return row, code
 
 
-def make_code(dims: int, largest: int, cosine: float, recall: float = RECALL, seed: int = 42) -> Code:
-    """A code for labels of up to ``largest`` vectors: directions grow with them, lists hardly do.
+def make_code(dims: int, largest: int, cosine: float, recall: float = RECALL, seed: int = 42, bound: float | None = None) -> Code:
+    """A code for labels of up to ``largest`` vectors: directions grow with them, lists do not.
 
     The bound is the highest at which ``recall`` of random pairs at ``cosine`` (simulated from
-    the seed, no data) share a filter. Everything here is bounded by the dimension.
+    the seed, no data) share a filter; a known one is taken as it is, so that a code is made again
+    from a few numbers wherever it is needed. Its size grows with the square root of the label.
     """
     draw = np.random.Generator(np.random.PCG64(seed))
     blocks = min(BLOCKS, dims)
-    size = max(8, int(np.ceil((DENSITY * max(largest, 1) / CODES) ** (1 / blocks))))
+    size = max(8, int(np.ceil((DENSITY * max(largest, 1)) ** (1 / blocks))))
     parts = []
     for _ in range(CODES):
         rotation, words = np.linalg.qr(draw.standard_normal((dims, dims)))[0], []
@@ -78,6 +92,8 @@ def make_code(dims: int, largest: int, cosine: float, recall: float = RECALL, se
             w = draw.standard_normal((size, len(part)))
             words.append(w / np.linalg.norm(w, axis=1, keepdims=True) / np.sqrt(blocks))
         parts.append((rotation, words))
+    if bound is not None:
+        return Code(parts, bound)
     a = draw.standard_normal((600, dims))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b = draw.standard_normal((600, dims))
@@ -85,12 +101,19 @@ def make_code(dims: int, largest: int, cosine: float, recall: float = RECALL, se
     norm = np.linalg.norm(b, axis=1, keepdims=True)
     b = cosine * a + np.sqrt(1 - cosine**2) * b / np.where(norm > 0, norm, 1)
     every = CODES * size**blocks
-    for bound in np.arange(0.9, -1.0, -0.02):
-        code = Code(parts, float(bound))
-        seen = [set((r * every + c).tolist()) for r, c in (code.decode(a), code.decode(b))]
-        if len({k // every for k in seen[0] & seen[1]}) >= recall * len(a):
-            return code
-    return Code(parts, -2.0)
+
+    def enough(at: float) -> bool:
+        code = Code(parts, at)
+        seen = [set((r * every + c).tolist()) for r, c in (code.decode_all(a), code.decode_all(b))]
+        return len({k // every for k in seen[0] & seen[1]}) >= recall * len(a)
+
+    low = next((x / 50 for x in range(45, -51, -1) if enough(x / 50)), -2.0)
+    if low > -2:
+        high = low + 0.02
+        for _ in range(4):
+            middle = (low + high) / 2
+            low, high = (middle, high) if enough(middle) else (low, middle)
+    return Code(parts, low)
 
 
 def _usable(vector: str) -> Column:
@@ -108,45 +131,75 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _met(unit: np.ndarray, label: np.ndarray, own: np.ndarray, halves: np.ndarray, starts: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs (x before y) inside each run: runs of one size are compared in one product."""
+    sizes = np.diff(starts)
+    found = []
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        at = starts[:-1][sizes == size]
+        step = max(1, TOGETHER // (size * size))
+        for low in range(0, len(at), step):
+            rows = at[low:low + step, None] + np.arange(size)
+            close = unit[rows] @ unit[rows].transpose(0, 2, 1) >= cosine
+            close &= label[rows][:, :, None] == label[rows][:, None, :]
+            # Two halves of a large filter: pairs inside one half are met where it is alone.
+            close &= ~halves[rows][:, :, None] | (own[rows][:, :, None] != own[rows][:, None, :])
+            run, i, j = np.nonzero(np.triu(close, 1))
+            found.append((rows[run, i], rows[run, j]))
+    if not found:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    return tuple(np.concatenate(side) for side in zip(*found))
+
+
 def _compare(cosine: float):
-    """In-run links: (node, root, links); a pair counts at its smallest common filter."""
-    def compare(run: pa.Table) -> pa.RecordBatch | None:
-        n = run.num_rows
-        if n < 2:
+    """Links of many runs: (node, root, links); a pair counts at its smallest common filter."""
+    def compare(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
+        table = table.combine_chunks()
+        unit = _unit_of_each(table["vector"].combine_chunks())
+        label = pc.dictionary_encode(table["label"].combine_chunks()).indices.to_numpy()
+        own, node, copies, here = (table[c].to_numpy() for c in ("own", "node", "copies", "filter"))
+        x, y = _met(unit, label, own, table["lo"].to_numpy() < table["hi"].to_numpy(), starts, cosine)
+        if not len(x):
             return None
-        lo, hi, here = run["lo"][0].as_py(), run["hi"][0].as_py(), run["filter"][0].as_py()
-        unit = _unit(_matrix(run["vector"]))
-        label = pc.dictionary_encode(run["label"].combine_chunks()).indices.to_numpy()
-        own, node, copies = (run[c].to_numpy() for c in ("own", "node", "copies"))
-        linked = (unit @ unit.T >= cosine) & (label[:, None] == label[None, :])
-        np.fill_diagonal(linked, False)
-        i, j = np.nonzero(np.triu(linked & ((own[:, None] != own[None, :]) if lo < hi else True)))
-        lists = run["filters"].combine_chunks()
-        width = np.diff(lists.offsets.to_numpy())
-        filters = np.full((n, width.max()), -1, dtype=np.int64)
+        lists = table["filters"].combine_chunks()
+        width = lists.value_lengths().to_numpy()
+        filters = np.full((len(node), width.max()), -1, dtype=np.int64)
         filters[np.arange(filters.shape[1])[None, :] < width[:, None]] = lists.flatten().to_numpy()
-        links = np.zeros(n, dtype=np.int64)
-        for start in range(0, len(i), 10_000):
-            x, y = i[start:start + 10_000], j[start:start + 10_000]
-            shared = (filters[x][:, :, None] == filters[y][:, None, :]).any(axis=2) & (filters[x] >= 0)
-            first = np.where(shared, filters[x], np.iinfo(np.int64).max).min(axis=1) == here
-            np.add.at(links, x[first], copies[y[first]])
-            np.add.at(links, y[first], copies[x[first]])
-        np.fill_diagonal(linked, True)
-        root = np.arange(n)
+        links = np.zeros(len(node), dtype=np.int64)
+        for start in range(0, len(x), 10_000):
+            a, b = x[start:start + 10_000], y[start:start + 10_000]
+            shared = (filters[a][:, :, None] == filters[b][:, None, :]).any(axis=2) & (filters[a] >= 0)
+            first = np.where(shared, filters[a], np.iinfo(np.int64).max).min(axis=1) == here[a]
+            np.add.at(links, a[first], copies[b[first]])
+            np.add.at(links, b[first], copies[a[first]])
+        root = np.arange(len(node))
         while True:
-            least = np.where(linked, root[None, :], n).min(axis=1)
+            least = root.copy()
+            np.minimum.at(least, x, root[y])
+            np.minimum.at(least, y, root[x])
             least = least[least]
             if (least == root).all():
                 break
             root = least
-        keep = np.flatnonzero(linked.sum(axis=1) > 1)
+        keep = np.union1d(x, y)
         columns = [pa.array(node[keep]), pa.array(node[root[keep]]), pa.array(links[keep])]
         return pa.RecordBatch.from_arrays(columns, ["node", "root", "links"])
 
     return compare
 
 
+def _unit_of_each(vectors: pa.ListArray) -> np.ndarray:
+    """Unit vectors of several lengths, filled up with zeros; only vectors of one length share a run with their label."""
+    sizes = vectors.value_lengths().to_numpy()
+    if len(sizes) and (sizes == sizes[0]).all():
+        return _unit(_matrix(vectors))
+    out = np.zeros((len(sizes), sizes.max(initial=0)))
+    for dims in np.unique(sizes):
+        at = np.flatnonzero(sizes == dims)
+        out[at, :dims] = _unit(_matrix(vectors.take(pa.array(at))))
+    return out
+
+
 def near_vectors(
     vectors: DataFrame, cosine: float = 0.93, key: str = "vec_id", vector: str = "embedding", label: str = "label",
     recall: float = RECALL,
@@ -168,16 +221,20 @@ def near_vectors(
     nodes = rows.where(good).groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "spherical-nodes")
     shapes = nodes.groupBy(F.size("vector").alias("dims"), "label").count().groupBy("dims").agg(F.max("count").alias("largest")).collect()
-    codes = {r["dims"]: make_code(r["dims"], r["largest"], cosine, recall) for r in shapes}
+    made = {r["dims"]: (r["largest"], make_code(r["dims"], r["largest"], cosine, recall).bound) for r in shapes}
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict[int, Code] = {}
         for batch in batches:
             sizes = pc.list_value_length(batch.column(1)).to_numpy()
             for dims in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == dims))
+                if dims not in codes:
+                    largest, bound = made[int(dims)]
+                    codes[dims] = make_code(int(dims), largest, cosine, recall, bound=bound)
                 for start in range(0, part.num_rows, 1024):
                     node, vector = part.slice(start, 1024).columns
-                    row, code = codes[int(dims)].decode(_unit(_matrix(vector)))
+                    row, code = codes[dims].decode_all(_unit(_matrix(vector)))
                     offsets = np.searchsorted(row, np.arange(len(node) + 1)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([node, pa.ListArray.from_arrays(offsets, pa.array(code))], ["node", "filters"])
 
@@ -188,7 +245,7 @@ def near_vectors(
     spots = materialize(spots.select("node", "filter", F.xxhash64("group", "filter").alias("bucket")), "spherical-entries")
     met = split_large(spots, "bucket", "node", BLOCK).join(full, "node")
     columns = ["bucket", "filter", "lo", "hi", "own", "node", "label", "vector", "copies", "filters"]
-    found = by_run(met.select(*columns), ["bucket", "filter", "lo", "hi"], _compare(cosine), "node long, root long, links long")
+    found = by_runs(met.select(*columns), ["bucket", "filter", "lo", "hi"], _compare(cosine), "node long, root long, links long")
     found = materialize(found, "spherical-links")
     linked = components(found.where("node <> root"), "node", "root")
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))
