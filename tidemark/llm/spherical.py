@@ -28,6 +28,9 @@ CODES = 8
 BLOCK = 512
 #: Pairs that are compared in one product.
 TOGETHER = 1_000_000
+#: Vectors of a run up to which pairs are listed; larger ones are compared as matrices, some columns at a time.
+SMALL = 48
+COLUMNS = 2048
 #: Scores (rows by words of a block) that decoding holds at a time.
 CELLS = 2_000_000
 #: Share of pairs at the threshold itself that must have a filter in common; closer pairs have more.
@@ -132,10 +135,10 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _met(unit: np.ndarray, label: np.ndarray, own: np.ndarray, halves: np.ndarray, starts: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs (x before y) inside each run: runs of one size are compared in one product."""
+    """Linked pairs (x before y) inside each small run: runs of one size are compared in one product."""
     sizes = np.diff(starts)
     found = []
-    for size in np.unique(sizes[sizes > 1]).tolist():
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]).tolist():
         at = starts[:-1][sizes == size]
         step = max(1, TOGETHER // (size * size))
         for low in range(0, len(at), step):
@@ -158,10 +161,15 @@ def _compare(cosine: float):
         unit = _unit_of_each(table["vector"].combine_chunks())
         label = pc.dictionary_encode(table["label"].combine_chunks()).indices.to_numpy()
         own, node, copies, here = (table[c].to_numpy() for c in ("own", "node", "copies", "filter"))
-        x, y = _met(unit, label, own, table["lo"].to_numpy() < table["hi"].to_numpy(), starts, cosine)
-        if not len(x):
-            return None
+        halves = table["lo"].to_numpy() < table["hi"].to_numpy()
         lists = table["filters"].combine_chunks()
+        parts = [
+            _dense(unit[a:b], label[a:b], own[a:b], node[a:b], copies[a:b], here[a], halves[a], lists.slice(a, b - a), cosine)
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()) if b - a > SMALL
+        ]
+        x, y = _met(unit, label, own, halves, starts, cosine)
+        if not len(x):
+            return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if sum(p.num_rows for p in parts) else None
         width = lists.value_lengths().to_numpy()
         filters = np.full((len(node), width.max()), -1, dtype=np.int64)
         filters[np.arange(filters.shape[1])[None, :] < width[:, None]] = lists.flatten().to_numpy()
@@ -183,11 +191,47 @@ def _compare(cosine: float):
             root = least
         keep = np.union1d(x, y)
         columns = [pa.array(node[keep]), pa.array(node[root[keep]]), pa.array(links[keep])]
-        return pa.RecordBatch.from_arrays(columns, ["node", "root", "links"])
+        parts.append(pa.RecordBatch.from_arrays(columns, ["node", "root", "links"]))
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
     return compare
 
 
+def _dense(
+    unit: np.ndarray, label: np.ndarray, own: np.ndarray, node: np.ndarray, copies: np.ndarray, here: int, halves: bool, lists: pa.ListArray,
+    cosine: float,
+) -> pa.RecordBatch:
+    """The links of one large run, by products of matrices: of the vectors, and of the smaller filters each has."""
+    n = len(node)
+    close = (unit @ unit.T >= cosine) & (label[:, None] == label[None, :])
+    np.fill_diagonal(close, False)
+    if halves:
+        close &= own[:, None] != own[None, :]
+    owner, filters = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+    owner, filters = owner[filters < here], filters[filters < here]
+    names, at, times = np.unique(filters, return_inverse=True, return_counts=True)
+    # A filter of one vector is shared by none.
+    owner, at = owner[times[at] > 1], (np.cumsum(times > 1) - 1)[at[times[at] > 1]]
+    order = np.argsort(at, kind="stable")
+    owner, at, shared = owner[order], at[order], np.zeros((n, n), dtype=np.float32)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, (start, start + COLUMNS))
+        has = np.zeros((n, COLUMNS), dtype=np.float32)
+        has[owner[a:b], at[a:b] - start] = 1
+        shared += has @ has.T
+    links = ((close & (shared == 0)).astype(np.float64) @ copies).astype(np.int64)
+    np.fill_diagonal(close, True)
+    root = np.arange(n)
+    while True:
+        least = np.where(close, root[None, :], n).min(axis=1)
+        least = least[least]
+        if (least == root).all():
+            break
+        root = least
+    keep = np.flatnonzero(close.sum(axis=1) > 1)
+    return pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(node[root[keep]]), pa.array(links[keep])], ["node", "root", "links"])
+
+
 def _unit_of_each(vectors: pa.ListArray) -> np.ndarray:
     """Unit vectors of several lengths, filled up with zeros; only vectors of one length share a run with their label."""
     sizes = vectors.value_lengths().to_numpy()
