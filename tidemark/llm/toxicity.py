@@ -175,12 +175,12 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[list[str], list[int]]:
-    """Texts and labels to learn from, at most ``TRAIN_ROWS``; a key with both labels is toxic.
+def chosen(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """(_key, y, t): texts and labels to learn from, at most ``TRAIN_ROWS``; a key with both labels is toxic.
 
     The keys are chosen first, from narrow columns; only their texts are then fetched, by a
     broadcast of at most that many keys. Of a key with several texts, tasks keep the one with the
-    smallest hash, so one row per key reaches the driver, however many rows a key has.
+    smallest hash, so there is one row per key, however many rows a key has.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
     known = known.groupBy("_key").agg(F.max("_label").alias("_label"))
@@ -189,13 +189,40 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     keys = usable.select("_key").distinct()
     found = materialize(keys.join(known, "_key").withColumn("_h", F.xxhash64("_key")), "toxicity-keys")
     counts = {r["_label"]: r["count"] for r in found.groupBy("_label").count().collect()}
-    chosen = [smallest(found.where(F.col("_label") == v), "_h", n, counts.get(v, 0)) for v, n in TRAIN_ROWS.items()]
-    chosen = F.broadcast(chosen[0].unionByName(chosen[1]).select("_key", "_label"))
-    rows = usable.join(chosen, "_key").groupBy("_key").agg(F.max("_label").alias("y"), F.min_by("_text", F.xxhash64("_text")).alias("t"))
-    rows = sorted((r["_key"], r["t"], r["y"]) for r in rows.collect())
+    picked = [smallest(found.where(F.col("_label") == v), "_h", n, counts.get(v, 0)) for v, n in TRAIN_ROWS.items()]
+    picked = F.broadcast(picked[0].unionByName(picked[1]).select("_key", "_label"))
+    rows = usable.join(picked, "_key").groupBy("_key").agg(F.max("_label").alias("y"), F.min_by("_text", F.xxhash64("_text")).alias("t"))
+    return rows
+
+
+def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> tuple[list[str], list[int]]:
+    """The chosen texts and labels on the driver, in the order in which ``learn`` takes them."""
+    rows = sorted((r["_key"], r["t"], r["y"]) for r in chosen(docs, labels, key, text, label).collect())
     return [r[1] for r in rows], [int(r[2]) for r in rows]
 
 
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
+    """The model of the chosen rows, fitted in one task: the rows are bounded, and only weights reach the driver."""
+    ship_code(docs.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, y = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            y += batch.column(1).to_pylist()
+        weights = fit(texts, y).weights
+        at = np.flatnonzero(weights)
+        cells = [at.astype(np.int64).tobytes(), weights[at].astype(np.float64).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], ["at", "weight"])
+
+    rows = chosen(docs, labels, key, text, label).repartition(1).sortWithinPartitions("_key")
+    found = rows.select("t", F.col("y").cast("int")).mapInArrow(task, "at binary, weight binary").collect()
+    weights = np.zeros(BUCKETS)
+    for r in found:
+        weights[np.frombuffer(r["at"], dtype=np.int64)] = np.frombuffer(r["weight"], dtype=np.float64)
+    return Model(weights)
+
+
 def assess(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", floor: float = 0.5) -> DataFrame:
     """(doc_id, score, offending) per row of ``docs``, over its whole text.
 
@@ -235,7 +262,7 @@ def assess(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
 def detect(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """Fit on the bounded sample, then (doc_id, score, offending) for every row of ``docs``."""
-    return assess(docs, fit(*sample(docs, labels, key, text, label)), key, text)
+    return assess(docs, learn(docs, labels, key, text, label), key, text)
 
 
 def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
@@ -246,7 +273,7 @@ def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     """
     spark = docs.sparkSession
     ship_code(spark)
-    shared = spark.sparkContext.broadcast(fit(*sample(docs, labels, key, text, label)).weights.astype(np.float32))
+    shared = spark.sparkContext.broadcast(learn(docs, labels, key, text, label).weights.astype(np.float32))
     place = docs.columns.index(text)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
