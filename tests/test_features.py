@@ -138,18 +138,23 @@ def test_quantiles_equal_the_built_in(spark, n):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     known = df.select("k", F.when(~F.isnan("v"), F.col("v")).alias("v"))
     want = {r["k"]: r["q"] for r in known.groupBy("k").agg(F.percentile("v", probs).alias("q")).collect()}
-    # With brackets that are cut into slices, and with ones that miss at first.
-    for settings in ({}, {"reach": 0.05, "per_slice": 40}, {"reach": 1e-5}):
+    # All groups in buffers, none, and some; with brackets that are cut into slices, and with ones that miss at first.
+    cut, missing = {"reach": 0.05, "per_slice": 40}, {"reach": 1e-5}
+    for settings in ({}, {"whole": n}, {"whole": 0}, {"whole": n // 4}, {"whole": 0, **cut}, {"whole": n // 4, **cut}, {"whole": 0, **missing}):
         got = {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", probs, ["k"], **settings).collect()}
         assert got.keys() == want.keys() and got["empty"] is None
         for k in set(want) - {"empty"}:
             assert got[k] == pytest.approx(want[k], rel=1e-12)
-    two = ranks.exact_quantiles(df.withColumn("w", -F.col("v")), ["v", "w"], [0.5], per_slice=8).first()
+    two = ranks.exact_quantiles(df.withColumn("w", -F.col("v")), ["v", "w"], [0.5], per_slice=8, whole=0).first()
     assert two["v"][0] == pytest.approx(-two["w"][0])
 
 
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([("a", None), ("b", None)], "k string, v double")
+    mixed = df.unionByName(spark.createDataFrame([("c", 1.0), ("c", 2.0)], df.schema))
+    for whole in (0, 1, 2):
+        got = {r["k"]: r["v"] for r in ranks.exact_quantiles(mixed, "v", [0.5], ["k"], whole=whole).collect()}
+        assert got == {"a": None, "b": None, "c": [1.5]}
     assert {r["k"]: r["v"] for r in ranks.exact_quantiles(df, "v", [0.5], ["k"]).collect()} == {"a": None, "b": None}
     assert ranks.exact_quantiles(df.where("false"), "v", [0.5], ["k"]).collect() == []
     assert ranks.exact_quantiles(df, "v", [0.5]).first()["v"] is None

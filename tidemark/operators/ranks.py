@@ -1,10 +1,10 @@
 """Exact order statistics and running totals over a global order.
 
 A window without a partition key sends the whole table to one task, and Spark's
-``percentile`` keeps every distinct value of a group in one buffer. Both are replaced
-here by quantile sketches, which say where to look: running totals cut the order into slices,
-and quantiles read a bracket around each wanted rank. What they find is counted exactly, so the
-sketches decide how much is read, never what the result is; small and large tables go the same way.
+``percentile`` keeps every distinct value of a group in one buffer. Quantile sketches say where
+to look instead: running totals cut the order into slices, and quantiles read a bracket around each
+wanted rank. What they find is counted exactly, so the sketches decide how much is read, never what the
+result is. Groups that are counted to be small enough for a buffer (``WHOLE``) are left to ``percentile``.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ ROWS_PER_SLICE = 2_000_000
 #: ``REACH`` on either side nearly always holds the rank; where it does not, wider ones follow.
 SKETCH = 4_000
 REACH = 0.005
+#: Values of a group that one buffer holds, some 100 bytes each; an aggregate keeps at most 128 buffers before it sorts.
+WHOLE = 10_000
 _LARGEST = 1.7976931348623157e308
 
 
@@ -37,7 +39,7 @@ def _sketch(value: str) -> list[Column]:
     return [F.count(known).alias("n"), F.kll_sketch_agg_double(known, F.lit(SKETCH)).alias("sketch")]
 
 
-def _points(sketch: str, steps: Sequence[float]) -> Column:
+def _points(sketch: str | Column, steps: Sequence[float]) -> Column:
     """Values at the shares ``steps``, with the clipped ends opened again."""
     opened = lambda x: (
         F.when(x >= _LARGEST, float("inf")).when(x <= -_LARGEST, float("-inf")).otherwise(x)
@@ -48,17 +50,16 @@ def _points(sketch: str, steps: Sequence[float]) -> Column:
 def slice_edges(df: DataFrame, value: str, slices: int | None = None) -> list[float]:
     """Ascending distinct finite cut points that split ``value`` about evenly.
 
-    One pass: tasks send on one sketch each (some 90 KB), and the merged one is stored; it also
-    knows the rows for ``slices_for``.
+    One pass: tasks send on one sketch each (some 90 KB), and the merged one alone reaches the
+    driver; it also knows the rows for ``slices_for``.
     """
-    found = sized(df.select(F.col(value).cast("double").alias("v")).agg(*_sketch("v")), "sketch")
-    n = found.first()["n"]
-    if not n:
-        return []
+    n, sketch = df.select(F.col(value).cast("double").alias("v")).agg(*_sketch("v")).first()
     slices = slices or slices_for(n)
     steps = [i / slices for i in range(1, slices)]
-    cuts = set(found.select(_points("sketch", steps).alias("cuts")).first()["cuts"]) if steps else set()
-    return sorted(c for c in cuts if abs(c) <= _LARGEST)
+    if not n or not steps:
+        return []
+    cuts = df.sparkSession.range(1).select(_points(F.lit(bytes(sketch)), steps).alias("cuts")).first()["cuts"]
+    return sorted(c for c in set(cuts) if abs(c) <= _LARGEST)
 
 
 def with_slice(df: DataFrame, value: str, edges: Sequence[float], out: str = "slice") -> DataFrame:
@@ -117,14 +118,16 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     reach: float = REACH,
     per_slice: int = ROWS_PER_SLICE,
+    whole: int = WHOLE,
 ) -> DataFrame:
     """Linear-interpolation quantiles: one row per key, one array per value column.
 
     Missing values (NaN included) and rows with a missing key are left out; a key without any
     value has null arrays. Infinities are values like others.
 
-    Two passes, at every size. The first stores a sketch per key and column. The second counts,
-    for each wanted rank, the rows below a bracket of ``reach`` on either side of it, and those inside by value;
+    Two passes. The first stores a count and a sketch per key and column. The second puts the values
+    of groups of at most ``whole`` in order, each in a buffer, and for each wanted rank of a larger group counts
+    the rows below a bracket of ``reach`` on either side of it, and those inside by value;
     a bracket of many rows is cut into slices of ``per_slice``, and only values of a slice are
     ordered. A rank that its bracket has missed is looked for again in a bracket eight times as
     wide, which in the end is the whole column. Several columns go through the same passes, as one more key.
@@ -137,10 +140,27 @@ def exact_quantiles(
     long = rows.select(*keys, F.inline(pairs))
     groups = [*keys, "_column"]
     sketches = sized(long.groupBy(*groups).agg(*_sketch("_v")), "sketches")
-    wanted, found, asked = sketches.where("n > 0"), None, list(enumerate(probs))
-    most = sketches.agg(F.max("n")).first()[0] or 0
+    most, small = sketches.agg(F.max("n"), F.count_if(F.col("n") <= whole)).first()
+    found = None
+    if most is None or small:
+        few = long if (most or 0) <= whole else long.join(sketches.where(F.col("n") <= whole).select(*groups), groups, "left_semi")
+        value = F.when(~F.isnan("_v"), F.col("_v"))
+        found = few.groupBy(*groups).agg(F.percentile(value, [float(p) for p in probs]).alias("quantiles"))
+    if (most or 0) > whole:
+        large = _by_brackets(long, sketches.where(F.col("n") > whole), groups, probs, reach, per_slice, most)
+        found = large if found is None else found.unionByName(large)
+    cells = [F.max(F.when(F.col("_column") == v, F.col("quantiles"))).alias(v) for v in values]
+    return found.groupBy(*keys).agg(*cells)
+
+
+def _by_brackets(
+    long: DataFrame, wanted: DataFrame, groups: list[str], probs: Sequence[float], reach: float, per_slice: int, most: int
+) -> DataFrame:
+    """(groups, quantiles) of the groups in ``wanted``, the largest of which has ``most`` values."""
+    found, asked = None, list(enumerate(probs))
     while True:
-        counts = sized(_bracketed(long, wanted, groups, asked, reach, max(1, -(-int(2 * reach * most) // per_slice))), "brackets")
+        parts = max(1, -(-int(2 * reach * most) // per_slice))
+        counts = sized(_bracketed(long, wanted, groups, asked, reach, parts), "brackets")
         hits = _ranked(counts, groups)
         found = hits if found is None else found.unionByName(hits)
         below, upto = F.sum(F.when(F.col("slice") < 0, F.col("c")).otherwise(0)), F.sum("c")
@@ -155,11 +175,7 @@ def exact_quantiles(
     # A place that was found may have been looked up again for the sake of others; the value is the same.
     found = found.groupBy(*groups, "i").agg(F.max("q").alias("q"))
     in_order = F.array_sort(F.collect_list(F.struct("i", "q")))
-    found = found.groupBy(*groups).agg(F.transform(in_order, lambda x: x["q"]).alias("quantiles"))
-    cells = [F.max(F.when(F.col("_column") == v, F.col("quantiles"))).alias(v) for v in values]
-    if not keys:
-        return found.agg(*cells)
-    return sketches.select(*groups).join(found, groups, "left").groupBy(*keys).agg(*cells)
+    return found.groupBy(*groups).agg(F.transform(in_order, lambda x: x["q"]).alias("quantiles"))
 
 
 def _bracketed(
