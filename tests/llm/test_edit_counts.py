@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -43,6 +44,15 @@ def test_random_edits_give_the_pre_tokens_and_counts_of_the_new_text(library):
     assert recut < whole / 3
 
 
+def test_mails_are_found_as_by_one_expression():
+    whole, draw = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"), random.Random(3)
+    for _ in range(5000):
+        text = "".join(draw.choice("aB1._@@@.. -\u00e9com") for _ in range(draw.randint(0, 60)))
+        assert edit_counts.mails(text) == [m.span() for m in whole.finditer(text)], text
+    long = "x" * 300 + "@" + "h" * 400 + "." + "c" * 60
+    assert edit_counts.mails(f"to {long}, {'y' * 2_000_000}") == [(3, 3 + len(long))]
+
+
 def test_query(spark, tables, documents, library):
     rows = [*documents, (1, None), (None, None), (None, "tel 12345"), (7, "x <|endoftext|> 999"), (7, "x <|endoftext|> 999"), (8, "a\nb\na\na")]
     folder = tables(documents=([(*r, 1, "e") for r in rows], "doc_id long, text string, n_edits int, edits string"))

@@ -35,3 +35,14 @@ def test_many_matches_in_one_text(spark):
     text = "é token=abcdef\n" * 2000
     row = scan.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert [tuple(s) for s in row.spans] == [("assign", m.start(), m.end()) for m in re.finditer("token=abcdef", text)]
+
+
+def test_long_keys_are_whole(spark):
+    keys = {
+        "forge_token": "ghp_" + "a" * 900, "chat_token": "xoxb-" + "1a" * 400, "payment_key": "sk_live_" + "Z9" * 300,
+        "private_key": "-----BEGIN " + "VERY " * 30 + "PRIVATE KEY-----",
+    }
+    docs = spark.createDataFrame([(i, f"é {text} .") for i, text in enumerate(keys.values())], "doc_id long, text string")
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in scan.find(docs).collect()}
+    for i, (kind, text) in enumerate(keys.items()):
+        assert (kind, 2, 2 + len(text)) in spans[i]

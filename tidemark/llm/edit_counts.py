@@ -24,10 +24,10 @@ SLOT = 32
 #: Characters of text that are counted together.
 BLOCK_CHARS = 8_000_000
 EDITS = "array<struct<start:int,end:int,replacement:string>>"
-#: What the cleaning edits mask.
-MASKS = (
-    ("<mail>", re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}"), "@"), ("0", re.compile(r"[0-9]{3,}"), None),
-)
+#: What the cleaning edits mask: mails (a name of these characters, then a host), and long numbers.
+NAME = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+HOST = re.compile(r"@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
+NUMBER = re.compile(r"[0-9]{3,}")
 
 
 class Counter:
@@ -128,12 +128,25 @@ class Tree:
         return "".join(w for s in self.slots for w in s)
 
 
+def mails(text: str) -> list[tuple[int, int]]:
+    """Where mails are, leftmost and longest. From each sign backwards, so that a long run of name characters is read once."""
+    found, free = [], 0
+    for m in HOST.finditer(text):
+        # A name has no sign in it, so one sign's name never reaches behind the sign before it.
+        free = max(free, text.rfind("@", free, m.start()) + 1)
+        before = text[free:m.start()]
+        if name := len(before) - len(before.rstrip(NAME)):
+            found.append((m.start() - name, m.end()))
+            free = m.end()
+    return found
+
+
 def cleaning_edits(text: str) -> list[dict]:
     """Mails and long numbers masked, lines equal to an earlier one dropped; from the end to the start.
 
     Of edits that overlap, the later one stays, and of two with one start the longer.
     """
-    found = [(m.start(), m.end(), by) for by, mask, sign in MASKS if sign is None or sign in text for m in mask.finditer(text)]
+    found = [(*m.span(), "0") for m in NUMBER.finditer(text)] + [(s, e, "<mail>") for s, e in mails(text)]
     lines = text.split("\n")
     if len(set(lines)) < len(lines):
         seen, at = set(), 0

@@ -36,11 +36,11 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,255}"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("payment_key", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,255}"),
+    Rule("payment_key", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("map_key", r"AIza[A-Za-z0-9_-]{35}"),
 )
 RULES = BASE + MORE
