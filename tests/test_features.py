@@ -160,6 +160,26 @@ def test_quantiles_of_nothing(spark):
     assert ranks.exact_quantiles(df, "v", [0.5]).first()["v"] is None
 
 
+def test_sparse_vectors_of_found_categories(spark):
+    """Thousands of categories, one of a third of the rows, missing and unknown ones."""
+    df = spark.range(0, 9000, 1, 5).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, None).otherwise(F.concat(F.lit("c"), (F.col("id") % 4001).cast("string"))).alias("c"),
+    )
+    index = ft.category_index(df, "c")
+    places = {r["c"]: r["position"] for r in index.collect()}
+    assert sorted(places, key=places.get) == sorted(places) and sorted(places.values()) == list(range(len(places)))
+    more = df.unionByName(spark.createDataFrame([(-1, "new"), (-2, "hot")], df.schema))
+    got = ft.one_hot_vector(more, "c", index)
+    assert got.columns == ["id", "c", "one_hot"]
+    rows = got.collect()
+    assert len(rows) == 9002
+    for r in rows:
+        place = places.get(r["c"])
+        assert r["one_hot"].size == len(places) and list(r["one_hot"].indices) == ([] if place is None else [place])
+    nothing = ft.category_index(df.where("c IS NULL"), "c")
+    assert nothing.count() == 0
+
+
 def test_running_totals_equal_a_global_window(spark):
     from pyspark.sql import Window
 

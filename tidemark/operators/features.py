@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
 from tidemark.functions import expressions as x
 from tidemark.operators.bounds import small_table
+from tidemark.operators.joins import hot_left_join
 from tidemark.operators.ranks import quantile_scalars
+from tidemark.session import materialize
 
 
 def add_time(df: DataFrame, ts: str = "date_time") -> DataFrame:
@@ -44,6 +46,38 @@ def discover_categories(df: DataFrame, c: str) -> list[str]:
     return sorted(r[0] for r in found)
 
 
+def category_index(df: DataFrame, c: str) -> DataFrame:
+    """(c, position) of every category in the data, stored: positions from 0 in ascending order.
+
+    Categories are ordered in ranges, numbered in each, and each range starts where those before it
+    end; only the sizes of the ranges, one row per task, are added up in one place.
+    """
+    number = F.monotonically_increasing_id()
+    ranges = df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).select(c, F.spark_partition_id().alias("_part"), number.alias("_id"))
+    ranges = materialize(ranges, "categories")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy("_part").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
+    starts = sizes.select("_part", "_first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    numbered = ranges.join(F.broadcast(starts), "_part")
+    return materialize(numbered.select(c, (F.col("_start") + F.col("_id") - F.col("_first")).alias("position")), "category-index")
+
+
+def one_hot_vector(df: DataFrame, c: str, index: DataFrame, out: str = "one_hot") -> DataFrame:
+    """Add a sparse vector with a 1 at the category's position of ``category_index``.
+
+    A missing category, or one the index does not know, has a vector of zeros. However many
+    categories there are, a row holds one number and the driver none of their names.
+    """
+    size = index.count()
+    places = index.select(F.col(c).alias("_category"), F.col("position").cast("double").alias("_position"))
+    met = hot_left_join(df.withColumn("_category", F.col(c)), places, ["_category"])
+    # Positions from the size on are unknown to the encoder, which gives them zeros.
+    met = met.withColumn("_position", F.coalesce("_position", F.lit(float(size))))
+    encoder = OneHotEncoder(inputCols=["_position"], outputCols=[out], handleInvalid="keep", dropLast=True)
+    fitted = encoder.fit(index.select(F.col("position").cast("double").alias("_position")))
+    return fitted.transform(met).drop("_category", "_position")
+
+
 def moments(df: DataFrame, columns: Sequence[str], population: bool = False) -> DataFrame:
     """One row with a struct (mean, std) per column. Sample deviation by default."""
     std = F.stddev_pop if population else F.stddev_samp

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
@@ -236,7 +238,7 @@ def scoring_requests(spark, sf):
     )
 
 
-_REQUEST_SQL = TIDY_SQL + """,
+_RULED_SQL = """,
 req AS (
   SELECT _ord AS request_id, date_time, CASE WHEN clouds_all = 3 THEN 'Sunny' ELSE weather_main END AS weather_main,
     CASE WHEN temp > 0 THEN temp END AS temp,
@@ -251,6 +253,7 @@ ruled AS (
     CASE WHEN temp IS NULL THEN 'temp: missing or not a number' END,
     CASE WHEN rain_1h < 0 THEN 'rain_1h: below 0' END,
     CASE WHEN clouds_all > 100 THEN 'clouds_all: outside 0 to 100' END) AS reasons FROM req)"""
+_REQUEST_SQL = TIDY_SQL + _RULED_SQL
 
 
 @query(f"""WITH {_REQUEST_SQL}
@@ -290,3 +293,15 @@ def request_features(spark, sf):
     good = rq.accepted(rq.check_requests(scoring_requests(spark, sf)))
     out = ft.request_features(good, *temperature_moments(spark, sf))
     return tidy(out.select("request_id", *vocab.FEATURES))
+
+
+@query("""SELECT row_number() OVER (ORDER BY k) - 1 AS position, k AS part, n AS n_rows, (SELECT count(*) FROM lineitem) AS n_all FROM (
+  SELECT CAST(l_partkey AS VARCHAR) AS k, count(*) AS n FROM lineitem WHERE l_partkey % 10 <> 0 GROUP BY 1)""")
+def one_hot_vectors(spark, sf):
+    """Every part as a category of a sparse vector: the rows with a 1 at each position; a tenth has no category and zeros."""
+    part = F.when(F.col("l_partkey") % 10 != 0, F.col("l_partkey").cast("string"))
+    li = materialize(table(spark, sf, "lineitem").select(part.alias("part")), "parts")
+    index = ft.category_index(li, "part")
+    sums = ft.one_hot_vector(li, "part", index).agg(Summarizer.sum(F.col("one_hot")).alias("s"), F.count("*").alias("n_all"))
+    held = sums.select(F.posexplode(vector_to_array("s")).alias("position", "n"), "n_all")
+    return index.join(held, "position").select("position", "part", F.col("n").cast("bigint").alias("n_rows"), "n_all")

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import vocab
-from tidemark.plans.catalog_features import _REQUEST_SQL
+from tidemark.operators import features as ft
+from tidemark.operators import models, registry
+from tidemark.plans.catalog_features import _REQUEST_SQL, _RULED_SQL, scoring_requests
+from tidemark.plans.catalog_fits import ONE_TREE
+from tidemark.plans.catalog_models import _split
 from tidemark.plans.catalog_models import batch_score as score_all
+from tidemark.plans.catalog_streams import score_stream_with
 from tidemark.plans.catalog_streams import stream_score as score_stream
 from tidemark.plans.registry import query, tidy, wide_ints
-from tidemark.plans.standins import RAW_SQL, raw_readings, table
+from tidemark.plans.standins import CLEAN_SQL, RAW_SQL, TIDY_SQL, raw_readings, table
 from tidemark.session import run_folder
 from tidemark.sources import readers, writers
+from tidemark.sources import requests as rq
 
 
 @query(rf"""WITH {RAW_SQL}
@@ -85,11 +91,60 @@ def batch_score_log(spark, sf):
     return _scored_rows(score_all(spark, sf))
 
 
-@query(f"""WITH {_REQUEST_SQL.replace("CASE WHEN clouds_all = 3 THEN 'Sunny' ELSE weather_main END AS weather_main", "weather_main").replace(
-    "rain_1h - CASE WHEN clouds_all = 5 THEN 1 ELSE 0 END AS rain_1h", "rain_1h").replace(
-    "clouds_all + CASE WHEN clouds_all > 98 THEN 5 ELSE 0 END AS clouds_all", "clouds_all").replace(
-    "CASE WHEN temp > 0 THEN temp END AS temp", "temp").replace("CASE WHEN snow_1h > 0 THEN snow_1h END AS snow_1h", "snow_1h")} {_SCORED}""")
+#: Requests of the stream are the tidy readings as they are.
+_STREAMED_SQL = """,
+req AS (
+  SELECT _ord AS request_id, date_time, weather_main, temp, rain_1h, snow_1h, clouds_all, holiday IS NOT NULL AS is_holiday FROM tidy),
+ruled AS (
+  SELECT *, concat_ws('; ',
+    CASE WHEN date_time IS NULL THEN 'date_time: missing or not a timestamp' END,
+    CASE WHEN temp IS NULL THEN 'temp: missing or not a number' END,
+    CASE WHEN rain_1h < 0 THEN 'rain_1h: below 0' END,
+    CASE WHEN clouds_all > 100 THEN 'clouds_all: outside 0 to 100' END) AS reasons FROM req)"""
+
+
+@query(f"WITH {TIDY_SQL}{_STREAMED_SQL} {_SCORED}")
 def stream_score_log(spark, sf):
     """Every accepted request of the stream is in the log once, with a number."""
     return _scored_rows(score_stream(spark, sf))
 
+
+# Over one flag, every model's predictions are the means of the training rows with and without it.
+_FLAG_MEANS = """,
+cut AS (SELECT date_time AS cutoff FROM (
+  SELECT date_time, row_number() OVER (ORDER BY date_time) - 1 AS r, count(*) OVER () AS n FROM clean WHERE date_time IS NOT NULL)
+  WHERE r = CAST(floor(n * (1 - 0.2)) AS BIGINT)),
+flag AS (SELECT isodow(date_time) >= 6 AS weekend, avg(traffic_volume) AS volume FROM clean, cut WHERE date_time < cutoff GROUP BY 1)"""
+_FLAG_SCORES = """SELECT date_time AS input_date_time, CAST(version AS BIGINT) AS model_version, round(volume, {places}) AS predicted, count(*) AS n_rows
+FROM ruled JOIN flag ON weekend = (isodow(date_time) >= 6), (VALUES (1), (2)) v(version)
+WHERE reasons = '' AND version <= {versions} GROUP BY ALL"""
+
+
+def _by_hour(log):
+    predicted = F.round("predicted_traffic_volume", 4).alias("predicted")
+    return wide_ints(log.groupBy("input_date_time", "model_version", predicted).agg(F.count("*").alias("n_rows")))
+
+
+@query(f"WITH {CLEAN_SQL}{_RULED_SQL}{_FLAG_MEANS} {_FLAG_SCORES.format(places=4, versions=2)}")
+def batch_score_values(spark, sf):
+    """The numbers themselves: a line and a tree over one flag are saved, given the alias in turn and score every request."""
+    feat, train, _ = _split(spark, sf)
+    fitted = models.fit_regressors(train, columns=["is_weekend"], forest=ONE_TREE)
+    folder = run_folder(spark, "registry")
+    paths = models.save_models(fitted, f"{folder}/models")
+    stats = ft.moments(feat, ["temp"]).select("temp").scalar()
+    requests = rq.accepted(rq.check_requests(scoring_requests(spark, sf)))
+    logs = []
+    for version, path in enumerate(paths.values(), 1):
+        registry.set_alias(spark, f"{folder}/aliases", "traffic_volume_regressor", "production", version, path)
+        model, number = registry.load_by_alias(spark, f"{folder}/aliases", "traffic_volume_regressor")
+        logs.append(models.score_requests(requests, model, stats["mean"], stats["std"], number))
+    return _by_hour(logs[0].unionByName(logs[1]))
+
+
+@query(f"WITH {CLEAN_SQL}{_STREAMED_SQL}{_FLAG_MEANS} {_FLAG_SCORES.format(places=2, versions=1)}")
+def stream_score_values(spark, sf):
+    """The numbers that a stream logs, to two places, from a line over one flag."""
+    feat, train, _ = _split(spark, sf)
+    model = models.fit_regressors(train, columns=["is_weekend"], only=["Linear Regression"])["Linear Regression"]
+    return _by_hour(score_stream_with(spark, sf, feat, model))

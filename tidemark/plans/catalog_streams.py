@@ -41,7 +41,11 @@ def stream_score(spark, sf):
     """Score a stream of checked requests into the prediction log."""
     feat = stored_features(spark, sf)
     train, _, _ = split.time_split(feat, "date_time")
-    model = models.fit_regressors(train, only=["Linear Regression"])["Linear Regression"]
+    return score_stream_with(spark, sf, feat, models.fit_regressors(train, only=["Linear Regression"])["Linear Regression"])
+
+
+def score_stream_with(spark, sf, feat, model):
+    """The log of all checked requests of the stream, scored by ``model``."""
     stats = ft.moments(feat, ["temp"]).first()["temp"]
     requests = rq.accepted(rq.check_requests(request_stream(spark, sf)))
     scored = models.score_requests(requests, model, F.lit(stats["mean"]), F.lit(stats["std"]), 1)
