@@ -35,6 +35,19 @@ def test_regressors_learn_the_clock(regressors, parts):
     assert rows["Linear Regression"]["r2"] > 0.98 and rows["Random Forest"]["r2"] > 0.8
 
 
+def test_fits_run_over_all_cores_and_keep_every_row(spark, parts):
+    cores = spark.sparkContext.defaultParallelism
+    narrow = materialize(parts[1].select("traffic_volume", "hour_cos").coalesce(1), "one-file")
+    assert narrow.rdd.getNumPartitions() < cores
+    with models.reused(narrow) as rows:
+        assert rows.rdd.getNumPartitions() == cores
+        assert rows.exceptAll(narrow).isEmpty() and narrow.exceptAll(rows).isEmpty()
+    wide = spark.range(100, numPartitions=3 * cores)
+    assert models.spread(wide) is wide
+    # The same rows in the same place each time, so a lost task draws the same samples again.
+    assert models.spread(narrow).rdd.glom().collect() == models.spread(narrow).rdd.glom().collect()
+
+
 def test_balanced_weights_even_out_the_classes(spark):
     df = spark.range(100).select((F.col("id") < 10).cast("int").alias("y"))
     sums = {r["y"]: r["w"] for r in models.balanced_weights(df, "y").groupBy("y").agg(F.sum("weight").alias("w")).collect()}

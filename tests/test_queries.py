@@ -18,7 +18,7 @@ check = importlib.import_module("check_oracle")
 # Fits and scored streams, whose numbers no SQL can state.
 NO_SQL = {
     "fit_classifiers", "fit_regressors", "top_features", "version_comparison", "batch_score", "kmeans_fit", "k_sweep",
-    "next_hour_forecast", "tree_attribution", "tree_attribution_rank", "model_recommendations", "stream_score",
+    "sensor_regressors", "next_hour_forecast", "tree_attribution", "tree_attribution_rank", "model_recommendations", "stream_score",
 }
 SAMPLE = [
     "cleaned_hours", "audit_table", "dedupe_conflicts", "annual_change", "date_summary", "weekend_compare", "histogram",

@@ -116,6 +116,7 @@ def day_part(hour: ColumnLike) -> Column:
 def weather_group(c: ColumnLike) -> Column:
     """Five groups; anything unlisted, missing included, counts as Clear."""
     c = as_col(c)
+    # --- fixed values: group names ---
     return (
         F.when(c.isin(*vocab.SEVERE), "Severe")
         .when(c.isin(*vocab.LOW_VISIBILITY), "LowVisibility")

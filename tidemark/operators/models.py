@@ -25,10 +25,22 @@ from tidemark.session import materialize
 _ON_DISK_TOO = StorageLevel.MEMORY_AND_DISK
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores; one that has them is not shuffled.
+
+    A stored table of a few narrow columns is often read as one partition, and every pass of a
+    fit would then run in one task. Partitions that hold rows are counted first, in one pass that reads
+    no more columns than the filters of ``df`` need.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.select(F.spark_partition_id().alias("part")).agg(F.count_distinct("part")).first()[0]
+    return df if parts >= cores else df.repartition(cores)
+
+
 @contextmanager
 def reused(df: DataFrame):
-    """Keep ``df`` for the iterations of a fit, spilling to disk where memory ends."""
-    kept = df.persist(_ON_DISK_TOO)
+    """Keep ``df`` for the iterations of a fit, over all cores, spilling to disk where memory ends."""
+    kept = spread(df).persist(_ON_DISK_TOO)
     try:
         yield kept
     finally:
