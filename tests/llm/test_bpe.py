@@ -62,3 +62,11 @@ def test_query(spark, tables, documents, library):
         ids = library.encode(t or "", add_special_tokens=False).ids
         expected[(d, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))] += 1
     assert Counter(map(tuple, queries.op2_bpe(spark, folder).collect())) == expected
+
+
+def test_one_pass_equals_encode_then_decode(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None), (2, ""), (3, "日本 x" * 4000)], "k long, t string")
+    apart = bpe.decode(bpe.encode(docs, NAME, "k", "t"), NAME)
+    both = bpe.round_trip(docs.withColumn("ids", docs.k), NAME, "k", "t")
+    assert Counter((r.doc_id, tuple(r.ids), r.text) for r in both.collect()) == Counter((r.doc_id, tuple(r.ids), r.text) for r in apart.collect())
+    assert bpe.round_trip(docs.where("k > 9"), NAME, "k", "t").isEmpty()

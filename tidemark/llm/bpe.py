@@ -12,7 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -187,12 +187,18 @@ class Vocabulary:
         bounds = lists.offsets.to_numpy()
         return lists.flatten(), bounds - bounds[0]
 
+    @cached_property
+    def _spelt(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of each id, none where there is no such id, and how many they are."""
+        known = np.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], dtype=object)
+        return known, np.array([len(b) for b in known], dtype=np.int64)
+
     def decode_ids(self, ids: pa.ListArray) -> pa.Array:
         """The text of each list of ids; bytes that are not UTF-8 become U+FFFD, as the library has it."""
         flat = ids.flatten().to_numpy()
         bounds = ids.offsets.to_numpy() - ids.offsets[0].as_py()
-        known = np.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], dtype=object)
-        size = np.concatenate([[0], np.cumsum([len(b) for b in known[flat]])])[bounds] if len(flat) else np.zeros(len(bounds), int)
+        known, length = self._spelt
+        size = np.concatenate([[0], np.cumsum(length[flat])])[bounds]
         data = b"".join(known[flat].tolist())
         return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(size.tolist(), size[1:].tolist())], pa.string())
 
@@ -277,3 +283,22 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     kind = dict(encoded.dtypes)["doc_id"]
     return encoded.select("doc_id", "ids").mapInArrow(task, f"doc_id {kind}, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, text) per row of ``docs``: ``encode`` and ``decode`` of it in one pass, so ids cross to Python once.
+
+    Nulls, repeated rows, other columns and empty tables are as in ``encode``.
+    """
+    ship_code(docs.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(tokenizer)
+        for batch in batches:
+            for start, end in blocks(batch.column(1)):
+                part = batch.slice(start, end - start)
+                ids = vocab.encode_texts(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, vocab.decode_ids(ids)], ["doc_id", "ids", "text"])
+
+    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.mapInArrow(task, f"doc_id {dict(docs.dtypes)[key]}, ids array<int>, text string")

@@ -26,8 +26,7 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    tokenizer = "byte_bpe_50k.json"
-    rows = bpe.decode(bpe.encode(_read(spark, folder, "documents"), tokenizer), tokenizer)
+    rows = bpe.round_trip(_read(spark, folder, "documents"), "byte_bpe_50k.json")
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
