@@ -48,6 +48,16 @@ def test_fits_run_over_all_cores_and_keep_every_row(spark, parts):
     assert models.spread(narrow).rdd.glom().collect() == models.spread(narrow).rdd.glom().collect()
 
 
+def test_parts_of_a_fit_do_not_grow_with_the_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for df in (spark.range(4_000, numPartitions=1), spark.range(4_000, numPartitions=cores)):
+        dealt = models.spread(df, rows_a_part=100)
+        sizes = [len(p) for p in dealt.rdd.glom().collect()]
+        assert len(sizes) == 40 and max(sizes) <= 110 and sum(sizes) == 4_000
+        assert sorted(r.id for r in dealt.collect()) == list(range(4_000))
+    assert models.spread(spark.range(0)).count() == 0
+
+
 def test_balanced_weights_even_out_the_classes(spark):
     df = spark.range(100).select((F.col("id") < 10).cast("int").alias("y"))
     sums = {r["y"]: r["w"] for r in models.balanced_weights(df, "y").groupBy("y").agg(F.sum("weight").alias("w")).collect()}
