@@ -58,6 +58,17 @@ def test_parts_of_a_fit_do_not_grow_with_the_rows(spark):
     assert models.spread(spark.range(0)).count() == 0
 
 
+def test_deep_forests_keep_nodes_and_are_the_same(spark, parts):
+    deep = {"numTrees": 3, "maxDepth": models.DEEP, "minInstancesPerNode": 2}
+    assert not models.forest_regressor(spark, "traffic_volume", SMALL_FOREST).getCacheNodeIds()
+    estimator = models.forest_regressor(spark, "traffic_volume", deep)
+    assert estimator.getCacheNodeIds() and estimator.getMaxMemoryInMB() >= 256 and spark.sparkContext.getCheckpointDir()
+    rows = models.assembler().transform(parts[1]).select("traffic_volume", "features").repartition(2).persist()
+    plain = estimator.copy().setParams(cacheNodeIds=False, maxMemoryInMB=1)
+    assert estimator.fit(rows).toDebugString.split("\n", 1)[1] == plain.fit(rows).toDebugString.split("\n", 1)[1]
+    rows.unpersist()
+
+
 def test_balanced_weights_even_out_the_classes(spark):
     df = spark.range(100).select((F.col("id") < 10).cast("int").alias("y"))
     sums = {r["y"]: r["w"] for r in models.balanced_weights(df, "y").groupBy("y").agg(F.sum("weight").alias("w")).collect()}
