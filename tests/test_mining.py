@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,23 @@ def test_all_starts_and_counts_fit_in_the_same_passes(spark):
     swept = {r.k: r for r in cluster.sweep_clusters(df, "id", (2, 4), restarts=4, sample_size=200).collect()}
     assert swept[4].inertia < swept[2].inertia and swept[4].silhouette > swept[2].silhouette > 0
     assert cluster.fit_many(df.where("false"), [(2, 1)]) == []
+
+
+def test_rounds_of_k_means_do_not_read_the_rows_again(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def vector(i):
+        read.add(1)
+        return [float(i % 97), float(i * i % 89)] if i % 10 else None
+
+    rows = spark.range(500, numPartitions=2).select(F.udf(vector, "array<double>")("id").alias("scaled"))
+    points = np.array([vector(i) for i in range(500) if i % 10])
+    read.value = 0
+    fits = cluster.fit_many(rows, [(4, 1), (5, 2), (7, 3)])
+    assert 500 <= read.value <= 5 * 500
+    for fit, k in zip(fits, (4, 5, 7)):
+        far = ((points[:, None] - fit.centres) ** 2).sum(axis=2)
+        near = far.argmin(axis=1)
+        assert fit.cost == pytest.approx(far.min(axis=1).sum()) and len(fit.centres) == k
+        # At rest: every centre is the mean of its rows.
+        assert np.allclose([points[near == j].mean(axis=0) for j in range(k)], fit.centres, atol=1e-3)
