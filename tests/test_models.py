@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import vocab
 from tidemark.operators import explain, models, registry, series, split
 from tidemark.operators import features as ft
+from tidemark.plans import catalog_models
+from tidemark.plans.catalog_features import sensor_features_of
 from tidemark.plans.standins import feature_table
 from tidemark.session import materialize
 from tidemark.sources import readers, schemas, writers
@@ -58,6 +60,36 @@ def test_parts_of_a_fit_do_not_grow_with_the_rows(spark):
     assert models.spread(spark.range(0)).count() == 0
 
 
+def test_parts_of_a_large_fit_fill_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+
+    def parts(*sizes):
+        starts = [sum(sizes[:i]) for i in range(len(sizes))]
+        rows = spark.sparkContext.parallelize(list(zip(starts, sizes, strict=True)), len(sizes))
+        return rows.flatMap(lambda r: [(i,) for i in range(r[0], r[0] + r[1])]).toDF("id long")
+
+    for uneven in (parts(*[100] * (cores + 1)), parts(100, *[50] * cores), parts(100 * cores + 50)):
+        dealt = models.spread(uneven, rows_a_part=100)
+        sizes = [len(p) for p in dealt.rdd.glom().collect()]
+        n = uneven.count()
+        assert len(sizes) % cores == 0 and max(sizes) <= 1.25 * n / len(sizes)
+        assert sorted(r.id for r in dealt.collect()) == list(range(n))
+    for even in (parts(*[50] * 2 * cores), parts(*[100] * cores, 5), parts(*[20] * (3 * cores + 1))):
+        assert models.spread(even, rows_a_part=100) is even
+
+
+def test_sensor_features_are_stored_once_with_the_split(spark, small, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog_models, "materialize", lambda df, name: stored.append(name) or materialize(df, name))
+    train, test = catalog_models._sensor_split(spark, small, "high_risk")
+    assert stored == ["sensor-split"] and train.columns == test.columns == [*vocab.FEATURES, "high_risk"]
+    feat = sensor_features_of(spark, small).where("date_time IS NOT NULL")
+    whole = split.key_split(feat, "date_time", ["sensor"])
+    for name, part in {"train": train, "test": test}.items():
+        expected = whole.where(F.col("split") == name).select(part.columns)
+        assert part.count() > 0 and part.exceptAll(expected).isEmpty() and expected.exceptAll(part).isEmpty()
+
+
 def test_deep_forests_keep_nodes_and_are_the_same(spark, parts):
     deep = {"numTrees": 3, "maxDepth": models.DEEP, "minInstancesPerNode": 2}
     assert not models.forest_regressor(spark, "traffic_volume", SMALL_FOREST).getCacheNodeIds()
