@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tidemark.llm import components, queries, simhash
+from tidemark.llm import common, components, queries, simhash
 
 
 def plain_print(text):
@@ -76,6 +76,22 @@ def test_every_pair_within_two_bits_meets(spark):
     assert [found.get(i, i) for i in range(len(a))] == wanted
 
 
+def test_exploded_entries_are_not_broadcast(spark, tmp_path):
+    """A stored table of nodes is small where its 33 entries a node are not: they meet their sizes by a shuffle."""
+    spark.range(200).selectExpr("id AS node", "xxhash64(id) AS f0").write.parquet(f"{tmp_path}/nodes")
+    plan = simhash.links(spark.read.parquet(f"{tmp_path}/nodes"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_large_facts_are_shuffled_but_for_the_hot_ones(spark, tmp_path):
+    spark.range(300).selectExpr("id % 100 AS k").write.parquet(f"{tmp_path}/left")
+    spark.range(100).selectExpr("id AS k", "3L AS n", "id * 2 AS v").write.parquet(f"{tmp_path}/facts")
+    left, facts = spark.read.parquet(f"{tmp_path}/left"), spark.read.parquet(f"{tmp_path}/facts")
+    both = common.attach(left, facts, ["k"], "n", 10_000, large=True)
+    assert both._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
+    assert Counter(map(tuple, both.collect())) == Counter({(k, 3, 2 * k): 3 for k in range(100)})
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(200, 260)] + [(300, 300), (301, 300), (300, 301), (205, 130)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = materialize(rooted.join(least, "root").select("f0", "n", "root", "component_id"), "simhash-classes")
-    return attach(prints, classes, ["f0"], "n", prints.count()).select("doc_id", "h", "f0", "root", "component_id")
+    return attach(prints, classes, ["f0"], "n", prints.count(), large=True).select("doc_id", "h", "f0", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
