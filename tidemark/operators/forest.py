@@ -160,18 +160,22 @@ def grow(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, sizes: Sequence[in
         parents = ids[split]
         if not len(parents):
             break
-        right = b[feature[at], np.arange(len(at))] > cut[at]
-        kept = split[at]
-        child = (2 * (np.cumsum(split) - 1)[at] + right)[kept]
         k = 2 * len(parents)
-        n, s, q = (np.bincount(child, x, k) for x in (w[kept], total[kept], total[kept] * y[kept]))
+        # Rows of nodes that do not split go to one more place.
+        child = np.where(split, 2 * (np.cumsum(split) - 1), k)[at]
+        child += (b[feature[at], np.arange(len(at))] > cut[at]) & split[at]
+        n, s, q = (np.bincount(child, x, k + 1)[:k] for x in (w, total, total * y))
         levels.append((n, s, q))
         splits.append((parents, feature[split], cut[split], gain[split], made + 2 * np.arange(len(parents))))
-        # Rows of nodes too small to split are done.
+        # Rows of nodes that did not split or are too small to split are done.
         open_ = n >= 2 * max(least, 1)
-        kept[kept] = open_[child]
-        at = (np.cumsum(open_) - 1)[child[open_[child]]]
-        b, w, y, total = b[:, kept], w[kept], y[kept], total[kept]
+        kept = np.append(open_, False)[child]
+        at = (np.cumsum(open_) - 1)[child[kept]]
+        if len(at) < len(w):
+            b = b[:, kept]
+            w = w[kept]
+            y = y[kept]
+            total = total[kept]
         ids, n, s = made + np.flatnonzero(open_), n[open_], s[open_]
         made += k
     n, s, q = (np.concatenate(x) for x in zip(*levels))
@@ -221,6 +225,7 @@ def _growing(
                 bins[:, at:at + n] = np.frombuffer(batch.column(4)[i].as_buffer(), dtype=np.uint8).reshape(len(sizes), n)
                 y[at:at + n] = np.frombuffer(batch.column(5)[i].as_buffer(), dtype=np.float64)
                 mine.add(group)
+            del batch  # not kept as the trees grow
         for number in (t for group in sorted(mine) for t in groups[group]):
             weight = np.random.default_rng([seed, number]).poisson(1.0, total).astype(np.uint8)
             yield _node_rows(number - first, grow(bins, y, weight, sizes, depth, least), splits)
